@@ -5,22 +5,26 @@ from pyspark.sql import functions as F
 
 
 def unconfirmed_stream(
-    attempts: DataFrame, payments: DataFrame, within: str = "5 minutes", lateness: str = "10 minutes"
+    attempts: DataFrame, payments: DataFrame, within_seconds: int = 300, lateness: str = "10 minutes"
 ) -> DataFrame:
     """Successful attempts no payment confirmed in time, once the watermark has passed them.
 
-    Both inputs are streams. Payments are reduced to the earliest and latest of
+    Both inputs are streams. Watermarks need zoned timestamps, so the times are
+    read in the session's zone and given back without one. Payments are reduced to the earliest and latest of
     each user, course and slot before the join, so a busy pair keeps one row of
     state per slot and an attempt meets at most two rows. An attempt is emitted
     when neither its own slot nor the next confirmed it.
     """
-    limit = F.expr(f"interval {within}")
+    within = f"{within_seconds} seconds"
+    limit = F.expr(f"interval {within_seconds} seconds")
+    two_slots = F.expr(f"interval {2 * within_seconds} seconds")
     slots = (
-        payments.withWatermark("paid_at", lateness)
+        payments.withColumn("paid_at", F.col("paid_at").cast("timestamp"))
+        .withWatermark("paid_at", lateness)
         .groupBy(F.window("paid_at", within), "user_id", "course_id")
         .agg(F.min("paid_at").alias("earliest"), F.max("paid_at").alias("latest"))
     )
-    nothing = F.lit(None).cast("timestamp_ntz")
+    nothing = F.lit(None).cast("timestamp")
     own = F.struct(
         F.col("window.start").alias("slot"), F.col("latest"), nothing.alias("earliest")
     )
@@ -35,6 +39,7 @@ def unconfirmed_stream(
     )
     successes = (
         attempts.filter(F.col("result") == "success")
+        .withColumn("attempted_at", F.col("attempted_at").cast("timestamp"))
         .withWatermark("attempted_at", lateness)
         .withColumn("a_slot", F.window("attempted_at", within).getField("start"))
     )
@@ -46,8 +51,9 @@ def unconfirmed_stream(
         & (F.col("course_id") == F.col("p_course"))
         & (F.col("a_slot") == F.col("slot"))
         & (F.col("seen_at") >= at)
-        & (F.col("seen_at") <= at + limit * 2)
+        & (F.col("seen_at") <= at + two_slots)
         & confirmed,
         "left_outer",
     )
-    return joined.filter(F.col("seen_at").isNull()).select(*attempts.columns)
+    unmatched = joined.filter(F.col("seen_at").isNull()).select(*attempts.columns)
+    return unmatched.withColumn("attempted_at", F.col("attempted_at").cast("timestamp_ntz"))
