@@ -39,26 +39,28 @@ def build_history(
 
 
 def join_at_time(
-    events: DataFrame, history: DataFrame, key: str, moment: str, until, how: str = "inner"
+    events: DataFrame, history: DataFrame, key: str, moment: str, how: str = "inner"
 ) -> DataFrame:
-    """Events with the version valid at their time, for events before ``until``.
+    """Events with the version valid at their time.
 
-    Versions are repeated per calendar month they cover up to ``until``, so an
-    event meets only the versions of its key and month, and the join is an
+    Versions are first spread over the calendar months in which their key has
+    events at all, so there are at most as many rows as versions and event months
+    together. Events then meet the versions of their key and month only, in an
     equi-join that spreads a hot key over its months.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type {how!r}")
-    first = F.trunc(F.col("valid_from").cast("date"), "month")
-    end = F.least(F.col("valid_to"), as_ntz(until)).cast("date")
-    last = F.trunc(end, "month")
-    covered = (
-        history.filter(F.col("valid_from") < as_ntz(until))
-        .withColumnsRenamed({c: f"h_{c}" for c in history.columns if c == moment})
-        .withColumn("_month", F.explode(F.sequence(first, last, F.expr("interval 1 month"))))
+    month = F.trunc(F.col(moment).cast("date"), "month")
+    dated = events.withColumn("_month", month)
+    event_months = dated.select(F.col(key).alias("_key"), "_month").distinct()
+    versions = history.withColumnsRenamed({c: f"h_{c}" for c in history.columns if c == moment})
+    in_month = (
+        (F.col(key) == F.col("_key"))
+        & (F.col("valid_from") < F.add_months("_month", 1).cast("timestamp_ntz"))
+        & (F.col("valid_to") > F.col("_month").cast("timestamp_ntz"))
     )
-    dated = events.withColumn("_month", F.trunc(F.col(moment).cast("date"), "month"))
-    e, h = dated.alias("e"), covered.alias("h")
+    spread = versions.join(event_months, in_month).drop("_key")
+    e, h = dated.alias("e"), spread.alias("h")
     on = (
         (F.col(f"e.{key}") == F.col(f"h.{key}"))
         & (F.col("e._month") == F.col("h._month"))
@@ -69,5 +71,5 @@ def join_at_time(
     kept = [F.col(f"e.{c}") for c in events.columns]
     if how in ("left_semi", "left_anti"):
         return joined.select(*kept)
-    extra = [F.col(f"h.{c}") for c in covered.columns if c not in (key, "_month")]
+    extra = [F.col(f"h.{c}") for c in versions.columns if c != key]
     return joined.select(*kept, *extra)

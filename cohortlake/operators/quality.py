@@ -92,28 +92,23 @@ def _total(name: str, condition: Column | None = None) -> Column:
     return F.coalesce(F.sum(value), F.lit(0))
 
 
-def _as_rows(counts: DataFrame) -> DataFrame:
-    """One row of counts to rows ``code, n``."""
-    pairs = [F.struct(F.lit(c).alias("code"), F.col(c).cast("bigint").alias("n")) for c in counts.columns]
-    return counts.select(F.inline(F.array(*pairs)))
-
-
-def _with_details(counts: list[DataFrame], details: dict) -> DataFrame:
-    """Adds table, severity, description and hint to ``code, n`` rows."""
-    rows = reduce(DataFrame.unionByName, counts)
-
-    def detail(i):
-        pairs = [F.lit(x) for code, d in details.items() for x in (code, d[i])]
-        return F.create_map(*pairs)[F.col("code")]
-
-    return rows.select(
-        "code",
-        detail(0).alias("table_name"),
-        detail(1).alias("severity"),
-        "n",
-        detail(2).alias("description"),
-        detail(3).alias("fix_hint"),
-    )
+def _text(value: str) -> str:
+    """SQL string literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _as_rows(counts: DataFrame, details: dict) -> DataFrame:
+    """One row of counts, a column per check, to result rows."""
+    rows = []
+    for code in counts.columns:
+        table, severity, description, hint = map(_text, details[code])
+        rows.append(f"{_text(code)}, {table}, {severity}, bigint({code}), {description}, {hint}")
+    names = "code, table_name, severity, n, description, fix_hint"
+    return counts.selectExpr(f"stack({len(rows)}, {', '.join(rows)}) AS ({names})")
+
+
+def _results(counts: list[DataFrame], details: dict) -> DataFrame:
+    return reduce(DataFrame.union, [_as_rows(c, details) for c in counts])
 
 
 def _users(users: DataFrame, now: Column) -> DataFrame:
@@ -223,7 +218,7 @@ def run_checks(tables: dict[str, DataFrame], as_of) -> DataFrame:
         count_orphans(_successes(attempts), payments, pair).toDF("A16"),
         _ad_costs(ad_costs, now),
     ]
-    return _with_details([_as_rows(c) for c in counts], CHECKS)
+    return _results(counts, CHECKS)
 
 
 def run_extra_rules(tables: dict[str, DataFrame]) -> DataFrame:
@@ -241,7 +236,7 @@ def run_extra_rules(tables: dict[str, DataFrame]) -> DataFrame:
         _earlier(payments, "paid_at", enrollments, "enrolled_at", "enrollment_id").toDF("X4"),
         tried.join(paid, pair, "left").agg(_total("rows", not_single).alias("X5")),
     ]
-    return _with_details([_as_rows(c) for c in counts], RULES)
+    return _results(counts, RULES)
 
 
 def seasonal_correlation(users: DataFrame, ad_costs: DataFrame) -> DataFrame:
@@ -282,11 +277,12 @@ def severity_summary(results: DataFrame) -> DataFrame:
     per_level = failed.rollup("severity").agg(
         F.count(F.lit(1)).alias("failed_checks"), F.coalesce(F.sum("n"), F.lit(0)).alias("records")
     )
-    levels = [CRITICAL, WARNING, "TOTAL"]
     named = per_level.select(
         F.coalesce("severity", F.lit("TOTAL")).alias("severity"), "failed_checks", "records"
     )
-    wanted = results.sparkSession.createDataFrame([(x,) for x in levels], "severity string")
+    wanted = results.sparkSession.sql(
+        f"SELECT * FROM VALUES ('{CRITICAL}'), ('{WARNING}'), ('TOTAL') AS levels (severity)"
+    )
     return wanted.join(named, "severity", "left").na.fill(0)
 
 

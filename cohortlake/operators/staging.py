@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from cohortlake import schemas as S
 from cohortlake.functions import as_ntz
+from cohortlake.operators.keys import key_set
 
 
 def stage_users(users: DataFrame, as_of) -> DataFrame:
@@ -67,18 +68,19 @@ def stage_payment_attempts(
 
     Successes and the other results are disjoint, so each part needs one semi
     join only: staged payments belong to staged users, hence a success with a
-    staged payment has a staged user. A hot pair among the payments is reduced
-    to one key before the shuffle.
+    staged payment has a staged user. A hot pair is reduced to a few keys among
+    the payments and can be split among the attempts.
     """
     columns = attempts.columns
     others = [r for r in S.ATTEMPT_RESULTS if r != "success"]
-    paid_pairs = staged_payments.select("user_id", "course_id").distinct()
+    pair = ["user_id", "course_id"]
+    paid_pairs = key_set(staged_payments, pair, "payment_id")
     unpaid = attempts.filter(F.col("result").isin(others))
     paid = attempts.filter(F.col("result") == "success")
     return (
         unpaid.join(staged_users.select("user_id"), "user_id", "left_semi")
         .select(*columns)
-        .unionByName(paid.join(paid_pairs, ["user_id", "course_id"], "left_semi").select(*columns))
+        .unionByName(paid.join(paid_pairs, pair, "left_semi").select(*columns))
     )
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from cohortlake.functions import as_ntz, period_start
 from cohortlake.operators import compare, corrections, history, keys, quality, reconcile
 from cohortlake.plans import marts, reports
-from cohortlake.plans.warehouse import StagedLayer, build_marts, staged_layer
+from cohortlake.plans.warehouse import RawLayer, StagedLayer, build_marts, shared_layer
 from cohortlake.schemas import STAGED_PREFIX, TABLES
 from cohortlake.session import configure, run_folder
 from cohortlake.sources import bindings, csvfiles, layers, reporttext
@@ -18,16 +18,27 @@ from cohortlake.streaming import incremental
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
+_bound: dict[tuple, bindings.RawTables] = {}
+
 SUMMARY_START, SUMMARY_END = "1998-01-01", "1999-01-01"
-HISTORY_END = "2002-01-01"
 
 
 def raw(spark: SparkSession, sf_dir: str) -> Mapping[str, DataFrame]:
-    return bindings.RawTables(configure(spark), sf_dir)
+    key = (configure(spark).sparkContext.applicationId, sf_dir)
+    if key not in _bound:
+        _bound[key] = bindings.RawTables(spark, sf_dir)
+    return _bound[key]
+
+
+def raw_layer(spark: SparkSession, sf_dir: str) -> RawLayer:
+    """Raw tables written once: a quality run reads payments and enrollments four times."""
+    bound = raw(spark, sf_dir)
+    return shared_layer(spark, "raw", sf_dir, lambda folder: RawLayer(bound, folder))
 
 
 def staged(spark: SparkSession, sf_dir: str) -> StagedLayer:
-    return staged_layer(spark, sf_dir, raw(spark, sf_dir), AS_OF)
+    bound = raw(spark, sf_dir)
+    return shared_layer(spark, "staged", sf_dir, lambda folder: StagedLayer(bound, AS_OF, folder))
 
 
 def _query(fn: Query) -> Query:
@@ -71,11 +82,11 @@ def _counts(results: DataFrame) -> DataFrame:
 
 
 def _raw_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.run_checks(raw(spark, sf_dir), AS_OF)
+    return quality.run_checks(raw_layer(spark, sf_dir), AS_OF)
 
 
 def _staged_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.run_checks(staged(spark, sf_dir).all(), AS_OF)
+    return quality.run_checks(staged(spark, sf_dir), AS_OF)
 
 
 @_query
@@ -153,7 +164,11 @@ def dq_stored_results(spark, sf_dir):
     return _counts(reporttext.load_results(spark, path))
 
 
-_on_raw("dq_extra_rules", lambda r: _counts(quality.run_extra_rules(r)))
+@_query
+def dq_extra_rules(spark, sf_dir):
+    return _counts(quality.run_extra_rules(raw_layer(spark, sf_dir)))
+
+
 _on_raw(
     "dq_seasonal_correlation",
     lambda r: quality.seasonal_correlation(r["users"], r["ad_costs"]),
@@ -178,7 +193,7 @@ def _results() -> list[str]:
 @_query
 def layer_row_counts(spark, sf_dir):
     layer = staged(spark, sf_dir)
-    tables = {("raw", t): df for t, df in layer.raw.items()}
+    tables = {("raw", t): df for t, df in layer.source.items()}
     tables |= {("staging", STAGED_PREFIX + t): df for t, df in layer.all().items()}
     tables |= {("marts", name): df for name, df in build_marts(layer).items()}
     return layers.row_counts(tables)
@@ -187,7 +202,7 @@ def layer_row_counts(spark, sf_dir):
 @_query
 def staging_kept_excluded(spark, sf_dir):
     layer = staged(spark, sf_dir)
-    return layers.kept_and_excluded(layer.raw, layer.all())
+    return layers.kept_and_excluded(layer.source, layer)
 
 
 @_query
@@ -340,7 +355,7 @@ _on_raw("flagged_attempts", lambda r: corrections.flag_attempts(r["payment_attem
 _on_raw("flagged_ad_costs", lambda r: corrections.flag_ad_costs(r["ad_costs"]))
 _on_staged(
     "quarantined_enrollments",
-    lambda s: corrections.quarantine(s.raw["enrollments"], s["enrollments"], "enrollment_id"),
+    lambda s: corrections.quarantine(s.source["enrollments"], s["enrollments"], "enrollment_id"),
 )
 _on_raw("transactions", lambda r: corrections.split_refunds(r["payments"]))
 _on_raw("net_revenue", lambda r: corrections.net_revenue(r["payments"]))
@@ -372,7 +387,7 @@ def payments_at_list_price(spark, sf_dir):
         "payment_id", "user_id", "course_id", "paid_at", "amount_rub"
     )
     versions = _course_history(spark, sf_dir)
-    return history.join_at_time(payments, versions, "course_id", "paid_at", HISTORY_END)
+    return history.join_at_time(payments, versions, "course_id", "paid_at")
 
 
 @_query
@@ -380,7 +395,7 @@ def revenue_of_courses_on_sale(spark, sf_dir):
     """Monthly revenue of courses published at the time of payment, not now."""
     paid = marts.successful(raw(spark, sf_dir)["payments"]).filter(F.col("amount_rub") > 0)
     on_sale = _course_history(spark, sf_dir).filter(F.col("is_published") == 1)
-    sold = history.join_at_time(paid, on_sale, "course_id", "paid_at", HISTORY_END, "left_semi")
+    sold = history.join_at_time(paid, on_sale, "course_id", "paid_at", "left_semi")
     return sold.groupBy(period_start("paid_at").alias("payment_month")).agg(
         F.sum("amount_rub").alias("revenue"), F.count(F.lit(1)).alias("transactions")
     )

@@ -1,5 +1,6 @@
 """Reports over staged tables: finance, advertising, product, curators, operations."""
 
+import datetime as dt
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -278,6 +279,17 @@ def active_students(
     return _active_with_idle(users, enrollments, courses, as_of).select(*_STUDENT)
 
 
+def _at_risk(active: DataFrame, as_of, idle_days: int, low_progress: int, old_days: int) -> DataFrame:
+    idle = F.col("days_idle") > idle_days
+    age = F.date_diff(_day(as_of), F.col("enrolled_at").cast("date"))
+    slow = (F.col("progress_pct") < low_progress) & (age > old_days)
+    return (
+        active.filter(idle | slow)
+        .withColumn("is_idle", idle)
+        .withColumn("is_slow", F.coalesce(slow, F.lit(False)))
+    )
+
+
 def at_risk_students(
     users: DataFrame,
     enrollments: DataFrame,
@@ -288,16 +300,9 @@ def at_risk_students(
     old_days: int = 30,
 ) -> DataFrame:
     """Active enrollments idle for long, or old with little progress; longest idle first."""
-    idle = F.col("days_idle") > idle_days
-    age = F.date_diff(_day(as_of), F.col("enrolled_at").cast("date"))
-    slow = (F.col("progress_pct") < low_progress) & (age > old_days)
-    return (
-        active_students(users, enrollments, courses, as_of)
-        .filter(idle | slow)
-        .withColumn("is_idle", idle)
-        .withColumn("is_slow", F.coalesce(slow, F.lit(False)))
-        .orderBy(F.desc("days_idle"), "enrollment_id")
-    )
+    active = active_students(users, enrollments, courses, as_of)
+    at_risk = _at_risk(active, as_of, idle_days, low_progress, old_days)
+    return at_risk.orderBy(F.desc("days_idle"), "enrollment_id")
 
 
 # Operations
@@ -311,13 +316,20 @@ def operations_counters(
     attempts: DataFrame,
     as_of,
 ) -> DataFrame:
-    """Counters of the day, week and month of ``as_of`` as ``metric, value`` rows."""
-    today = _day(as_of)
-    spans = {g: F.trunc(today, g) for g in ("week", "month")} | {"day": today}
+    """Counters of the day, week and month of ``as_of`` as ``metric, value`` rows.
+
+    The periods are plain dates, so each table is filtered by them at the scan.
+    """
+    today = dt.datetime.fromisoformat(str(as_of)).date()
+    tomorrow = today + dt.timedelta(days=1)
+    starts = {
+        "day": today,
+        "week": today - dt.timedelta(days=today.weekday()),
+        "month": today.replace(day=1),
+    }
 
-    def since(column, start):
-        moment = F.col(column).cast("date")
-        return (moment >= start) & (moment <= today)
+    def since(df, column, start):
+        return df.filter((F.col(column) >= as_ntz(start)) & (F.col(column) < as_ntz(tomorrow)))
 
     def rows(df, metrics):
         """One pass over ``df``: its aggregates as metric rows."""
@@ -328,27 +340,34 @@ def operations_counters(
         ]
         return one.select(F.inline(F.array(*pairs)))
 
-    def per_span(prefix, column):
-        return {f"{prefix}_{g}": F.count_if(since(column, s)) for g, s in spans.items()}
+    def per_span(df, column, prefix):
+        recent = since(df, column, min(starts.values()))
+        return rows(
+            recent,
+            {
+                f"{prefix}_{span}": F.count_if(F.col(column) >= as_ntz(start))
+                for span, start in starts.items()
+            },
+        )
 
-    paid_today = since("paid_at", today)
-    tried = since("attempted_at", F.date_sub(today, 6))
-    gave_up = F.count_if(tried & (F.col("result") == "abandoned"))
+    active = active_students(users, enrollments, courses, as_of)
+    gave_up = F.count_if(F.col("result") == "abandoned")
     parts = [
-        rows(users, per_span("registrations", "registered_at")),
-        rows(enrollments, per_span("enrollments", "enrolled_at")),
+        per_span(users, "registered_at", "registrations"),
+        per_span(enrollments, "enrolled_at", "enrollments"),
         rows(
-            successful(payments),
+            since(successful(payments), "paid_at", today),
             {
-                "payments_day": F.count_if(paid_today),
-                "payments_day_rub": F.coalesce(
-                    F.sum(F.when(paid_today, F.col("amount_rub"))), F.lit(0)
-                ),
+                "payments_day": F.count(F.lit(1)),
+                "payments_day_rub": F.coalesce(F.sum("amount_rub"), F.lit(0)),
             },
         ),
-        rows(attempts, {"dropoff_7d_pct": ratio(gave_up, F.count_if(tried), 1, 100)}),
         rows(
-            at_risk_students(users, enrollments, courses, as_of).select("user_id"),
+            since(attempts, "attempted_at", today - dt.timedelta(days=6)),
+            {"dropoff_7d_pct": ratio(gave_up, F.count(F.lit(1)), 1, 100)},
+        ),
+        rows(
+            _at_risk(active, as_of, 7, 20, 30),
             {"students_at_risk": F.countDistinct("user_id")},
         ),
     ]

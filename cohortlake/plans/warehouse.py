@@ -17,7 +17,43 @@ from cohortlake.sources.layers import (
 )
 
 
-class StagedLayer:
+class WrittenLayer(Mapping):
+    """Tables written to storage on first use and read from there."""
+
+    def __init__(self, source: Mapping[str, DataFrame], root: str, layer: str, prefix: str = ""):
+        self.source, self.root = source, root
+        self._layer, self._prefix = layer, prefix
+        self._written: dict[str, DataFrame] = {}
+        self.rows: dict[str, int] = {}
+
+    def derive(self, table: str) -> DataFrame:
+        """The lazy frame that gets written."""
+        return self.source[table]
+
+    def __getitem__(self, table: str) -> DataFrame:
+        if table not in self._written:
+            path = table_path(self.root, self._layer, self._prefix + table)
+            self._written[table], self.rows[table] = create_counted(self.derive(table), path)
+        return self._written[table]
+
+    def __iter__(self):
+        return iter(TABLES)
+
+    def __len__(self) -> int:
+        return len(TABLES)
+
+    def all(self) -> dict[str, DataFrame]:
+        return {table: self[table] for table in self}
+
+
+class RawLayer(WrittenLayer):
+    """Raw tables mirrored once, for suites that read each of them many times."""
+
+    def __init__(self, source: Mapping[str, DataFrame], root: str):
+        super().__init__(source, root, "raw")
+
+
+class StagedLayer(WrittenLayer):
     """Staged tables written to storage on first use, each reading the earlier ones.
 
     A mart that needs enrollments builds users, courses and enrollments and no
@@ -36,27 +72,14 @@ class StagedLayer:
     }
 
     def __init__(self, raw: Mapping[str, DataFrame], as_of, root: str):
-        self.raw, self.as_of, self.root = raw, as_of, root
-        self._written: dict[str, DataFrame] = {}
-        self.rows_kept: dict[str, int] = {}
+        super().__init__(raw, root, "staging", STAGED_PREFIX)
+        self.as_of = as_of
 
     def derive(self, table: str) -> DataFrame:
-        """The staged table as a lazy frame over its written inputs."""
-        source = self.raw[table]
         inputs = [self[need] for need in self._NEEDS[table]]
         if table in ("users", "ad_costs"):
             inputs = [self.as_of]
-        return getattr(staging, f"stage_{table}")(source, *inputs)
-
-    def __getitem__(self, table: str) -> DataFrame:
-        if table not in self._written:
-            path = table_path(self.root, "staging", STAGED_PREFIX + table)
-            written, rows = create_counted(self.derive(table), path)
-            self._written[table], self.rows_kept[table] = written, rows
-        return self._written[table]
-
-    def all(self) -> dict[str, DataFrame]:
-        return {table: self[table] for table in TABLES}
+        return getattr(staging, f"stage_{table}")(self.source[table], *inputs)
 
 
 def build_marts(layer) -> dict[str, DataFrame]:
@@ -102,16 +125,16 @@ def register(
     return {layer: list_tables(spark, layer) for layer in LAYERS}
 
 
-_layers: dict[tuple, StagedLayer] = {}
+_layers: dict[tuple, WrittenLayer] = {}
 
 
-def staged_layer(spark: SparkSession, source: str, raw: Mapping[str, DataFrame], as_of) -> StagedLayer:
-    """The staged layer of a source, shared by the marts and reports of one application.
+def shared_layer(spark: SparkSession, name: str, source: str, make) -> WrittenLayer:
+    """The layer ``make(folder)`` of a source, shared by the queries of one application.
 
     It lives in a folder of its own, so another application or another source
     never reads it.
     """
-    key = (spark.sparkContext.applicationId, source, str(as_of))
+    key = (spark.sparkContext.applicationId, name, source)
     if key not in _layers:
-        _layers[key] = StagedLayer(raw, as_of, run_folder(spark, "staged"))
+        _layers[key] = make(run_folder(spark, name))
     return _layers[key]

@@ -9,6 +9,9 @@ from cohortlake.session import configure
 from cohortlake.sources.csvfiles import read_csv_layer
 from tests.fixture import AS_OF, CSV
 
+_FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+SOURCE = _FOLDER if os.path.isdir(_FOLDER) else None
+
 
 @pytest.fixture(scope="session")
 def spark():

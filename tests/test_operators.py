@@ -137,20 +137,19 @@ def test_join_at_time_against_brute_force(spark, seed):
     expected = {
         i: next((p for vk, p, a, b in spans if vk == k and a <= t < b), None) for i, k, t in events
     }
-    until = "2026-01-01"
-    left = history.join_at_time(frame, versions, "k", "t", until, "left").collect()
+    left = history.join_at_time(frame, versions, "k", "t", "left").collect()
     assert {r.id: r.price for r in left} == expected and len(left) == len(events)
     matched = {i for i, p in expected.items() if p is not None}
-    semi = history.join_at_time(frame, versions, "k", "t", until, "left_semi")
+    semi = history.join_at_time(frame, versions, "k", "t", "left_semi")
     assert {r.id for r in semi.collect()} == matched
-    anti = history.join_at_time(frame, versions, "k", "t", until, "left_anti")
+    anti = history.join_at_time(frame, versions, "k", "t", "left_anti")
     assert {r.id for r in anti.collect()} == set(expected) - matched
 
 
 def test_point_in_time_join_rejects_other_types(spark):
     df = snapshots(spark, [(1, "2024-01-01 00:00", 10)])
     with pytest.raises(ValueError):
-        history.join_at_time(df, df, "k", "at", AS_OF, "cross")
+        history.join_at_time(df, df, "k", "at", "cross")
 
 
 @pytest.mark.parametrize("seed", range(3))

@@ -84,7 +84,7 @@ def test_kept_and_excluded(spark, raw, staged):
 def test_rows_observed_while_writing(spark, raw):
     layer = warehouse.StagedLayer(raw, AS_OF, run_folder(spark, "observed"))
     layer["enrollments"]
-    assert layer.rows_kept == {"users": 6, "courses": 4, "enrollments": 8}
+    assert layer.rows == {"users": 6, "courses": 4, "enrollments": 8}
 
 
 def test_shared_folder_is_the_session_setting(spark):
