@@ -1,6 +1,7 @@
 """Named queries ``(spark, sf_dir) -> DataFrame`` over the source tables."""
 
 from collections.abc import Callable, Mapping
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -8,9 +9,9 @@ from pyspark.sql import functions as F
 from cohortlake.functions import as_ntz, period_start
 from cohortlake.operators import compare, corrections, history, keys, quality, reconcile
 from cohortlake.plans import marts, reports
-from cohortlake.plans.warehouse import RawLayer, StagedLayer, build_marts, shared_layer
+from cohortlake.plans.warehouse import RawLayer, StagedLayer, build_marts
 from cohortlake.schemas import STAGED_PREFIX, TABLES
-from cohortlake.session import configure, run_folder
+from cohortlake.session import configure, run_folder, stored_state
 from cohortlake.sources import bindings, csvfiles, layers, reporttext
 from cohortlake.sources.bindings import AS_OF
 from cohortlake.streaming import incremental
@@ -18,27 +19,53 @@ from cohortlake.streaming import incremental
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
-_bound: dict[tuple, bindings.RawTables] = {}
-
 SUMMARY_START, SUMMARY_END = "1998-01-01", "1999-01-01"
 
 
+class Source:
+    """The tables of one folder, and the layers its queries share once written."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self._spark = spark
+        self.raw = bindings.RawTables(spark, sf_dir)
+
+    @cached_property
+    def raw_layer(self) -> RawLayer:
+        return RawLayer(self.raw, run_folder(self._spark, "raw"))
+
+    @cached_property
+    def staged(self) -> StagedLayer:
+        return StagedLayer(self.raw, AS_OF, run_folder(self._spark, "staged"))
+
+
+_sources: dict[tuple, Source] = {}
+
+
+def source(spark: SparkSession, sf_dir: str) -> Source:
+    """The source, shared by the queries of one application while its files stay the same.
+
+    The session's shuffles are sized from the bytes of the files on the way.
+    """
+    files = [stored_state(spark, f"{sf_dir}/{t}.parquet") for t in bindings.SOURCES]
+    configure(spark, sum(size for size, _, _ in files))
+    key = (spark.sparkContext.applicationId, sf_dir, *files)
+    if key not in _sources:
+        _sources[key] = Source(spark, sf_dir)
+    return _sources[key]
+
+
 def raw(spark: SparkSession, sf_dir: str) -> Mapping[str, DataFrame]:
-    key = (configure(spark).sparkContext.applicationId, sf_dir)
-    if key not in _bound:
-        _bound[key] = bindings.RawTables(spark, sf_dir)
-    return _bound[key]
+    """Raw tables as lazy frames."""
+    return source(spark, sf_dir).raw
 
 
 def raw_layer(spark: SparkSession, sf_dir: str) -> RawLayer:
     """Raw tables written once: a quality run reads payments and enrollments four times."""
-    bound = raw(spark, sf_dir)
-    return shared_layer(spark, "raw", sf_dir, lambda folder: RawLayer(bound, folder))
+    return source(spark, sf_dir).raw_layer
 
 
 def staged(spark: SparkSession, sf_dir: str) -> StagedLayer:
-    bound = raw(spark, sf_dir)
-    return shared_layer(spark, "staged", sf_dir, lambda folder: StagedLayer(bound, AS_OF, folder))
+    return source(spark, sf_dir).staged
 
 
 def _query(fn: Query) -> Query:
@@ -151,7 +178,7 @@ def dq_alerts(spark, sf_dir):
 @_query
 def dq_report_text(spark, sf_dir):
     """The findings written as a text report and read back."""
-    path = run_folder(configure(spark), "report")
+    path = run_folder(spark, "report")
     reporttext.report_lines(_raw_checks(spark, sf_dir)).write.text(path)
     return reporttext.read_report(spark, path)
 
@@ -159,7 +186,7 @@ def dq_report_text(spark, sf_dir):
 @_query
 def dq_stored_results(spark, sf_dir):
     """Results stored as a table and read back."""
-    path = run_folder(configure(spark), "results")
+    path = run_folder(spark, "results")
     reporttext.store_results(_raw_checks(spark, sf_dir), path)
     return _counts(reporttext.load_results(spark, path))
 
@@ -216,8 +243,8 @@ def preview_topk(spark, sf_dir):
 @_query
 def csv_round_trip(spark, sf_dir):
     """Courses exported as CSV and read back with the declared schema."""
-    path = run_folder(configure(spark), "courses")
-    csvfiles.write_csv(bindings.courses(spark, sf_dir), path)
+    path = run_folder(spark, "courses")
+    csvfiles.write_csv(raw(spark, sf_dir)["courses"], path)
     return csvfiles.read_csv(spark, path, "courses")
 
 
@@ -225,7 +252,7 @@ def csv_round_trip(spark, sf_dir):
 def coerced_timestamps(spark, sf_dir):
     """Registration times held as text, some of them unreadable."""
     text = F.when(F.col("user_id") % 9 == 4, "n/a").otherwise(F.col("registered_at").cast("string"))
-    users = bindings.users(configure(spark), sf_dir).withColumn("registered_at", text)
+    users = raw(spark, sf_dir)["users"].withColumn("registered_at", text)
     return csvfiles.coerce_timestamps(users, ["registered_at"]).select("user_id", "registered_at")
 
 
@@ -234,7 +261,8 @@ def coerced_timestamps(spark, sf_dir):
 
 @_query
 def dedupe_min_key(spark, sf_dir):
-    parts = bindings.read(configure(spark), sf_dir, "part").select("p_partkey", "p_name", "p_type")
+    source(spark, sf_dir)
+    parts = bindings.read(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type")
     return keys.keep_smallest_id(parts, "p_name", "p_partkey")
 
 
@@ -369,7 +397,8 @@ _on_raw(
 
 
 def _course_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    snapshots = bindings.course_snapshots(configure(spark), sf_dir)
+    source(spark, sf_dir)
+    snapshots = bindings.course_snapshots(spark, sf_dir)
     return history.build_history(
         snapshots, "course_id", ["price_rub", "is_published"], "observed_at"
     )
@@ -404,7 +433,7 @@ def revenue_of_courses_on_sale(spark, sf_dir):
 @_query
 def incremental_daily_orders(spark, sf_dir):
     """Order value per day, loaded as a stream of files and refreshed by touched month."""
-    configure(spark)
+    source(spark, sf_dir)
     folder = run_folder(spark, "incremental")
     schema = bindings.read(spark, sf_dir, "orders").schema
     stream = incremental.file_stream(spark, schema, sf_dir, "orders.parquet")
@@ -416,9 +445,9 @@ def incremental_daily_orders(spark, sf_dir):
             F.count(F.lit(1)).alias("orders"), F.sum(value).alias("value_rub")
         )
 
-    def refresh(batch, _):
+    def refresh(batch_id):
         loaded = incremental.read_loaded(spark, schema, facts)
-        incremental.refresh_months(loaded, batch, daily, mart)
+        incremental.refresh_months(loaded, batch_id, daily, mart)
 
     incremental.load_new(stream, "o_orderdate", facts, f"{folder}/checkpoint", refresh)
     return spark.read.parquet(mart).select("month", "day", "orders", "value_rub")

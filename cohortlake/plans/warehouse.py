@@ -7,7 +7,6 @@ from pyspark.sql import DataFrame, SparkSession
 from cohortlake.operators import staging
 from cohortlake.plans import marts
 from cohortlake.schemas import LAYERS, STAGED_PREFIX, TABLES
-from cohortlake.session import run_folder
 from cohortlake.sources.layers import (
     create_counted,
     create_table,
@@ -123,18 +122,3 @@ def register(
     for (layer, table), df in tables.items():
         df.write.mode("overwrite" if replace else "errorifexists").saveAsTable(f"{layer}.{table}")
     return {layer: list_tables(spark, layer) for layer in LAYERS}
-
-
-_layers: dict[tuple, WrittenLayer] = {}
-
-
-def shared_layer(spark: SparkSession, name: str, source: str, make) -> WrittenLayer:
-    """The layer ``make(folder)`` of a source, shared by the queries of one application.
-
-    It lives in a folder of its own, so another application or another source
-    never reads it.
-    """
-    key = (spark.sparkContext.applicationId, name, source)
-    if key not in _layers:
-        _layers[key] = make(run_folder(spark, name))
-    return _layers[key]

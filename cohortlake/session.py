@@ -18,13 +18,48 @@ _SETTINGS = {
 }
 
 
-def configure(spark: SparkSession) -> SparkSession:
-    """Apply the runtime SQL settings to a session and return it."""
+# Shuffles start from partitions of about this much stored input; adaptive execution
+# joins the small ones afterwards. More partitions than the limit would cost more in
+# shuffle blocks than they save.
+_INPUT_PER_PARTITION = 64 * 1024 * 1024
+_MOST_PARTITIONS = 50_000
+
+
+def configure(spark: SparkSession, input_bytes: int = 0) -> SparkSession:
+    """Apply the runtime SQL settings to a session and return it.
+
+    With the size of the input the initial number of shuffle partitions grows
+    with it; the session's own number stays the least.
+    """
     for key, value in _SETTINGS.items():
         spark.conf.set(key, value)
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    wanted = min(input_bytes // _INPUT_PER_PARTITION, _MOST_PARTITIONS)
+    spark.conf.set(
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(max(least, wanted))
+    )
     return spark
 
 
+def _file_system(spark: SparkSession, path: str):
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists on whatever file system it names."""
+    files, hadoop_path = _file_system(spark, path)
+    return files.exists(hadoop_path)
+
+
+def stored_state(spark: SparkSession, path: str) -> tuple[int, int, int]:
+    """Bytes, files and change time of a file or folder."""
+    files, hadoop_path = _file_system(spark, path)
+    content = files.getContentSummary(hadoop_path)
+    changed = files.getFileStatus(hadoop_path).getModificationTime()
+    return content.getLength(), content.getFileCount(), changed
+
+
 def shared_root(spark: SparkSession) -> str:
     """Folder every executor can reach: ``spark.checkpoint.dir`` of the session.
 
@@ -43,5 +78,11 @@ def shared_root(spark: SparkSession) -> str:
 
 
 def run_folder(spark: SparkSession, name: str) -> str:
-    """A path below the shared folder that no other run uses."""
-    return os.path.join(shared_root(spark), "cohortlake", f"{name}-{uuid.uuid4().hex}")
+    """A path below the shared folder that no other run uses.
+
+    All paths of an application share a folder, which can go once it has ended.
+    """
+    application = spark.sparkContext.applicationId
+    return os.path.join(
+        shared_root(spark), "cohortlake", application, f"{name}-{uuid.uuid4().hex}"
+    )

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cohortlake.schemas import SCHEMAS, TABLES
+from cohortlake.session import exists
 
 CORRUPT = "_corrupt_record"
 # Fixed value: the text form of timestamps in the input files.
@@ -19,12 +20,6 @@ class MissingInputs(ValueError):
         self.missing = missing
 
 
-def exists(spark: SparkSession, path: str) -> bool:
-    """Whether a path exists on whatever file system it names."""
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
-
-
 def require(spark: SparkSession, paths: list[str]) -> None:
     """Raise :class:`MissingInputs` naming every path that is absent."""
     missing = [p for p in paths if not exists(spark, p)]

@@ -29,7 +29,7 @@ def load_new(
     moment: str,
     target: str,
     checkpoint: str,
-    after_batch: Callable[[DataFrame, int], None] | None = None,
+    after_batch: Callable[[int], None] | None = None,
 ) -> None:
     """Append everything new to ``target`` by month, then stop.
 
@@ -43,7 +43,7 @@ def load_new(
         )
         _overwrite_parts(placed, ["month", "batch_id"], target)
         if after_batch is not None:
-            after_batch(placed, batch_id)
+            after_batch(batch_id)
 
     query = (
         stream.writeStream.foreachBatch(write)
@@ -72,12 +72,14 @@ def read_loaded(spark: SparkSession, schema: T.StructType, target: str) -> DataF
 
 
 def refresh_months(
-    facts: DataFrame, batch: DataFrame, mart: Callable[[DataFrame], DataFrame], target: str
+    loaded: DataFrame, batch_id: int, mart: Callable[[DataFrame], DataFrame], target: str
 ) -> None:
-    """Recompute ``mart`` for the months of a batch and replace just these.
+    """Recompute ``mart`` for the months of a loaded batch and replace just these.
 
-    ``mart`` must keep the ``month`` column. The distinct months are few, and the
-    join on the partition column lets Spark skip the other months' files.
+    ``mart`` must keep the ``month`` column. The months of a batch are calendar
+    months, so naming them in the filter is safe and prunes the other partitions.
     """
-    touched = batch.select("month").distinct()
-    _overwrite_parts(mart(facts.join(touched, "month", "left_semi")), ["month"], target)
+    of_batch = loaded.filter(F.col("batch_id") == batch_id).select("month").distinct()
+    months = [r.month for r in of_batch.collect()]
+    if months:
+        _overwrite_parts(mart(loaded.filter(F.col("month").isin(months))), ["month"], target)

@@ -4,9 +4,9 @@ import pytest
 from pyspark.errors import AnalysisException
 
 from cohortlake import schemas as S
-from cohortlake.plans import warehouse
-from cohortlake.session import run_folder, shared_root
-from cohortlake.sources import csvfiles, layers
+from cohortlake.plans import registry, warehouse
+from cohortlake.session import configure, run_folder, shared_root
+from cohortlake.sources import bindings, csvfiles, layers
 from tests.fixture import AS_OF, RAW_COUNTS
 
 
@@ -101,3 +101,24 @@ def test_checks_cover_every_code():
     from cohortlake.operators.quality import CHECKS
 
     assert list(CHECKS) == list(RAW_COUNTS)
+
+
+def test_shuffles_grow_with_the_input(spark):
+    name = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    for size, partitions in ((0, "4"), (64 << 30, "1024"), (100 << 40, "50000")):
+        configure(spark, size)
+        assert spark.conf.get(name) == partitions
+    configure(spark)
+
+
+def test_changed_files_are_a_new_source(spark, tmp_path):
+    for table, columns in bindings.SOURCES.items():
+        empty = spark.createDataFrame([], columns)
+        empty.write.parquet(str(tmp_path / f"{table}.parquet"))
+    first = registry.source(spark, str(tmp_path))
+    assert registry.source(spark, str(tmp_path)) is first
+    spark.createDataFrame(
+        [(1, "n", 2, 3.0, "BUILDING")], bindings.SOURCES["customer"]
+    ).write.mode("append").parquet(str(tmp_path / "customer.parquet"))
+    second = registry.source(spark, str(tmp_path))
+    assert second is not first and second.staged["users"].count() == 1

@@ -21,11 +21,11 @@ def test_incremental_load_and_refresh(spark, raw):
             F.sum("amount_rub").alias("amount")
         )
 
-    def after(batch, batch_id):
-        refreshed.append(sorted(str(r.month) for r in batch.select("month").distinct().collect()))
-        incremental.refresh_months(
-            incremental.read_loaded(spark, schema, facts), batch, daily, mart
-        )
+    def after(batch_id):
+        loaded = incremental.read_loaded(spark, schema, facts)
+        new = loaded.filter(F.col("batch_id") == batch_id).select("month").distinct()
+        refreshed.append(sorted(str(r.month) for r in new.collect()))
+        incremental.refresh_months(loaded, batch_id, daily, mart)
 
     def load():
         stream = incremental.file_stream(spark, schema, source)
