@@ -488,7 +488,7 @@ WHERE coalesce(status, '') NOT IN ('active', 'completed', 'dropped', 'paused') G
         for t in _RAW_NAMES
     ))
     sql["preview_topk"] = _with("""
-SELECT payment_month, paying_users, transactions, revenue, revenue_mom_pct FROM mart_revenue
+SELECT payment_month, paying_users, revenue, avg_check, revenue_mom_pct FROM mart_revenue
 ORDER BY payment_month LIMIT 3""", **_REVENUE_PARTS)
     sql["csv_round_trip"] = _with("SELECT * FROM courses")
     sql["coerced_timestamps"] = _with("""

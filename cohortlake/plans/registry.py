@@ -37,6 +37,20 @@ class Source:
     def staged(self) -> StagedLayer:
         return StagedLayer(self.raw, AS_OF, run_folder(self._spark, "staged"))
 
+    @cached_property
+    def raw_results(self) -> DataFrame:
+        return self._stored("raw", self.raw_layer)
+
+    @cached_property
+    def staged_results(self) -> DataFrame:
+        return self._stored("staging", self.staged)
+
+    def _stored(self, layer: str, tables: Mapping[str, DataFrame]) -> DataFrame:
+        """Results of a quality run, kept as a table for the queries that read results."""
+        path = run_folder(self._spark, f"quality-{layer}")
+        reporttext.store_results(quality.run_checks(tables, AS_OF), path)
+        return reporttext.load_results(self._spark, path)
+
 
 _sources: dict[tuple, Source] = {}
 
@@ -108,70 +122,69 @@ def _counts(results: DataFrame) -> DataFrame:
     return results.select("code", "table_name", "severity", "n")
 
 
-def _raw_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.run_checks(raw_layer(spark, sf_dir), AS_OF)
-
-
-def _staged_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.run_checks(staged(spark, sf_dir), AS_OF)
+def _results(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Stored results of the raw and the staged layer."""
+    tables = source(spark, sf_dir)
+    return tables.raw_results, tables.staged_results
 
 
 @_query
 def dq_raw(spark, sf_dir):
-    return _counts(_raw_checks(spark, sf_dir))
+    return _counts(quality.run_checks(raw_layer(spark, sf_dir), AS_OF))
 
 
 @_query
 def dq_staging(spark, sf_dir):
-    return _counts(_staged_checks(spark, sf_dir))
+    return _counts(quality.run_checks(staged(spark, sf_dir), AS_OF))
 
 
 @_query
 def dq_compare(spark, sf_dir):
-    return compare.compare_runs(_raw_checks(spark, sf_dir), _staged_checks(spark, sf_dir))
+    return compare.compare_runs(*_results(spark, sf_dir))
 
 
 @_query
 def dq_compare_totals(spark, sf_dir):
-    return compare.compare_totals(_raw_checks(spark, sf_dir), _staged_checks(spark, sf_dir))
+    return compare.compare_totals(*_results(spark, sf_dir))
 
 
 @_query
 def dq_secondary_growth(spark, sf_dir):
-    return compare.secondary_growth(_raw_checks(spark, sf_dir), _staged_checks(spark, sf_dir))
+    return compare.secondary_growth(*_results(spark, sf_dir))
 
 
 @_query
 def dq_run_history(spark, sf_dir):
-    runs = compare.as_run(_raw_checks(spark, sf_dir), "raw", as_ntz(AS_OF)).unionByName(
-        compare.as_run(_staged_checks(spark, sf_dir), "staging", as_ntz("1999-07-01"))
+    before, after = _results(spark, sf_dir)
+    runs = compare.as_run(before, "raw", as_ntz(AS_OF)).unionByName(
+        compare.as_run(after, "staging", as_ntz("1999-07-01"))
     )
     return compare.run_history(runs)
 
 
 @_query
 def dq_severity_summary(spark, sf_dir):
-    return quality.severity_summary(_raw_checks(spark, sf_dir))
+    return quality.severity_summary(source(spark, sf_dir).raw_results)
 
 
 @_query
 def dq_table_summary(spark, sf_dir):
-    return quality.table_summary(_raw_checks(spark, sf_dir))
+    return quality.table_summary(source(spark, sf_dir).raw_results)
 
 
 @_query
 def dq_clean_checks(spark, sf_dir):
-    return quality.clean_checks(_staged_checks(spark, sf_dir))
+    return quality.clean_checks(source(spark, sf_dir).staged_results)
 
 
 @_query
 def dq_priorities(spark, sf_dir):
-    return quality.priorities(_raw_checks(spark, sf_dir))
+    return quality.priorities(source(spark, sf_dir).raw_results)
 
 
 @_query
 def dq_alerts(spark, sf_dir):
-    rows = quality.alerts(_raw_checks(spark, sf_dir), "raw", AS_OF)
+    rows = quality.alerts(source(spark, sf_dir).raw_results, "raw", AS_OF)
     return rows.select("run_id", "raised_at", "code", "table_name", "n")
 
 
@@ -179,16 +192,14 @@ def dq_alerts(spark, sf_dir):
 def dq_report_text(spark, sf_dir):
     """The findings written as a text report and read back."""
     path = run_folder(spark, "report")
-    reporttext.report_lines(_raw_checks(spark, sf_dir)).write.text(path)
+    reporttext.report_lines(source(spark, sf_dir).raw_results).write.text(path)
     return reporttext.read_report(spark, path)
 
 
 @_query
 def dq_stored_results(spark, sf_dir):
     """Results stored as a table and read back."""
-    path = run_folder(spark, "results")
-    reporttext.store_results(_raw_checks(spark, sf_dir), path)
-    return _counts(reporttext.load_results(spark, path))
+    return _counts(source(spark, sf_dir).raw_results)
 
 
 @_query
@@ -202,18 +213,14 @@ _on_raw(
 )
 _on_raw(
     "unknown_domain_values",
-    lambda r: corrections.unknown_values(r["payment_attempts"], {"result": _results()}).unionByName(
-        corrections.unknown_values(
-            r["enrollments"], corrections.DOMAINS["enrollments"]
-        )
+    lambda r: corrections.unknown_values(
+        r["payment_attempts"], corrections.DOMAINS["payment_attempts"]
+    ).unionByName(
+        corrections.unknown_values(r["enrollments"], corrections.DOMAINS["enrollments"])
     ),
 )
 
 
-def _results() -> list[str]:
-    return corrections.DOMAINS["payment_attempts"]["result"]
-
-
 # Layers and files
 
 
@@ -235,7 +242,7 @@ def staging_kept_excluded(spark, sf_dir):
 @_query
 def preview_topk(spark, sf_dir):
     layer = staged(spark, sf_dir)
-    columns = ["payment_month", "paying_users", "transactions", "revenue", "revenue_mom_pct"]
+    columns = ["payment_month", "paying_users", "revenue", "avg_check", "revenue_mom_pct"]
     mart = marts.mart_revenue(layer["payments"], layer["courses"])
     return layers.preview(mart, columns, "payment_month")
 

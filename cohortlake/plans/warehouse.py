@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cohortlake.operators import staging
 from cohortlake.plans import marts
-from cohortlake.schemas import LAYERS, STAGED_PREFIX, TABLES
+from cohortlake.schemas import LAYERS, SCHEMAS, STAGED_PREFIX, TABLES
+from cohortlake.sources.csvfiles import require
 from cohortlake.sources.layers import (
     create_counted,
     create_table,
@@ -32,9 +33,13 @@ class WrittenLayer(Mapping):
     def __getitem__(self, table: str) -> DataFrame:
         if table not in self._written:
             path = table_path(self.root, self._layer, self._prefix + table)
-            self._written[table], self.rows[table] = create_counted(self.derive(table), path)
+            frame = self._arrange(table, self.derive(table))
+            self._written[table], self.rows[table] = create_counted(frame, path)
         return self._written[table]
 
+    def _arrange(self, table: str, frame: DataFrame) -> DataFrame:
+        return frame
+
     def __iter__(self):
         return iter(TABLES)
 
@@ -70,6 +75,12 @@ class StagedLayer(WrittenLayer):
         "payment_attempts": ["users", "payments"],
     }
 
+    _MOMENT = {
+        "enrollments": "enrolled_at",
+        "payments": "paid_at",
+        "payment_attempts": "attempted_at",
+    }
+
     def __init__(self, raw: Mapping[str, DataFrame], as_of, root: str):
         super().__init__(raw, root, "staging", STAGED_PREFIX)
         self.as_of = as_of
@@ -80,6 +91,16 @@ class StagedLayer(WrittenLayer):
             inputs = [self.as_of]
         return getattr(staging, f"stage_{table}")(self.source[table], *inputs)
 
+    def _arrange(self, table: str, frame: DataFrame) -> DataFrame:
+        """Facts in time order within each file, so a report on a few days skips pages."""
+        moment = self._MOMENT.get(table)
+        return frame.sortWithinPartitions(moment) if moment else frame
+
+
+MARTS = [
+    "mart_revenue", "mart_ad_performance", "mart_activity", "mart_completion", "mart_conversion",
+]
+
 
 def build_marts(layer) -> dict[str, DataFrame]:
     """The five marts of a staged layer (any mapping of table names to frames)."""
@@ -110,6 +131,22 @@ def build(raw: Mapping[str, DataFrame], as_of, root: str) -> dict[tuple[str, str
     return stored
 
 
+def read_layer(spark: SparkSession, root: str, layer: str) -> dict[str, DataFrame]:
+    """The tables of a stored layer by their logical names, all required."""
+    if layer == "marts":
+        paths = {name: table_path(root, layer, name) for name in MARTS}
+    else:
+        prefix = STAGED_PREFIX if layer == "staging" else ""
+        paths = {t: table_path(root, layer, prefix + t) for t in TABLES}
+    require(spark, list(paths.values()))
+
+    def read(table, path):
+        reader = spark.read.schema(SCHEMAS[table]) if table in SCHEMAS else spark.read
+        return reader.parquet(path)
+
+    return {table: read(table, path) for table, path in paths.items()}
+
+
 def register(
     spark: SparkSession, tables: dict[tuple[str, str], DataFrame], replace: bool = False
 ) -> dict[str, list[str]]:

@@ -158,8 +158,8 @@ def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     price = F.floor("l_extendedprice").cast("bigint")
     refund = (F.col("l_returnflag") == "A") & (F.col("l_tax") == 0.08)
     supplier = _rest("l_suppkey", 50)
-    wait = F.make_dt_interval(secs=F.col("l_quantity") * 12)
-    soon = F.col("o_orderdate") + wait
+    seconds = (F.col("l_quantity") * 12).cast("int")
+    soon = F.timestamp_add("SECOND", seconds, F.col("o_orderdate"))
     status = (
         F.when(F.col("l_returnflag") == "R", "refunded")
         .when(supplier == 11, "failed")

@@ -22,6 +22,11 @@ def load_results(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(Q.RESULT_SCHEMA).json(path)
 
 
+def write_text(spark: SparkSession, text: str, path: str) -> None:
+    """A rendered report as one text file below ``path``."""
+    spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(path)
+
+
 def _table(header: list[str], rows: list[list]) -> list[str]:
     lines = ["| " + " | ".join(header) + " |", "|" + "---|" * len(header)]
     return lines + ["| " + " | ".join(str(c) for c in row) + " |" for row in rows]
