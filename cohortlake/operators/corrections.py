@@ -1,4 +1,7 @@
-"""Corrections beside the staging rules: flags, quarantine, refunds, time zones."""
+"""Corrections beside the staging rules: flags, quarantine, refunds, time zones.
+
+A flag is 1 where its rule holds and 0 otherwise, also where a value is missing.
+"""
 
 from functools import reduce
 
@@ -111,6 +114,7 @@ def unknown_values(df: DataFrame, domains: dict[str, list[str]]) -> DataFrame:
 
 
 DOMAINS = {
+    "users": {"channel": S.CHANNELS},
     "enrollments": {"status": S.ENROLLMENT_STATUSES},
     "payments": {"status": S.PAYMENT_STATUSES},
     "payment_attempts": {"result": S.ATTEMPT_RESULTS},

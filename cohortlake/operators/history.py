@@ -16,10 +16,12 @@ def build_history(
 
     Snapshots are reduced to the last one of each key and day before the window,
     so a key brings at most one row per calendar day into a task. Two snapshots
-    of the same instant are settled by their attributes.
+    of the same instant are settled by their attributes. Snapshots without a time
+    cannot be placed and are left out.
     """
     state = F.struct(*attributes)
-    days = snapshots.groupBy(key, F.col(observed_at).cast("date").alias("_day")).agg(
+    dated = snapshots.filter(F.col(observed_at).isNotNull())
+    days = dated.groupBy(key, F.col(observed_at).cast("date").alias("_day")).agg(
         F.max(F.struct(observed_at, *attributes)).alias("_last")
     )
     of_key = Window.partitionBy(key).orderBy("_day")

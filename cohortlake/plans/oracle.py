@@ -348,7 +348,7 @@ _HISTORY = """
         FROM (SELECT l_partkey AS course_id, l_shipdate AS observed_at,
                      CAST(floor(l_discount * 100 / 4) * 500 + 1000 AS BIGINT) AS price_rub,
                      CAST(CASE WHEN l_returnflag = 'R' THEN 0 ELSE 1 END AS INTEGER) AS is_published
-              FROM lineitem
+              FROM lineitem WHERE l_shipdate IS NOT NULL
               QUALIFY row_number() OVER (PARTITION BY l_partkey, CAST(l_shipdate AS DATE)
                                          ORDER BY l_shipdate DESC, price_rub DESC, is_published DESC) = 1))
   WHERE prev IS DISTINCT FROM (price_rub, is_published)
@@ -625,14 +625,15 @@ FROM stg_payments WHERE status = 'success' GROUP BY 1""")
     sql["flagged_users"] = _with(f"""
 SELECT *,
        CAST(user_id <> min(user_id) OVER (PARTITION BY email) AS INTEGER) AS is_duplicate,
-       CAST(registered_at > TIMESTAMP '{AS_OF}' AS INTEGER) AS is_test
+       CASE WHEN registered_at > TIMESTAMP '{AS_OF}' THEN 1 ELSE 0 END AS is_test
 FROM users""")
-    sql["flagged_courses"] = _with("SELECT *, CAST(price_rub = 0 AS INTEGER) AS is_free FROM courses")
+    sql["flagged_courses"] = _with("SELECT *, CASE WHEN price_rub = 0 THEN 1 ELSE 0 END AS is_free FROM courses")
     sql["flagged_attempts"] = _with("""
 SELECT a.*, CAST(NOT EXISTS (SELECT 1 FROM users u WHERE u.user_id = a.user_id) AS INTEGER) AS is_guest
 FROM payment_attempts a""")
     sql["flagged_ad_costs"] = _with("""
-SELECT *, CAST(spend_rub = 0 AND impressions > 0 AS INTEGER) AS data_quality_issue FROM ad_costs""")
+SELECT *, CASE WHEN spend_rub = 0 AND impressions > 0 THEN 1 ELSE 0 END AS data_quality_issue
+FROM ad_costs""")
     sql["quarantined_enrollments"] = _with("""
 SELECT * FROM enrollments WHERE enrollment_id NOT IN (SELECT enrollment_id FROM stg_enrollments)""")
     sql["transactions"] = _with("""

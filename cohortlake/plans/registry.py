@@ -31,7 +31,9 @@ class Source:
 
     @cached_property
     def raw_layer(self) -> RawLayer:
-        return RawLayer(self.raw, run_folder(self._spark, "raw"))
+        layer = RawLayer(self.raw, run_folder(self._spark, "raw"))
+        layer.all()
+        return layer
 
     @cached_property
     def staged(self) -> StagedLayer:

@@ -187,22 +187,19 @@ def channel_summary(
 def active_users(enrollments: DataFrame) -> DataFrame:
     """Users active per day, week and month, by enrollments.
 
-    One row per user and day first; weeks and months are counted from these.
+    Weeks and months are counted from the distinct users of each day.
     """
-    days = enrollments.select("user_id", period_start("enrolled_at", "day").alias("day")).distinct()
-    spans = F.explode(
-        F.array(
-            *[
-                F.struct(F.lit(g).alias("grain"), period_start("day", g).alias("period"))
-                for g in ("day", "week", "month")
-            ]
-        )
-    )
-    return (
-        days.select("user_id", spans.alias("span"))
-        .groupBy("span.grain", "span.period")
-        .agg(F.countDistinct("user_id").alias("active_users"))
-    )
+    days = enrollments.select("user_id", period_start("enrolled_at", "day").alias("period")).distinct()
+
+    def counted(users, grain):
+        sizes = users.groupBy("period").agg(F.count("user_id").alias("active_users"))
+        return sizes.select(F.lit(grain).alias("grain"), "period", "active_users")
+
+    longer = [
+        counted(days.select("user_id", period_start("period", g).alias("period")).distinct(), g)
+        for g in ("week", "month")
+    ]
+    return reduce(DataFrame.unionByName, longer, counted(days, "day"))
 
 
 def cohort_matrix(activity: DataFrame, months: int = 7) -> DataFrame:

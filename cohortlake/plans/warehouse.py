@@ -1,6 +1,7 @@
 """The three layers: raw tables, staged tables written once, marts over them."""
 
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -10,7 +11,6 @@ from cohortlake.schemas import LAYERS, SCHEMAS, STAGED_PREFIX, TABLES
 from cohortlake.sources.csvfiles import require
 from cohortlake.sources.layers import (
     create_counted,
-    create_table,
     list_tables,
     replace_table,
     table_path,
@@ -20,6 +20,8 @@ from cohortlake.sources.layers import (
 class WrittenLayer(Mapping):
     """Tables written to storage on first use and read from there."""
 
+    _NEEDS: dict[str, list[str]] = {}
+
     def __init__(self, source: Mapping[str, DataFrame], root: str, layer: str, prefix: str = ""):
         self.source, self.root = source, root
         self._layer, self._prefix = layer, prefix
@@ -47,6 +49,10 @@ class WrittenLayer(Mapping):
         return len(TABLES)
 
     def all(self) -> dict[str, DataFrame]:
+        """Every table; those that need no other are written side by side."""
+        alone = [t for t in self if not self._NEEDS.get(t)]
+        with ThreadPoolExecutor(len(alone)) as pool:
+            list(pool.map(self.__getitem__, alone))
         return {table: self[table] for table in self}
 
 
@@ -121,10 +127,9 @@ def build(raw: Mapping[str, DataFrame], as_of, root: str) -> dict[tuple[str, str
     ``root`` names a new warehouse: raw and staged tables fail where they
     exist. Marts replace what was there.
     """
-    stored = {
-        ("raw", t): create_table(df, table_path(root, "raw", t)) for t, df in raw.items()
-    }
-    layer = StagedLayer({t: stored["raw", t] for t in raw}, as_of, root)
+    mirrored = RawLayer(raw, root).all()
+    stored = {("raw", t): df for t, df in mirrored.items()}
+    layer = StagedLayer(mirrored, as_of, root)
     stored |= {("staging", STAGED_PREFIX + t): df for t, df in layer.all().items()}
     for name, mart in build_marts(layer).items():
         stored["marts", name] = replace_table(mart, table_path(root, "marts", name))

@@ -8,7 +8,6 @@ from cohortlake import schemas as S
 from cohortlake.operators import corrections, history, keys, reconcile
 from cohortlake.operators.staging import stage_users
 from cohortlake.session import run_folder
-from cohortlake.sources.csvfiles import read_csv
 from tests.fixture import AS_OF
 
 
@@ -57,9 +56,7 @@ def test_number_rows(spark):
 
 def test_flags(raw):
     users = {r.user_id: r for r in corrections.flag_users(raw["users"], AS_OF).collect()}
-    assert [u for u, r in users.items() if r.is_duplicate] == [5, 8, 10] or sorted(
-        u for u, r in users.items() if r.is_duplicate
-    ) == [5, 8, 10]
+    assert sorted(u for u, r in users.items() if r.is_duplicate) == [5, 8, 10]
     assert [u for u, r in users.items() if r.is_test] == [7]
     free = corrections.flag_courses(raw["courses"]).filter("is_free = 1")
     assert ids(free, "course_id") == [4]
@@ -120,6 +117,13 @@ def test_history(spark):
     assert versions[-1].valid_to.year == 9999
 
 
+def test_snapshots_without_a_time(spark):
+    df = snapshots(spark, [(1, "2024-01-01 00:00", 10)])
+    undated = spark.createDataFrame([(1, None, 5)], df.schema)
+    versions = history.build_history(df.unionByName(undated), "k", ["price"], "at").collect()
+    assert [(r.price, r.is_current) for r in versions] == [(10, True)]
+
+
 @pytest.mark.parametrize("seed", range(2))
 def test_join_at_time_against_brute_force(spark, seed):
     draw = random.Random(seed)
@@ -185,10 +189,6 @@ def test_unconfirmed_against_brute_force(spark, seed):
     assert 900 not in expected and 901 in expected
 
 
-def test_corrupt_reader_is_not_default(spark, csv_folder):
-    assert "_corrupt_record" not in read_csv(spark, f"{csv_folder}/users.csv", "users").columns
-
-
 def test_null_email_hot_group(spark):
     """A third of the users share no e-mail at all: one of them is kept."""
     users = spark.range(3000).select(

@@ -9,7 +9,6 @@ from cohortlake.plans import marts
 from cohortlake.plans.registry import QUERIES
 from cohortlake.session import run_folder
 from tests.conftest import SOURCE
-from tests.fixture import AS_OF
 
 
 @pytest.fixture
@@ -157,4 +156,3 @@ def test_filters_and_columns_reach_the_scan(spark, tmp_path, staged):
     text = plan(marts.revenue_by_period(stored, staged["courses"]))
     scan = next(line for line in text.splitlines() if "FileScan" in line and "paid_at" in line)
     assert "EqualTo(status,success)" in scan and "payment_method" not in scan
-    assert AS_OF
