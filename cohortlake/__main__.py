@@ -10,6 +10,7 @@ import argparse
 
 from pyspark.sql import SparkSession
 
+from cohortlake.functions import as_ntz
 from cohortlake.operators import compare as C
 from cohortlake.operators import quality as Q
 from cohortlake.plans import warehouse
@@ -39,6 +40,8 @@ def check(spark: SparkSession, root: str, layer: str, as_of: str) -> str:
     path = f"{root}/quality/{layer}"
     reporttext.store_results(Q.run_checks(tables, as_of), path)
     results = reporttext.load_results(spark, path)
+    run = C.as_run(results, f"{layer}-{as_of}".replace(" ", "T"), as_ntz(as_of))
+    reporttext.store_run(run, f"{root}/quality/history")
     volumes = layers.row_counts({(layer, t): df for t, df in tables.items()})
     text = reporttext.render_quality(results, volumes, layer)
     reporttext.write_text(spark, text, f"{root}/quality/{layer}_report")

@@ -41,7 +41,7 @@ _TABLES = {
     "order_courses": """
   SELECT o.*, f.first_part
   FROM orders o
-  JOIN (SELECT l_orderkey, min(l_partkey) AS first_part FROM lineitem GROUP BY l_orderkey) f
+  LEFT JOIN (SELECT l_orderkey, min(l_partkey) AS first_part FROM lineitem GROUP BY l_orderkey) f
     ON f.l_orderkey = o.o_orderkey""",
     "enrollments": """
   SELECT o_orderkey AS enrollment_id, o_custkey AS user_id,

@@ -31,9 +31,7 @@ class Source:
 
     @cached_property
     def raw_layer(self) -> RawLayer:
-        layer = RawLayer(self.raw, run_folder(self._spark, "raw"))
-        layer.all()
-        return layer
+        return RawLayer(self.raw, run_folder(self._spark, "raw"))
 
     @cached_property
     def staged(self) -> StagedLayer:
@@ -41,11 +39,11 @@ class Source:
 
     @cached_property
     def raw_results(self) -> DataFrame:
-        return self._stored("raw", self.raw_layer)
+        return self._stored("raw", self.raw_layer.all())
 
     @cached_property
     def staged_results(self) -> DataFrame:
-        return self._stored("staging", self.staged)
+        return self._stored("staging", self.staged.all())
 
     def _stored(self, layer: str, tables: Mapping[str, DataFrame]) -> DataFrame:
         """Results of a quality run, kept as a table for the queries that read results."""
@@ -76,7 +74,10 @@ def raw(spark: SparkSession, sf_dir: str) -> Mapping[str, DataFrame]:
 
 
 def raw_layer(spark: SparkSession, sf_dir: str) -> RawLayer:
-    """Raw tables written once: a quality run reads payments and enrollments four times."""
+    """Raw tables written once, for queries that read one of them more than once.
+
+    A quality run reads payments and enrollments four times each.
+    """
     return source(spark, sf_dir).raw_layer
 
 
@@ -93,6 +94,10 @@ def _on_raw(name: str, fn: Callable[[Mapping], DataFrame]) -> None:
     QUERIES[name] = lambda spark, sf_dir: fn(raw(spark, sf_dir))
 
 
+def _on_raw_layer(name: str, fn: Callable[[RawLayer], DataFrame]) -> None:
+    QUERIES[name] = lambda spark, sf_dir: fn(raw_layer(spark, sf_dir))
+
+
 def _on_staged(name: str, fn: Callable[[StagedLayer], DataFrame]) -> None:
     QUERIES[name] = lambda spark, sf_dir: fn(staged(spark, sf_dir))
 
@@ -132,12 +137,12 @@ def _results(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 
 @_query
 def dq_raw(spark, sf_dir):
-    return _counts(quality.run_checks(raw_layer(spark, sf_dir), AS_OF))
+    return _counts(quality.run_checks(raw_layer(spark, sf_dir).all(), AS_OF))
 
 
 @_query
 def dq_staging(spark, sf_dir):
-    return _counts(quality.run_checks(staged(spark, sf_dir), AS_OF))
+    return _counts(quality.run_checks(staged(spark, sf_dir).all(), AS_OF))
 
 
 @_query
@@ -158,10 +163,10 @@ def dq_secondary_growth(spark, sf_dir):
 @_query
 def dq_run_history(spark, sf_dir):
     before, after = _results(spark, sf_dir)
-    runs = compare.as_run(before, "raw", as_ntz(AS_OF)).unionByName(
-        compare.as_run(after, "staging", as_ntz("1999-07-01"))
-    )
-    return compare.run_history(runs)
+    path = run_folder(spark, "runs")
+    reporttext.store_run(compare.as_run(before, "raw", as_ntz(AS_OF)), path)
+    reporttext.store_run(compare.as_run(after, "staging", as_ntz("1999-07-01")), path)
+    return compare.run_history(reporttext.load_runs(spark, path))
 
 
 @_query
@@ -204,11 +209,7 @@ def dq_stored_results(spark, sf_dir):
     return _counts(source(spark, sf_dir).raw_results)
 
 
-@_query
-def dq_extra_rules(spark, sf_dir):
-    return _counts(quality.run_extra_rules(raw_layer(spark, sf_dir)))
-
-
+_on_raw_layer("dq_extra_rules", lambda r: _counts(quality.run_extra_rules(r)))
 _on_raw(
     "dq_seasonal_correlation",
     lambda r: quality.seasonal_correlation(r["users"], r["ad_costs"]),
@@ -300,7 +301,7 @@ def existence_filter(spark, sf_dir):
     With three-valued logic a row without result stays only if it has a payment,
     as a success does.
     """
-    tables = raw(spark, sf_dir)
+    tables = raw_layer(spark, sf_dir)
     attempts = tables["payment_attempts"]
     paid = keys.key_set(tables["payments"], ["user_id", "course_id"], "payment_id")
     settled = F.col("result") != "success"
@@ -388,7 +389,9 @@ _on_staged("report_daily_payments", lambda s: reports.daily_payments(s["payments
 
 _on_raw("flagged_users", lambda r: corrections.flag_users(r["users"], AS_OF))
 _on_raw("flagged_courses", lambda r: corrections.flag_courses(r["courses"]))
-_on_raw("flagged_attempts", lambda r: corrections.flag_attempts(r["payment_attempts"], r["users"]))
+_on_raw_layer(
+    "flagged_attempts", lambda r: corrections.flag_attempts(r["payment_attempts"], r["users"])
+)
 _on_raw("flagged_ad_costs", lambda r: corrections.flag_ad_costs(r["ad_costs"]))
 _on_staged(
     "quarantined_enrollments",
@@ -399,7 +402,7 @@ _on_raw("net_revenue", lambda r: corrections.net_revenue(r["payments"]))
 _on_raw(
     "users_in_utc", lambda r: corrections.to_utc(r["users"], ["registered_at"], "Europe/Moscow")
 )
-_on_raw(
+_on_raw_layer(
     "unconfirmed_attempts",
     lambda r: reconcile.unconfirmed_attempts(r["payment_attempts"], r["payments"]),
 )
@@ -421,7 +424,7 @@ def course_history(spark, sf_dir):
 @_query
 def payments_at_list_price(spark, sf_dir):
     """Payments with the course version valid when they were made."""
-    payments = raw(spark, sf_dir)["payments"].select(
+    payments = raw_layer(spark, sf_dir)["payments"].select(
         "payment_id", "user_id", "course_id", "paid_at", "amount_rub"
     )
     versions = _course_history(spark, sf_dir)
@@ -431,7 +434,7 @@ def payments_at_list_price(spark, sf_dir):
 @_query
 def revenue_of_courses_on_sale(spark, sf_dir):
     """Monthly revenue of courses published at the time of payment, not now."""
-    paid = marts.successful(raw(spark, sf_dir)["payments"]).filter(F.col("amount_rub") > 0)
+    paid = marts.successful(raw_layer(spark, sf_dir)["payments"]).filter(F.col("amount_rub") > 0)
     on_sale = _course_history(spark, sf_dir).filter(F.col("is_published") == 1)
     sold = history.join_at_time(paid, on_sale, "course_id", "paid_at", "left_semi")
     return sold.groupBy(period_start("paid_at").alias("payment_month")).agg(

@@ -1,8 +1,9 @@
 """The six logical tables over order-processing Parquet tables.
 
-Every derived column is a deterministic expression of real columns; the rules
-plant rows for each quality check. ``course_snapshots`` dates course attributes
-for the history operators.
+Every derived column is a deterministic expression of real columns, and every row
+of the source becomes a row; remainders of keys only decide which rows carry a
+defect for the quality checks to find. ``course_snapshots`` dates course
+attributes for the history operators.
 """
 
 from collections.abc import Mapping
@@ -116,14 +117,14 @@ def courses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _order_courses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders with lines, with the smallest part of the order as its course."""
+    """Every order with its smallest part as its course, none where it has no lines."""
     first = (
         read(spark, sf_dir, "lineitem")
         .groupBy(F.col("l_orderkey").alias("o_orderkey"))
         .agg(F.min("l_partkey").alias("first_part"))
     )
     orders = read(spark, sf_dir, "orders")
-    return orders.join(first, "o_orderkey")
+    return orders.join(first, "o_orderkey", "left")
 
 
 def enrollments(spark: SparkSession, sf_dir: str) -> DataFrame:

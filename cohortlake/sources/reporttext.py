@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from cohortlake.operators import quality as Q
 
+RUN_SCHEMA = (
+    "run_at timestamp_ntz, code string, table_name string, severity string, n bigint, run_id string"
+)
 # Fixed value: a check row of a text report, | `A1` | ... | **1,234** | ...
 CHECK_LINE = r"^\|\s*`(A\d+)`\s*\|.*?\|\s*(?:\*\*)?(\d[\d,]*)(?:\*\*)?\s*\|"
 
@@ -22,6 +25,21 @@ def load_results(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(Q.RESULT_SCHEMA).json(path)
 
 
+def store_run(run: DataFrame, path: str) -> None:
+    """Add a run (see ``compare.as_run``) to the stored history; a repeated run replaces itself."""
+    (
+        run.coalesce(1)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("run_id")
+        .parquet(path)
+    )
+
+
+def load_runs(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(RUN_SCHEMA).parquet(path)
+
+
 def write_text(spark: SparkSession, text: str, path: str) -> None:
     """A rendered report as one text file below ``path``."""
     spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(path)

@@ -82,6 +82,15 @@ def test_history_of_runs(spark):
     assert rows["b", "A1"] == (5, -2) and rows["b", "A2"] == (1, 0)
 
 
+def test_stored_runs(spark, tmp_path):
+    path, at = str(tmp_path / "runs"), F.lit("2024-01-01").cast("timestamp_ntz")
+    for n in (5, 6):  # the same run twice
+        reporttext.store_run(compare.as_run(run(spark, A1=n), "a", at), path)
+    reporttext.store_run(compare.as_run(run(spark, A1=4), "b", at), path)
+    rows = compare.run_history(reporttext.load_runs(spark, path)).collect()
+    assert sorted((r.run_id, r.n, r.previous_n) for r in rows) == [("a", 6, None), ("b", 4, 6)]
+
+
 def test_text_report_reads_back(spark, raw, tmp_path):
     results = quality.run_checks(raw, AS_OF)
     volumes = layers.row_counts({("raw", t): df for t, df in raw.items()})
