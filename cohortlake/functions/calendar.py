@@ -28,10 +28,3 @@ def month_number(start: Column, end: Column) -> Column:
     """Month boundaries between two dates, as bigint."""
     months = (F.year(end) - F.year(start)) * 12 + F.month(end) - F.month(start)
     return months.cast("bigint")
-
-
-def add_period(column: Column, amount: int, unit: str) -> Column:
-    """Timestamp moved by a fixed number of days, hours or minutes."""
-    parts = {"days": F.lit(0), "hours": F.lit(0), "mins": F.lit(0)}
-    parts[unit] = F.lit(amount)
-    return column + F.make_dt_interval(**parts)

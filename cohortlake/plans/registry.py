@@ -31,11 +31,11 @@ class Source:
 
     @cached_property
     def raw_layer(self) -> RawLayer:
-        return RawLayer(self.raw, run_folder(self._spark, "raw"))
+        return RawLayer(self.raw, run_folder(self._spark, "raw"), replace=True)
 
     @cached_property
     def staged(self) -> StagedLayer:
-        return StagedLayer(self.raw, AS_OF, run_folder(self._spark, "staged"))
+        return StagedLayer(self.raw, AS_OF, run_folder(self._spark, "staged"), replace=True)
 
     @cached_property
     def raw_results(self) -> DataFrame:

@@ -10,21 +10,24 @@ from cohortlake.plans import marts
 from cohortlake.schemas import LAYERS, SCHEMAS, STAGED_PREFIX, TABLES
 from cohortlake.sources.csvfiles import require
 from cohortlake.sources.layers import (
-    create_counted,
     list_tables,
     replace_table,
     table_path,
+    write_counted,
 )
 
 
 class WrittenLayer(Mapping):
-    """Tables written to storage on first use and read from there."""
+    """Tables written to storage on first use and read from there.
 
+    With ``replace`` a table left behind by a failed attempt is written over.
+    """
+
+    _LAYER, _PREFIX = "", ""
     _NEEDS: dict[str, list[str]] = {}
 
-    def __init__(self, source: Mapping[str, DataFrame], root: str, layer: str, prefix: str = ""):
-        self.source, self.root = source, root
-        self._layer, self._prefix = layer, prefix
+    def __init__(self, source: Mapping[str, DataFrame], root: str, replace: bool = False):
+        self.source, self.root, self._replace = source, root, replace
         self._written: dict[str, DataFrame] = {}
         self.rows: dict[str, int] = {}
 
@@ -34,9 +37,9 @@ class WrittenLayer(Mapping):
 
     def __getitem__(self, table: str) -> DataFrame:
         if table not in self._written:
-            path = table_path(self.root, self._layer, self._prefix + table)
+            path = table_path(self.root, self._LAYER, self._PREFIX + table)
             frame = self._arrange(table, self.derive(table))
-            self._written[table], self.rows[table] = create_counted(frame, path)
+            self._written[table], self.rows[table] = write_counted(frame, path, self._replace)
         return self._written[table]
 
     def _arrange(self, table: str, frame: DataFrame) -> DataFrame:
@@ -59,8 +62,7 @@ class WrittenLayer(Mapping):
 class RawLayer(WrittenLayer):
     """Raw tables mirrored once, for suites that read each of them many times."""
 
-    def __init__(self, source: Mapping[str, DataFrame], root: str):
-        super().__init__(source, root, "raw")
+    _LAYER = "raw"
 
 
 class StagedLayer(WrittenLayer):
@@ -81,14 +83,15 @@ class StagedLayer(WrittenLayer):
         "payment_attempts": ["users", "payments"],
     }
 
+    _LAYER, _PREFIX = "staging", STAGED_PREFIX
     _MOMENT = {
         "enrollments": "enrolled_at",
         "payments": "paid_at",
         "payment_attempts": "attempted_at",
     }
 
-    def __init__(self, raw: Mapping[str, DataFrame], as_of, root: str):
-        super().__init__(raw, root, "staging", STAGED_PREFIX)
+    def __init__(self, raw: Mapping[str, DataFrame], as_of, root: str, replace: bool = False):
+        super().__init__(raw, root, replace)
         self.as_of = as_of
 
     def derive(self, table: str) -> DataFrame:

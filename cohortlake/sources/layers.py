@@ -22,10 +22,11 @@ def replace_table(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def create_counted(df: DataFrame, path: str) -> tuple[DataFrame, int]:
-    """:func:`create_table` plus the rows written, observed during the write."""
+def write_counted(df: DataFrame, path: str, replace: bool = False) -> tuple[DataFrame, int]:
+    """The table written and read back, and its rows as observed during the write."""
     seen = Observation()
-    written = create_table(df.observe(seen, F.count(F.lit(1)).alias("rows")), path)
+    observed = df.observe(seen, F.count(F.lit(1)).alias("rows"))
+    written = replace_table(observed, path) if replace else create_table(observed, path)
     return written, seen.get["rows"]
 
 

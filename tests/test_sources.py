@@ -122,3 +122,11 @@ def test_changed_files_are_a_new_source(spark, tmp_path):
     ).write.mode("append").parquet(str(tmp_path / "customer.parquet"))
     second = registry.source(spark, str(tmp_path))
     assert second is not first and second.staged["users"].count() == 1
+
+
+def test_a_failed_attempt_is_written_over(spark, raw):
+    folder = run_folder(spark, "failed")
+    raw["users"].limit(1).write.parquet(f"{folder}/staging/stg_users")
+    with pytest.raises(AnalysisException):
+        warehouse.StagedLayer(raw, AS_OF, folder)["users"]
+    assert warehouse.StagedLayer(raw, AS_OF, folder, replace=True)["users"].count() == 6
