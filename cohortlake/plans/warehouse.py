@@ -2,6 +2,7 @@
 
 from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
+from threading import Lock
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,6 +30,7 @@ class WrittenLayer(Mapping):
     def __init__(self, source: Mapping[str, DataFrame], root: str, replace: bool = False):
         self.source, self.root, self._replace = source, root, replace
         self._written: dict[str, DataFrame] = {}
+        self._locks = {table: Lock() for table in TABLES}
         self.rows: dict[str, int] = {}
 
     def derive(self, table: str) -> DataFrame:
@@ -36,11 +38,12 @@ class WrittenLayer(Mapping):
         return self.source[table]
 
     def __getitem__(self, table: str) -> DataFrame:
-        if table not in self._written:
-            path = table_path(self.root, self._LAYER, self._PREFIX + table)
-            frame = self._arrange(table, self.derive(table))
-            self._written[table], self.rows[table] = write_counted(frame, path, self._replace)
-        return self._written[table]
+        with self._locks[table]:
+            if table not in self._written:
+                path = table_path(self.root, self._LAYER, self._PREFIX + table)
+                frame = self._arrange(table, self.derive(table))
+                self._written[table], self.rows[table] = write_counted(frame, path, self._replace)
+            return self._written[table]
 
     def _arrange(self, table: str, frame: DataFrame) -> DataFrame:
         return frame

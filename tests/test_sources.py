@@ -1,4 +1,5 @@
 import os
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -130,3 +131,10 @@ def test_a_failed_attempt_is_written_over(spark, raw):
     with pytest.raises(AnalysisException):
         warehouse.StagedLayer(raw, AS_OF, folder)["users"]
     assert warehouse.StagedLayer(raw, AS_OF, folder, replace=True)["users"].count() == 6
+
+
+def test_queries_side_by_side_write_a_table_once(spark, raw):
+    layer = warehouse.StagedLayer(raw, AS_OF, run_folder(spark, "threads"))
+    with ThreadPoolExecutor(4) as pool:
+        frames = list(pool.map(layer.__getitem__, ["payments"] * 4))
+    assert all(f is frames[0] for f in frames) and frames[0].count() == 8
