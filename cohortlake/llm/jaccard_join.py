@@ -1,18 +1,16 @@
 """Similarity join of word shingle sets with parity sketches."""
 
-from itertools import combinations
-
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortlake.llm.common import HashFilter, as_long, grams, mix, stored, word_hashes
 from cohortlake.llm.components import connected
 
-# Sizes of sets are banded by this ratio, and a set has this many blocks above the
-# largest difference, so that so many blocks of two linked sets agree.
-_RATIO, _SPARE = 1.5, 3
+# Sizes of sets are banded by this ratio.
+_RATIO = 1.5
+# Centres of a group grow by this factor each round.
 _GROWTH = 4
 # Sets remembered by a task to leave out copies.
 _REMEMBERED = 500_000
@@ -32,6 +30,19 @@ class Threshold:
         """Largest symmetric difference of two linked sets with so many members together."""
         return sizes * (self.high - self.low) // (self.high + self.low)
 
+    def difference_in(self, bands):
+        """Largest symmetric difference of two linked sets whose sizes lie up to the band's end."""
+        return self.difference(2 * (self.edges[bands + 1] - 1))
+
+    def spare(self, bands):
+        """Blocks above the largest difference: in so many at least two linked sets agree.
+
+        Each set may then leave out one key less than that: if all sets leave out their
+        most frequent ones, two linked sets still share a key. These are empty
+        blocks, and blocks whose members stand in very many sets.
+        """
+        return 3 + self.difference_in(bands) // 5
+
     def linked(self, a: np.ndarray, b: np.ndarray) -> bool:
         common = len(np.intersect1d(a, b, assume_unique=True))
         return self.high * common >= self.low * (len(a) + len(b) - common)
@@ -68,63 +79,52 @@ def set_ids(values: np.ndarray, begins: np.ndarray) -> np.ndarray:
     return np.where(sizes > 0, ids, np.uint64(0))
 
 
-def block_keys(values: np.ndarray, begins: np.ndarray, limit: Threshold) -> tuple[np.ndarray, np.ndarray]:
-    """Keys of each set's parity blocks, and the set each belongs to.
+def block_keys(
+    values: np.ndarray, begins: np.ndarray, limit: Threshold
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Keys of each set's parity blocks, the set each belongs to, and its size band.
 
-    In each size band the members are dealt to d + 3 blocks by hash, d the largest
-    symmetric difference of two linked sets of the band; a block is the XOR of its
-    members' hashes. Two linked sets agree in at least three blocks: in one that has
-    members, or in three empty ones, which together make one key. A set near the
-    upper edge of its band also has keys in the next.
+    In each size band the members are dealt to blocks by hash; a block is the XOR of
+    its members' hashes, 0 if it is empty. A set near the upper edge of its band also
+    has keys in the next, so two linked sets have keys in a common band.
     """
     sizes = np.diff(begins)
     band = np.searchsorted(limit.edges, sizes, side="right") - 1
-    keys, owners = [], []
+    keys, owners, bands = [], [], []
     members = mix(values ^ np.uint64(0x5BD1E995))
     for step in (0, 1):
         of = band + step
-        use = sizes > 0
+        use = (sizes > 0) & (limit.difference_in(of) > 0)
         if step:
             use &= limit.high * sizes >= limit.low * limit.edges[of]
-        most = limit.difference(2 * (limit.edges[of + 1] - 1))
-        use &= most > 0
         chosen = np.flatnonzero(use)
         if not len(chosen):
             continue
-        blocks = most[chosen] + _SPARE
+        of = of[chosen]
+        blocks = limit.difference_in(of) + limit.spare(of)
         offsets = np.concatenate([[0], np.cumsum(blocks)])
         index = np.full(len(sizes), -1)
         index[chosen] = np.arange(len(chosen))
         owner = np.repeat(index, sizes)
         inside = owner >= 0
         owner, own = owner[inside], members[inside]
-        salt = mix(of[chosen].astype(np.uint64) + np.uint64(77))
+        salt = mix(of.astype(np.uint64) + np.uint64(77))
         block = (mix(own + salt[owner]) % blocks[owner].astype(np.uint64)).astype(np.int64)
         place = offsets[owner] + block
         order = np.argsort(place, kind="stable")
         place, own = place[order], own[order]
         first = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
-        parity = np.bitwise_xor.reduceat(own, first)
-        filled = place[first]
-        doc = np.searchsorted(offsets, filled, side="right") - 1
-        number = (filled - offsets[doc]).astype(np.uint64)
+        parity = np.zeros(offsets[-1], np.uint64)
+        parity[place[first]] = np.bitwise_xor.reduceat(own, first)
+        doc = np.repeat(np.arange(len(chosen)), blocks)
+        number = (np.arange(offsets[-1]) - offsets[doc]).astype(np.uint64)
         keys.append(mix(parity ^ mix(salt[doc] + number)))
         owners.append(chosen[doc])
-        empty = np.ones(offsets[-1], bool)
-        empty[filled] = False
-        at = np.flatnonzero(empty)
-        doc = np.searchsorted(offsets, at, side="right") - 1
-        for d in np.flatnonzero(np.bincount(doc, minlength=1) >= _SPARE):
-            numbers = (at[doc == d] - offsets[d]).tolist()
-            for group in combinations(numbers, _SPARE):
-                total = salt[d]
-                for number in group:
-                    total = mix(np.array([total + np.uint64(number + 1)]))[0]
-                keys.append(np.array([total]))
-                owners.append(np.array([chosen[d]]))
+        bands.append(of[doc])
     if not keys:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    return np.concatenate(keys), np.concatenate(owners)
+        none = np.zeros(0, np.int64)
+        return none.astype(np.uint64), none, none
+    return np.concatenate(keys), np.concatenate(owners), np.concatenate(bands)
 
 
 def bit_sketch(members: np.ndarray) -> bytes:
@@ -154,7 +154,7 @@ def _all_keys(docs: DataFrame, n: int, limit: Threshold) -> DataFrame:
         for frame in frames:
             values, begins = shingle_sets(frame["text"].tolist(), n)
             ids = set_ids(values, begins)
-            keys, owners = block_keys(values, begins, limit)
+            keys, owners, _ = block_keys(values, begins, limit)
             fresh = np.zeros(len(ids), bool)
             for i, id_ in enumerate(ids.tolist()):
                 if id_ not in seen:
@@ -168,7 +168,7 @@ def _all_keys(docs: DataFrame, n: int, limit: Threshold) -> DataFrame:
     return _texts(docs).mapInPandas(run, "key long, id long")
 
 
-_SETS = "doc_id long, n long, id long, keys array<long>, members binary, sketch binary"
+_SETS = "doc_id long, n long, id long, keys array<long>, bands array<int>, members binary, sketch binary"
 
 
 def _sets(docs: DataFrame, n: int, limit: Threshold, keep) -> DataFrame:
@@ -179,24 +179,24 @@ def _sets(docs: DataFrame, n: int, limit: Threshold, keep) -> DataFrame:
         for frame in frames:
             values, begins = shingle_sets(frame["text"].tolist(), n)
             ids = set_ids(values, begins)
-            keys, owners = block_keys(values, begins, limit)
-            ok = keep.value.holds(keys)
-            keys, owners = keys[ok], owners[ok]
-            order = np.argsort(owners, kind="stable")
-            keys, owners = as_long(keys[order]), owners[order]
+            keys, owners, bands = block_keys(values, begins, limit)
+            ok = np.flatnonzero(keep.value.holds(keys))
+            ok = ok[np.argsort(owners[ok], kind="stable")]
+            keys, owners, bands = as_long(keys[ok]), owners[ok], bands[ok]
             cuts = np.searchsorted(owners, np.arange(len(ids) + 1))
             rows = []
             for i, id_ in enumerate(as_long(ids).tolist()):
                 own = keys[cuts[i] : cuts[i + 1]]
                 members = values[begins[i] : begins[i + 1]]
-                row = [int(begins[i + 1] - begins[i]), id_, None, None, None]
+                row = [int(begins[i + 1] - begins[i]), id_, None, None, None, None]
                 if len(own) and id_ not in seen:
                     seen.add(id_)
-                    row[2:] = own.tolist(), members.tobytes(), bit_sketch(members)
+                    of = bands[cuts[i] : cuts[i + 1]].tolist()
+                    row[2:] = own.tolist(), of, members.tobytes(), bit_sketch(members)
                 rows.append(row)
             if len(seen) > _REMEMBERED:
                 seen.clear()
-            out = pd.DataFrame(rows, columns=["n", "id", "keys", "members", "sketch"])
+            out = pd.DataFrame(rows, columns=["n", "id", "keys", "bands", "members", "sketch"])
             out.insert(0, "doc_id", frame["doc_id"].astype("Int64"))
             yield out
 
@@ -234,15 +234,27 @@ def _verified(pairs: DataFrame, sets: DataFrame, limit: Threshold) -> DataFrame:
 def _linked_sets(shared: DataFrame, sets: DataFrame, limit: Threshold) -> DataFrame:
     """(id, component) of the sets that share keys.
 
-    Within a key's group some members are centres, compared with all members of
+    A set leaves out its most frequent keys, see ``Threshold.spare``. Within a key's group some members are centres, compared with all members of
     other components; every round has four times the centres of the last, the sets
     with most links among them. A group whose members are all one component is
     done, so a group of very many near copies costs few comparisons for each; a
     group of unrelated sets ends when all its members have been centres.
     """
-    members = stored(
-        sets.select("id", "n", F.explode("keys").alias("key")).join(shared, "key"), "members"
+    spare = F.array(*[F.lit(int(x)) for x in limit.spare(np.arange(len(limit.edges) - 1))])
+    rank = F.row_number().over(
+        Window.partitionBy("id", "band").orderBy(F.desc("m"), F.desc("key"))
+    )
+    rare = stored(
+        sets.select("id", "n", F.explode(F.arrays_zip("keys", "bands")).alias("k"))
+        .select("id", "n", F.col("k.keys").alias("key"), F.col("k.bands").alias("band"))
+        .join(shared, "key")
+        .withColumn("rank", rank)
+        .filter(F.col("rank") >= F.get(spare, F.col("band")))
+        .select("id", "n", "key"),
+        "rare",
     )
+    groups = rare.groupBy("key").agg(F.count("*").alias("m"), F.min("id").alias("low"))
+    members = stored(rare.join(groups.filter("m > 1"), "key"), "members")
     sets = sets.select("id", "members", "sketch")
     most = members.agg(F.max("m")).first()[0] or 0
     links = checked = None
@@ -324,7 +336,7 @@ def similar_components(docs: DataFrame, n: int = 5, low: int = 80, high: int = 1
         .groupBy("key")
         .agg(F.min("id").alias("low"), F.max("id").alias("high"), F.count("*").alias("m"))
         .filter("low <> high")
-        .drop("high")
+        .drop("low", "high")
     )
     shared = stored(groups, "shared")
     keep = spark.sparkContext.broadcast(HashFilter.of(shared, "key", shared.count()))
