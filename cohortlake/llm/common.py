@@ -164,6 +164,19 @@ def grams(hashes: np.ndarray, begins: np.ndarray, n: int) -> tuple[np.ndarray, n
     return mix(total[at]), at
 
 
+class Sent:
+    """An object whose fields are broadcast; its class travels with the function that uses it."""
+
+    def __init__(self, spark: SparkSession, thing):
+        self._kind, self._fields = type(thing), spark.sparkContext.broadcast(vars(thing))
+
+    @property
+    def value(self):
+        thing = object.__new__(self._kind)
+        thing.__dict__.update(self._fields.value)
+        return thing
+
+
 class HashFilter:
     """Bits of at most ``2 ** most`` positions that hold a set of 64-bit hashes.
 

@@ -7,7 +7,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlake.llm.common import HashFilter, as_long, mix, stored, word_hashes
+from cohortlake.llm.common import HashFilter, Sent, as_long, mix, stored, word_hashes
 
 # Word positions that a seed looks at; the others may differ. The last one is for
 # items too short for the rest.
@@ -97,7 +97,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         "item_id IS NOT NULL AND text IS NOT NULL"
     )
     seeds = stored(_benchmark_seeds(items).distinct(), "seeds")
-    keep = spark.sparkContext.broadcast(HashFilter.of(seeds, "hash", seeds.count()))
+    keep = Sent(spark, HashFilter.of(seeds, "hash", seeds.count()))
     columns = ["doc_id", "row", "hashes", "places", "words"]
 
     def search(frames):

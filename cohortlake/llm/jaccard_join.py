@@ -5,13 +5,15 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortlake.llm.common import HashFilter, as_long, grams, mix, stored, word_hashes
+from cohortlake.llm.common import HashFilter, Sent, as_long, grams, mix, stored, word_hashes
 from cohortlake.llm.components import connected
 
 # Sizes of sets are banded by this ratio.
 _RATIO = 1.5
-# Centres of a group grow by this factor each round.
-_GROWTH = 4
+# Centres of a group grow by this factor each round, up to so many more at once.
+_GROWTH, _CENTRES = 16, 4096
+# Members of a group compared in one task, and bits of the sketch that goes with them.
+_SALT, _SHORT = 50_000, 512
 # Sets remembered by a task to leave out copies.
 _REMEMBERED = 500_000
 
@@ -127,9 +129,10 @@ def block_keys(
     return np.concatenate(keys), np.concatenate(owners), np.concatenate(bands)
 
 
-def bit_sketch(members: np.ndarray) -> bytes:
-    """Parities of the members by hash: bits, a power of two of at least twice the members."""
-    bits = max(64, 1 << int(2 * len(members) - 1).bit_length())
+def bit_sketch(members: np.ndarray, bits: int = 0) -> bytes:
+    """Parities of the members by hash: bits, a power of two, by default of at least twice
+    the members."""
+    bits = bits or max(64, 1 << int(2 * len(members) - 1).bit_length())
     place = (mix(members + np.uint64(0xC0FFEE)) & np.uint64(bits - 1)).astype(np.int64)
     return np.packbits(np.bincount(place, minlength=bits) & 1).tobytes()
 
@@ -168,7 +171,7 @@ def _all_keys(docs: DataFrame, n: int, limit: Threshold) -> DataFrame:
     return _texts(docs).mapInPandas(run, "key long, id long")
 
 
-_SETS = "doc_id long, n long, id long, keys array<long>, bands array<int>, members binary, sketch binary"
+_SETS = "doc_id long, n long, id long, keys array<long>, bands array<int>, members binary, sketch binary, short binary"
 
 
 def _sets(docs: DataFrame, n: int, limit: Threshold, keep) -> DataFrame:
@@ -188,15 +191,16 @@ def _sets(docs: DataFrame, n: int, limit: Threshold, keep) -> DataFrame:
             for i, id_ in enumerate(as_long(ids).tolist()):
                 own = keys[cuts[i] : cuts[i + 1]]
                 members = values[begins[i] : begins[i + 1]]
-                row = [int(begins[i + 1] - begins[i]), id_, None, None, None, None]
+                row = [int(begins[i + 1] - begins[i]), id_, None, None, None, None, None]
                 if len(own) and id_ not in seen:
                     seen.add(id_)
                     of = bands[cuts[i] : cuts[i + 1]].tolist()
-                    row[2:] = own.tolist(), of, members.tobytes(), bit_sketch(members)
+                    sketches = bit_sketch(members), bit_sketch(members, _SHORT)
+                    row[2:] = own.tolist(), of, members.tobytes(), *sketches
                 rows.append(row)
             if len(seen) > _REMEMBERED:
                 seen.clear()
-            out = pd.DataFrame(rows, columns=["n", "id", "keys", "bands", "members", "sketch"])
+            out = pd.DataFrame(rows, columns=["n", "id", "keys", "bands", "members", "sketch", "short"])
             out.insert(0, "doc_id", frame["doc_id"].astype("Int64"))
             yield out
 
@@ -206,111 +210,149 @@ def _sets(docs: DataFrame, n: int, limit: Threshold, keep) -> DataFrame:
 def _verified(pairs: DataFrame, sets: DataFrame, limit: Threshold) -> DataFrame:
     """Pairs (a, b) of set identities that are linked: sketches first, then the members."""
 
-    def near(frames):
+    def linked(frames):
         for frame in frames:
-            sizes = frame["n_a"].to_numpy() + frame["n_b"].to_numpy()
-            apart = [hamming(a, b) for a, b in zip(frame["s_a"], frame["s_b"])]
-            yield frame.loc[np.array(apart, np.int64) <= limit.difference(sizes), ["a", "b"]]
-
-    def equal(frames):
-        for frame in frames:
-            ok = [
-                limit.linked(np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64))
-                for a, b in zip(frame["m_a"], frame["m_b"])
-            ]
+            ok = []
+            for s_a, s_b, m_a, m_b in zip(frame["s_a"], frame["s_b"], frame["m_a"], frame["m_b"]):
+                a, b = np.frombuffer(m_a, np.uint64), np.frombuffer(m_b, np.uint64)
+                near = hamming(s_a, s_b) <= limit.difference(len(a) + len(b))
+                ok.append(near and limit.linked(a, b))
             yield frame.loc[np.array(ok, bool), ["a", "b"]]
 
-    def with_(frame: DataFrame, side: str, what: str, name: str) -> DataFrame:
-        more = sets.select(F.col("id").alias(side), F.col(what).alias(f"{name}_{side}"))
-        return frame.join(more, side)
+    full = pairs
+    for side in ("a", "b"):
+        more = sets.select(
+            F.col("id").alias(side), F.col("sketch").alias(f"s_{side}"), F.col("members").alias(f"m_{side}")
+        )
+        full = full.join(more, side)
+    return full.select("a", "b", "s_a", "s_b", "m_a", "m_b").mapInPandas(linked, "a long, b long")
+
+
+def _near_pairs(rows: DataFrame, limit: Threshold) -> DataFrame:
+    """Pairs of a group's centres and members of other components that may be linked.
 
-    sketched = with_(with_(pairs, "a", "sketch", "s"), "b", "sketch", "s")
-    close = sketched.select("a", "b", "n_a", "n_b", "s_a", "s_b").mapInPandas(near, "a long, b long")
-    close = stored(close, "close")
-    full = with_(with_(close, "a", "members", "m"), "b", "members", "m")
-    return full.select("a", "b", "m_a", "m_b").mapInPandas(equal, "a long, b long")
+    Rows of a group come with its centres first; members pass by as a stream and are
+    compared by their short sketches, so only near pairs become rows. A large group is
+    dealt to several tasks, each with all its centres of the round.
+    """
+
+    def compare(frames):
+        group, centres = None, None
+        for frame in frames:
+            out = [np.zeros((0, 2), np.int64)]
+            sketches = np.frombuffer(b"".join(frame["short"]), np.uint64).reshape(len(frame), -1)
+            columns = {c: frame[c].to_numpy() for c in ("id", "component", "n", "centre", "best")}
+            keys = np.stack([frame["key"].to_numpy(), frame["salt"].to_numpy()])
+            cuts = np.flatnonzero(np.any(keys[:, 1:] != keys[:, :-1], axis=0)) + 1
+            for at in np.split(np.arange(len(frame)), cuts):
+                name = tuple(keys[:, at[0]])
+                if name != group:
+                    group, centres = name, None
+                part = {c: v[at] for c, v in columns.items()} | {"sketch": sketches[at]}
+                first = {c: v[part["centre"]] for c, v in part.items()}
+                centres = first if centres is None else {
+                    c: np.concatenate([v, first[c]]) for c, v in centres.items()
+                }
+                rest = {c: v[~part["centre"]] for c, v in part.items()}
+                for i in range(len(rest["id"]) if len(centres["id"]) else 0):
+                    n, other = rest["n"][i], centres["n"]
+                    ok = (centres["component"] != rest["component"][i]) & (
+                        (rest["id"][i] > centres["id"]) | centres["best"] & (rest["id"][i] != centres["id"])
+                    )
+                    ok &= limit.high * np.minimum(n, other) >= limit.low * np.maximum(n, other)
+                    found = np.flatnonzero(ok)
+                    apart = np.bitwise_count(centres["sketch"][found] ^ rest["sketch"][i]).sum(axis=1)
+                    found = found[apart <= limit.difference(n + other[found])]
+                    pair = np.stack([np.full(len(found), rest["id"][i]), centres["id"][found]], axis=1)
+                    out.append(np.sort(pair, axis=1))
+            pairs = np.unique(np.concatenate(out), axis=0)
+            yield pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
+
+    salts = F.ceil(F.col("m") / _SALT).cast("int")
+    members = rows.select("*", F.pmod(F.xxhash64("id"), salts).cast("int").alias("salt"), F.lit(False).alias("centre"))
+    centres = rows.filter("turn OR best").select(
+        "*", F.explode(F.sequence(F.lit(0), salts - 1)).alias("salt"), F.lit(True).alias("centre")
+    )
+    dealt = (
+        members.unionByName(centres)
+        .repartition("key", "salt")
+        .sortWithinPartitions("key", "salt", F.desc("centre"))
+        .select("key", "salt", "id", "component", "n", "centre", F.expr("best AND NOT turn").alias("best"), "short")
+    )
+    return dealt.mapInPandas(compare, "a long, b long").distinct()
 
 
 def _linked_sets(shared: DataFrame, sets: DataFrame, limit: Threshold) -> DataFrame:
     """(id, component) of the sets that share keys.
 
-    A set leaves out its most frequent keys, see ``Threshold.spare``. Within a key's group some members are centres, compared with all members of
-    other components; every round has four times the centres of the last, the sets
-    with most links among them. A group whose members are all one component is
-    done, so a group of very many near copies costs few comparisons for each; a
-    group of unrelated sets ends when all its members have been centres.
+    A set leaves out its most frequent keys, see ``Threshold.spare``. Within a key's
+    group some members are centres, compared with all members of other components;
+    every round has sixteen times the centres of the last, and the set with most
+    links. A group whose members are all one component is done, so a group of very
+    many near copies costs few comparisons for each; a group of unrelated sets ends
+    when all its members have been centres.
     """
     spare = F.array(*[F.lit(int(x)) for x in limit.spare(np.arange(len(limit.edges) - 1))])
     rank = F.row_number().over(
         Window.partitionBy("id", "band").orderBy(F.desc("m"), F.desc("key"))
     )
     rare = stored(
-        sets.select("id", "n", F.explode(F.arrays_zip("keys", "bands")).alias("k"))
-        .select("id", "n", F.col("k.keys").alias("key"), F.col("k.bands").alias("band"))
+        sets.select("id", "n", "short", F.explode(F.arrays_zip("keys", "bands")).alias("k"))
+        .select("id", "n", "short", F.col("k.keys").alias("key"), F.col("k.bands").alias("band"))
         .join(shared, "key")
         .withColumn("rank", rank)
         .filter(F.col("rank") >= F.get(spare, F.col("band")))
-        .select("id", "n", "key"),
+        .select("id", "n", "short", "key"),
         "rare",
     )
     groups = rare.groupBy("key").agg(F.count("*").alias("m"), F.min("id").alias("low"))
     members = stored(rare.join(groups.filter("m > 1"), "key"), "members")
     sets = sets.select("id", "members", "sketch")
     most = members.agg(F.max("m")).first()[0] or 0
-    links = checked = None
-    component = members.withColumn("component", F.col("id")).withColumn("degree", F.lit(0))
-    labels, step = None, 0
+    place = F.col("id").cast("double") / 2.0**64 + 0.5
+    columns = ["key", "id", "n", "short", "m", "low"]
+
+    def centres(step: int) -> int:
+        powers = [_GROWTH**k for k in range(step + 1) if _GROWTH**k <= _CENTRES]
+        return powers[-1] + _CENTRES * (step + 1 - len(powers))
+
+    def within(step: int):
+        return (place <= centres(step) / F.col("m")) | (F.col("id") == F.col("low"))
+
+    state = members.select(*columns, F.col("id").alias("component"), F.lit(0).alias("degree"))
+    links = labels = None
+    step = 0
     while True:
         open_ = (
-            component.groupBy("key")
+            state.groupBy("key")
             .agg(F.min("component").alias("low_c"), F.max("component").alias("high_c"),
                  F.max(F.struct("degree", "id")).alias("best"))
             .filter("low_c <> high_c")
             .select("key", F.col("best.id").alias("best"))
         )
-        active = stored(component.join(open_, "key"), "active")
-        place = F.col("id").cast("double") / 2.0**64 + 0.5
-        within = lambda k: (place <= _GROWTH**k / F.col("m")) | (F.col("id") == F.col("low"))
         turn = within(step) & ~within(step - 1) if step else within(0)
-        is_best = F.lit(False) if not step else F.col("id") == F.col("best")
-        centres = active.filter(turn | is_best).select(
-            "key", F.col("id").alias("c"), F.col("n").alias("n_c"),
-            F.col("component").alias("comp_c"), turn.alias("turn"),
-        )
-        found = active.select("key", "id", "n", "component").join(centres, "key").filter(
-            (F.col("component") != F.col("comp_c"))
-            & ((F.col("id") > F.col("c")) | ~F.col("turn") & (F.col("id") != F.col("c")))
-            & (limit.high * F.least("n", "n_c") >= limit.low * F.greatest("n", "n_c"))
-        )
-        first = F.col("id") < F.col("c")
-        pairs = found.select(
-            F.least("id", "c").alias("a"), F.greatest("id", "c").alias("b"),
-            F.when(first, F.col("n")).otherwise(F.col("n_c")).alias("n_a"),
-            F.when(first, F.col("n_c")).otherwise(F.col("n")).alias("n_b"),
-        ).distinct()
-        if checked is not None:
-            pairs = pairs.join(checked, ["a", "b"], "left_anti")
-        pairs = stored(pairs, "pairs")
-        new = stored(_verified(pairs, sets, limit), "linked")
-        pairs = pairs.select("a", "b")
-        checked = pairs if checked is None else checked.unionByName(pairs)
-        links = new if links is None else links.unionByName(new)
+        best = F.col("id") == F.col("best") if step else F.lit(False)
+        active = state.join(open_, "key").select(
+            *columns, "component", turn.alias("turn"), best.alias("best")
+        )
+        active = stored(active, "active")
+        near = stored(_near_pairs(active, limit), "near")
+        new = stored(_verified(near, sets, limit), "linked")
+        state = active.select(*columns, "component", F.lit(0).alias("degree"))
         if not new.isEmpty():
+            links = new if links is None else links.unionByName(new)
             labels = stored(connected(links), "labels")
             degrees = (
-                links.select(F.explode(F.array("a", "b")).alias("id"))
-                .groupBy("id").agg(F.count("*").cast("int").alias("degree"))
+                links.select(F.explode(F.array("a", "b")).alias("node"))
+                .groupBy("node").agg(F.count("*").cast("int").alias("degree"))
             )
-            component = (
-                active.select("key", "id", "n", "m", "low")
-                .join(labels.withColumnRenamed("node", "id"), "id", "left")
-                .join(degrees, "id", "left")
-                .withColumn("component", F.coalesce("component", "id"))
-                .withColumn("degree", F.coalesce("degree", F.lit(0)))
+            found = stored(labels.join(degrees, "node").withColumnRenamed("node", "id"), "found")
+            state = active.select(*columns).join(found, "id", "left").select(
+                *columns,
+                F.coalesce("component", "id").alias("component"),
+                F.coalesce("degree", F.lit(0)).alias("degree"),
             )
-        else:
-            component = active.drop("best")
-        if _GROWTH**step >= most or active.isEmpty():
+        if centres(step) >= most or active.isEmpty():
             break
         step += 1
     if labels is None:
@@ -339,7 +381,7 @@ def similar_components(docs: DataFrame, n: int = 5, low: int = 80, high: int = 1
         .drop("low", "high")
     )
     shared = stored(groups, "shared")
-    keep = spark.sparkContext.broadcast(HashFilter.of(shared, "key", shared.count()))
+    keep = Sent(spark, HashFilter.of(shared, "key", shared.count()))
     documents = stored(_sets(docs, n, limit, keep), "sets")
     sets = stored(
         documents.filter("keys IS NOT NULL").dropDuplicates(["id"]).drop("doc_id"), "distinct"

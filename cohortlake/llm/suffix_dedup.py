@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from cohortlake.llm.common import (
     PIECE,
     HashFilter,
+    Sent,
     as_long,
     mix,
     prefix_hashes,
@@ -284,7 +285,7 @@ def remove_repeats(docs: DataFrame, length: int = 400) -> DataFrame:
         .select("anchor"),
         "anchors",
     )
-    keep = spark.sparkContext.broadcast(HashFilter.of(repeated, "anchor", repeated.count()))
+    keep = Sent(spark, HashFilter.of(repeated, "anchor", repeated.count()))
 
     def cut(frames):
         seen, classes = set(), set()
@@ -357,7 +358,7 @@ def remove_repeats(docs: DataFrame, length: int = 400) -> DataFrame:
         .filter("copies > 1").drop("copies")
     )
     partly = stored(spans.join(copies, "key", "left_anti"), "partly")
-    changed = spark.sparkContext.broadcast(HashFilter.of(partly, "key", partly.count()))
+    changed = Sent(spark, HashFilter.of(partly, "key", partly.count()))
 
     def pick(frames):
         for frame in frames:
