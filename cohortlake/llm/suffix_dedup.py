@@ -16,6 +16,7 @@ from cohortlake.llm.common import (
     prefix_hashes,
     stored,
     stretch,
+    tables,
     whole_text,
 )
 
@@ -23,7 +24,7 @@ from cohortlake.llm.common import (
 _MARK = 32
 # Bytes sorted at once, and bytes of one anchor's segments beyond which its strings are
 # dealt out one by one.
-_BATCH, _LARGE = 400_000, 16 << 20
+_BATCH, _LARGE = 1_000_000, 16 << 20
 _REMEMBERED = 500_000
 
 
@@ -39,35 +40,57 @@ def _window_minima(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(behind[:n], ahead[width - 1 : width - 1 + n])
 
 
-def segments(data: bytes, length: int) -> tuple[np.ndarray, ...]:
+def segments(texts: list[bytes], length: int) -> tuple[np.ndarray, ...]:
     """Runs of starts of ``length``-byte strings with the same anchor.
 
-    Arrays: anchor hash, first start, number of starts, and whether a run may hold
-    equal strings itself. Equal strings have equal anchors, wherever they stand.
+    Arrays: text, anchor hash, first start, number of starts, and whether a run may
+    hold equal strings itself. Equal strings have equal anchors, wherever they stand.
     """
-    found = []
-    mark = min(_MARK, length)
-    width = length - mark + 1
-    for at in range(0, max(0, len(data) - length + 1), PIECE):
-        part = np.frombuffer(data, np.uint8, offset=at, count=min(PIECE + length - 1, len(data) - at))
-        sums = prefix_hashes(part)
-        places = np.arange(len(part) - mark + 1)
-        marks = stretch(sums, places, places + mark)
-        # The upper bits order the marks, the lower ones tell places apart.
-        low = np.uint64((1 << 24) - 1)
-        least = _window_minima(marks & ~low | places.astype(np.uint64), width)
-        anchor, place = least >> np.uint64(24), least & low
-        change = np.flatnonzero(anchor[1:] != anchor[:-1]) + 1
-        first = np.concatenate([[0], change])
-        count = np.diff(np.concatenate([first, [len(least)]]))
-        several = place[first] != place[first + count - 1]
-        found.append((mix(anchor[first]), first + at, count, several))
+    found, group, size = [], [], 0
+    for i, text in enumerate(texts):
+        for at in range(0, max(0, len(text) - length + 1), PIECE):
+            part = text[at : at + PIECE + length - 1]
+            if size + len(part) > PIECE and group:
+                found.append(_segments(group, length))
+                group, size = [], 0
+            group.append((i, at, part))
+            size += len(part)
+    if group:
+        found.append(_segments(group, length))
     if not found:
         empty = np.zeros(0, np.int64)
-        return empty.astype(np.uint64), empty, empty, empty.astype(bool)
+        return empty, empty.astype(np.uint64), empty, empty, empty.astype(bool)
     return tuple(np.concatenate(x) for x in zip(*found))
 
 
+def _segments(group: list[tuple[int, int, bytes]], length: int) -> tuple[np.ndarray, ...]:
+    data = np.frombuffer(b"".join(part for _, _, part in group), np.uint8)
+    bounds = np.cumsum([0] + [len(part) for _, _, part in group])
+    mark = min(_MARK, length)
+    sums = prefix_hashes(data)
+    places = np.arange(len(data) - mark + 1)
+    marks = mix((sums[mark:] - sums[:-mark]) * tables().inverses[: len(places)])
+    # The upper bits order the marks, the lower ones tell places apart.
+    low = np.uint64((1 << 24) - 1)
+    least = _window_minima(marks & ~low | places.astype(np.uint64), length - mark + 1)
+    inside = np.zeros(len(least) + length, np.int32)
+    inside[bounds[:-1]] += 1
+    inside[bounds[1:] - length + 1] -= 1
+    starts = np.flatnonzero(np.cumsum(inside)[: len(least)] > 0)
+    least = least[starts]
+    anchor, place = least >> np.uint64(24), least & low
+    change = (anchor[1:] != anchor[:-1]) | (starts[1:] != starts[:-1] + 1)
+    first = np.flatnonzero(np.concatenate([[True], change]))
+    last = np.concatenate([first[1:] - 1, [len(starts) - 1]])
+    piece = np.searchsorted(bounds, starts[first], side="right") - 1
+    owner = np.array([i for i, _, _ in group])[piece]
+    offset = np.array([at for _, at, _ in group])[piece] - bounds[piece]
+    return (
+        owner, mix(anchor[first]), starts[first] + offset, last - first + 1,
+        place[first] != place[last],
+    )
+
+
 def sort_suffixes(data: np.ndarray, cuts: np.ndarray, depth: int) -> np.ndarray:
     """Places of all bytes in the order of the first ``depth`` bytes that follow.
 
@@ -79,9 +102,11 @@ def sort_suffixes(data: np.ndarray, cuts: np.ndarray, depth: int) -> np.ndarray:
     n = len(data)
     ends = np.repeat(cuts[1:], np.diff(cuts))
     places = np.arange(n)
-    change = np.flatnonzero(data[1:] != data[:-1]) + 1
-    bounds = np.union1d(change, cuts[1:])
-    run_end = bounds[np.searchsorted(bounds, places, side="right")]
+    is_bound = np.ones(n + 1, bool)
+    is_bound[1:-1] = data[1:] != data[:-1]
+    is_bound[cuts] = True
+    bounds = np.flatnonzero(is_bound)
+    run_end = np.repeat(bounds[1:], np.diff(bounds))
     follows = data[np.minimum(run_end, n - 1)]
     induced = (run_end < ends) & (run_end - places < depth) & (follows < data)
     direct = _sort_directly(data, places[~induced], ends, depth)
@@ -122,26 +147,39 @@ def _split(keys: np.ndarray, values: np.ndarray) -> tuple[list[int], list[np.nda
 
 def _sort_directly(data: np.ndarray, places: np.ndarray, ends: np.ndarray, depth: int) -> np.ndarray:
     """Places by their bytes: by the first eight, then ties of different strings in full."""
-    stops = np.minimum(places + depth, ends[places]) if len(places) else places
-    padded = np.concatenate([data, np.zeros(8, np.uint8)])
-    prefix = np.zeros(len(places), np.uint64)
-    for k in range(8):
-        byte = np.where(places + k < stops, padded[places + k], 0)
-        prefix = prefix << np.uint64(8) | byte.astype(np.uint64)
+    if not len(places):
+        return places
+    stops = np.minimum(places + depth, ends[places])
+    # Equal strings are sorted once.
     whole = stretch(prefix_hashes(data), places, stops)
-    order = np.lexsort((whole, prefix))
-    prefix, whole = prefix[order], whole[order]
+    _, one, text = np.unique(whole, return_index=True, return_inverse=True)
+    begins, stops = places[one], stops[one]
+    padded = np.concatenate([data, np.zeros(16, np.uint8)])
+    eight = np.zeros(len(data) + 8, np.uint64)
+    for k in range(8):
+        eight = eight << np.uint64(8) | padded[k : k + len(eight)].astype(np.uint64)
+    words = np.stack([eight[begins], eight[begins + 8]])
+    for k in range(2):
+        beyond = np.flatnonzero(stops - begins < 8 * (k + 1))
+        kept = np.maximum(stops[beyond] - begins[beyond] - 8 * k, 0).astype(np.uint64)
+        shift = (np.uint64(64) - np.uint64(8) * kept) & np.uint64(63)
+        words[k, beyond] = np.where(kept > 0, words[k, beyond] >> shift << shift, 0)
+    order = np.lexsort((words[1], words[0]))
+    tie = np.all(words[:, order[1:]] == words[:, order[:-1]], axis=0)
+    group = np.cumsum(np.concatenate([[True], ~tie]))
+    several = np.flatnonzero(np.bincount(group)[group] > 1)
     raw = data.tobytes()
-    new = np.flatnonzero(np.concatenate([[True], prefix[1:] != prefix[:-1]])) if len(order) else order
-    text = np.flatnonzero(np.concatenate([[True], (prefix[1:] != prefix[:-1]) | (whole[1:] != whole[:-1])])) if len(order) else order
-    group = np.searchsorted(new, text, side="right")
-    keys = [raw[places[i] : stops[i]] for i in order[text]]
-    number = group.tolist()
-    ranked = sorted(range(len(text)), key=lambda i: (number[i], keys[i]))
-    parts = np.split(order, text[1:])
-    if not parts or not len(order):
-        return places
-    return places[np.concatenate([parts[i] for i in ranked])]
+    keys = [
+        (g, raw[a:b], i)
+        for g, a, b, i in zip(
+            group[several].tolist(), begins[order[several]].tolist(),
+            stops[order[several]].tolist(), order[several].tolist(),
+        )
+    ]
+    order[several] = [i for _, _, i in sorted(keys)]
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order))
+    return places[np.argsort(rank[text], kind="stable")]
 
 
 def repeated_starts(strings: list[bytes], length: int) -> list[np.ndarray]:
@@ -260,19 +298,20 @@ def remove_repeats(docs: DataFrame, length: int = 400) -> DataFrame:
     texts = texts.withColumn("key", F.xxhash64("text"))
     long_enough = texts.filter(F.octet_length("text") >= length)
 
+    def unseen(frame, seen):
+        new = [k not in seen and not seen.add(k) for k in frame["key"].tolist()]
+        if len(seen) > _REMEMBERED:
+            seen.clear()
+        return frame["key"].to_numpy()[new], [t.encode() for t in frame["text"][new]]
+
     def anchors(frames):
         seen: set[int] = set()
         for frame in frames:
-            for key, text in zip(frame["key"], frame["text"]):
-                if key in seen:
-                    continue
-                seen.add(key)
-                hashes, first, _, several = segments(text.encode(), length)
-                yield pd.DataFrame(
-                    {"anchor": as_long(hashes), "key": key, "first": first, "several": several}
-                )
-            if len(seen) > _REMEMBERED:
-                seen.clear()
+            keys, texts = unseen(frame, seen)
+            owner, hashes, first, _, several = segments(texts, length)
+            yield pd.DataFrame(
+                {"anchor": as_long(hashes), "key": keys[owner], "first": first, "several": several}
+            )
 
     places = long_enough.select("key", "text").mapInPandas(
         anchors, "anchor long, key long, first long, several boolean"
@@ -291,23 +330,18 @@ def remove_repeats(docs: DataFrame, length: int = 400) -> DataFrame:
         seen, classes = set(), set()
         for frame in frames:
             rows = []
-            for key, text in zip(frame["key"], frame["text"]):
-                if key in seen:
-                    continue
-                seen.add(key)
-                data = text.encode()
-                hashes, first, count, _ = segments(data, length)
-                ok = keep.value.holds(hashes)
-                for anchor, at, n in zip(
-                    as_long(hashes[ok]).tolist(), first[ok].tolist(), count[ok].tolist()
-                ):
-                    part = data[at : at + n + length - 1]
-                    name = int.from_bytes(hashlib.md5(part).digest()[:8], "little", signed=True)
-                    rows.append((anchor, key, at, n, name, None if name in classes else part))
-                    classes.add(name)
-            for memory in (seen, classes):
-                if len(memory) > _REMEMBERED:
-                    memory.clear()
+            keys, texts = unseen(frame, seen)
+            owner, hashes, first, count, _ = segments(texts, length)
+            ok = keep.value.holds(hashes)
+            for i, anchor, at, n in zip(
+                owner[ok].tolist(), as_long(hashes[ok]).tolist(), first[ok].tolist(), count[ok].tolist()
+            ):
+                part = texts[i][at : at + n + length - 1]
+                name = int.from_bytes(hashlib.md5(part).digest()[:8], "little", signed=True)
+                rows.append((anchor, keys[i], at, n, name, None if name in classes else part))
+                classes.add(name)
+            if len(classes) > _REMEMBERED:
+                classes.clear()
             yield pd.DataFrame(rows, columns=["anchor", "key", "first", "starts", "class", "bytes"])
 
     found = stored(
