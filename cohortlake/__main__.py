@@ -21,16 +21,19 @@ from cohortlake.sources import csvfiles, layers, reporttext
 PREVIEW = ["payment_month", "paying_users", "revenue", "avg_check", "revenue_mom_pct"]
 
 
-def build(spark: SparkSession, folder: str, root: str, as_of: str) -> str:
+def build(spark: SparkSession, folder: str, root: str, as_of: str, replace: bool = False) -> str:
     """Raw, staged and mart tables from CSV files; returns their sizes as text."""
     raw = csvfiles.read_csv_layer(spark, folder)
     configure(spark, stored_state(spark, folder)[0])
-    stored = warehouse.build(raw, as_of, root)
+    stored = warehouse.build(raw, as_of, root, replace)
     counts = {(r.layer, r.table_name): r.row_count for r in layers.row_counts(stored).collect()}
     lines = [f"{layer:<8} {table:<24} {n:>14,}" for (layer, table), n in sorted(counts.items())]
     for t in TABLES:
         kept = counts["staging", STAGED_PREFIX + t]
         lines.append(f"{t}: {kept:,} kept, {counts['raw', t] - kept:,} excluded")
+        bad = csvfiles.malformed_rows(spark, f"{folder.rstrip('/')}/{t}.csv", t)
+        if bad:
+            lines.append(f"{t}: {bad:,} rows with fields that do not fit, read as NULL")
     return "\n".join(lines)
 
 
@@ -83,6 +86,7 @@ def main(arguments: list[str] | None = None) -> None:
         command.add_argument("--warehouse", required=True)
         if name == "build":
             command.add_argument("--input", required=True)
+            command.add_argument("--replace", action="store_true")
         if name == "check":
             command.add_argument("--layer", choices=["raw", "staging"], required=True)
         if name in ("build", "check"):
@@ -90,7 +94,7 @@ def main(arguments: list[str] | None = None) -> None:
     given = parser.parse_args(arguments)
     spark = configure(SparkSession.builder.appName(f"cohortlake-{given.command}").getOrCreate())
     if given.command == "build":
-        print(build(spark, given.input, given.warehouse, given.as_of))
+        print(build(spark, given.input, given.warehouse, given.as_of, given.replace))
     elif given.command == "check":
         print(check(spark, given.warehouse, given.layer, given.as_of))
     elif given.command == "compare":

@@ -1,6 +1,6 @@
 """History of changing attributes and joins at the time of an event."""
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortlake.functions import as_ntz
@@ -9,34 +9,56 @@ from cohortlake.functions import as_ntz
 OPEN_END = "9999-12-31 00:00:00"
 
 
+def _neighbour(
+    rows: DataFrame, key: str, at: str, value: Column, ahead: bool, name: str
+) -> DataFrame:
+    """The rows with ``value`` of the row before (or after) them in their key's time.
+
+    Rows meet within their key and month; months meet as one row each, by the
+    value at their end (or start). So a key with very many rows is never one group.
+    """
+    order = F.asc if not ahead else F.desc
+    inside = Window.partitionBy(key, "_month").orderBy(order(at))
+    near = rows.withColumns(
+        {"_near": F.lag(value).over(inside), "_edge": F.row_number().over(inside) == 1}
+    )
+    pick = F.min_by if ahead else F.max_by
+    ends = rows.groupBy(key, "_month").agg(pick(value, F.col(at)).alias("_end"))
+    months = Window.partitionBy(key).orderBy(order("_month"))
+    far = ends.select(
+        F.col(key).alias("_far_key"), F.col("_month").alias("_far_month"),
+        F.lag("_end").over(months).alias("_far"),
+    )
+    same = F.col(key).eqNullSafe(F.col("_far_key")) & (F.col("_month") == F.col("_far_month"))
+    found = F.when(F.col("_edge"), F.col("_far")).otherwise(F.col("_near"))
+    return near.join(far, same).select(*rows.columns, found.alias(name))
+
+
 def build_history(
     snapshots: DataFrame, key: str, attributes: list[str], observed_at: str
 ) -> DataFrame:
     """Versions ``[valid_from, valid_to)`` of a key's attributes from dated snapshots.
 
-    Snapshots are reduced to the last one of each key and day before the window,
-    so a key brings at most one row per calendar day into a task. Two snapshots
-    of the same instant are settled by their attributes. Snapshots without a time
+    Every change is a version, however short. Two snapshots of the same instant
+    are settled by their attributes, the larger ones stay. Snapshots without a time
     cannot be placed and are left out.
     """
     state = F.struct(*attributes)
     dated = snapshots.filter(F.col(observed_at).isNotNull())
-    days = dated.groupBy(key, F.col(observed_at).cast("date").alias("_day")).agg(
-        F.max(F.struct(observed_at, *attributes)).alias("_last")
-    )
-    of_key = Window.partitionBy(key).orderBy("_day")
-    changed = (
-        days.select(key, "_day", "_last.*")
-        .withColumn("_before", F.lag(state).over(of_key))
-        .filter(~F.col("_before").eqNullSafe(state))
+    instants = (
+        dated.groupBy(key, observed_at)
+        .agg(F.max(state).alias("_state"))
+        .withColumn("_month", F.trunc(F.col(observed_at).cast("date"), "month"))
     )
-    upcoming = F.lead(observed_at).over(Window.partitionBy(key).orderBy(observed_at))
-    return changed.select(
+    before = _neighbour(instants, key, observed_at, F.col("_state"), False, "_before")
+    changed = before.filter(~F.col("_before").eqNullSafe(F.col("_state"))).drop("_before")
+    ended = _neighbour(changed, key, observed_at, F.col(observed_at), True, "_upcoming")
+    return ended.select(
         key,
-        *attributes,
+        "_state.*",
         F.col(observed_at).alias("valid_from"),
-        F.coalesce(upcoming, as_ntz(OPEN_END)).alias("valid_to"),
-        upcoming.isNull().alias("is_current"),
+        F.coalesce("_upcoming", as_ntz(OPEN_END)).alias("valid_to"),
+        F.col("_upcoming").isNull().alias("is_current"),
     )
 
 

@@ -52,13 +52,14 @@ def keep_smallest_id(df: DataFrame, key: str, row_id: str) -> DataFrame:
 
 
 def keep_first(df: DataFrame, keys: list[str], order: str) -> DataFrame:
-    """One row per key, the one with the smallest ``order``.
+    """One row per key, the one with the smallest ``order``; a row without one comes last.
 
     ``min_by`` over the whole row combines map-side, so copies of one key never
     meet in one task the way a row number per key would bring them together.
     """
     rest = [c for c in df.columns if c not in keys]
-    first = df.groupBy(*keys).agg(F.min_by(F.struct(*rest), F.col(order)).alias("_row"))
+    place = F.struct(F.col(order).isNull(), F.col(order))
+    first = df.groupBy(*keys).agg(F.min_by(F.struct(*rest), place).alias("_row"))
     return first.select(*keys, "_row.*").select(*df.columns)
 
 

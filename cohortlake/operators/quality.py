@@ -19,48 +19,69 @@ CRITICAL, WARNING, INFO = "CRITICAL", "WARNING", "INFO"
 # Fixed value: a side effect of cleaning, left out of the adjusted totals.
 SECONDARY = ["A16"]
 
+# Codes, tables and severities. The texts say what a rule tests and a next step.
 # code: (table, severity, description, fix hint)
 CHECKS = {
-    "A1": ("users", WARNING, "Several users share an e-mail — logins and mailings collide",
-           "Find out why: shared mailbox, second registration or import error"),
-    "A2": ("users", WARNING, "Registered after the as-of time — test account or clock error",
-           "Leave out of cohorts until that date"),
-    "A3": ("users", INFO, "No acquisition channel — the user cannot be attributed",
-           "Fill with 'unknown'"),
-    "A4": ("courses", WARNING, "Price is 0 — a mistake unless the course is free",
-           "Add an is_free flag and keep out of the average check"),
-    "A5": ("courses", INFO, "Course is not published — must not reach any metric",
-           "Keep is_published = 1 in every mart"),
-    "A6": ("enrollments+users", CRITICAL, "Enrolled before registration — load or time-zone error",
-           "Leave out of the funnel or correct the time"),
-    "A7": ("enrollments", CRITICAL, "Unknown enrollment status",
-           "Constrain the status column"),
-    "A8": ("enrollments", WARNING, "Progress is 100 but the status is not completed",
-           "Set the status when progress reaches 100"),
-    "A9": ("enrollments→courses", CRITICAL, "Enrollment of a course that does not exist",
-           "Add a foreign key and check the load"),
-    "A10": ("payments", CRITICAL, "Negative amount — a refund recorded as a payment",
-            "Record refunds as transactions of their own"),
-    "A11": ("payments", CRITICAL, "Successful payment of 0 — gateway integration error",
-            "Require a positive amount on success"),
-    "A12": ("payments+users", CRITICAL, "Paid before registration — load or time-zone error",
-            "Leave out and check the time zones of the load"),
-    "A13": ("payments+courses", WARNING, "Payment for a course priced 0 — price changed later",
-            "Keep the price at purchase in payments"),
-    "A14": ("payments→enrollments", CRITICAL, "Payment of an enrollment that does not exist",
-            "Add a foreign key and look for deleted enrollments"),
-    "A15": ("payment_attempts→users", WARNING, "Attempt of an unknown user — guest or deleted",
-            "Leave out of per-user metrics"),
-    "A16": ("payment_attempts→payments", CRITICAL, "Successful attempt without any payment",
-            "Investigate: the gateway notice may have been lost"),
-    "A17": ("payment_attempts", CRITICAL, "Unknown attempt result",
-            "Constrain the result column"),
-    "A18": ("ad_costs", WARNING, "No spend although there were impressions — lost in export",
-            "Leave out of CPM and CAC and export again"),
-    "A19": ("ad_costs", WARNING, "Dated after the as-of time — test row or manual error",
-            "Leave out until that date"),
-    "A20": ("ad_costs", INFO, "Channel is not a paid one",
-            "Check the channel list"),
+    "A1": ("users", WARNING,
+           "Shared e-mail — e-mail value held by two or more user rows",
+           "merge the accounts, keep the smallest id"),
+    "A2": ("users", WARNING,
+           "Future registration — registered_at lies past the as-of time",
+           "exclude until that time comes"),
+    "A3": ("users", INFO,
+           "Empty channel — channel is empty",
+           "ask the sign-up form for it"),
+    "A4": ("courses", WARNING,
+           "Zero price — price_rub equals 0",
+           "confirm with the course owner"),
+    "A5": ("courses", INFO,
+           "Unpublished — is_published equals 0",
+           "filter on publication"),
+    "A6": ("enrollments+users", CRITICAL,
+           "Enrolled before registration — enrolled_at precedes registered_at of the same user",
+           "compare the clocks of both sources"),
+    "A7": ("enrollments", CRITICAL,
+           "Foreign status — status lies outside its domain",
+           "extend the domain or mend the writer"),
+    "A8": ("enrollments", WARNING,
+           "Full progress, other status — progress_pct is 100 while status differs from completed",
+           "derive one from the other"),
+    "A9": ("enrollments→courses", CRITICAL,
+           "Course row absent — course_id has no course row",
+           "reload courses first"),
+    "A10": ("payments", CRITICAL,
+           "Amount below zero — amount_rub is below 0",
+           "move such rows to refunds"),
+    "A11": ("payments", CRITICAL,
+           "Success worth nothing — status is success while amount_rub is 0",
+           "read the gateway log of the payment"),
+    "A12": ("payments+users", CRITICAL,
+           "Paid before registration — paid_at precedes registered_at of the same user",
+           "compare the clocks of both sources"),
+    "A13": ("payments+courses", WARNING,
+           "Charge for a zero-price course — amount_rub is positive for a course with price_rub 0",
+           "look up the course price at that time"),
+    "A14": ("payments→enrollments", CRITICAL,
+           "Enrollment row absent — enrollment_id has no enrollment row",
+           "reload enrollments first"),
+    "A15": ("payment_attempts→users", WARNING,
+           "User row absent — user_id has no user row",
+           "count per attempt, not per user"),
+    "A16": ("payment_attempts→payments", CRITICAL,
+           "Success lacks payment row — result is success, but user and course have no payment row",
+           "match with the bank statement"),
+    "A17": ("payment_attempts", CRITICAL,
+           "Foreign result — result lies outside its domain",
+           "extend the domain or mend the writer"),
+    "A18": ("ad_costs", WARNING,
+           "Impressions lack spend — spend_rub is 0 or empty while impressions are positive",
+           "request the cost export anew"),
+    "A19": ("ad_costs", WARNING,
+           "Future ad day — date lies past the as-of day",
+           "exclude until that day comes"),
+    "A20": ("ad_costs", INFO,
+           "Unpaid channel — channel is outside the paid channels",
+           "map the channel name"),
 }
 
 RULES = {

@@ -28,7 +28,7 @@ def revenue_by_period(payments: DataFrame, courses: DataFrame, grain: str = "mon
         F.countDistinct("user_id").alias("paying_users"),
         F.count("payment_id").alias("transactions"),
         F.sum("amount_rub").alias("revenue"),
-        half_up(F.avg("amount_rub"), 0).alias("avg_check"),
+        ratio(F.sum("amount_rub"), F.count("amount_rub"), 0).alias("avg_check"),
         ratio(F.sum("amount_rub"), F.countDistinct("user_id"), 0).alias("arpu"),
         _sum_where(product == S.SUBSCRIPTION, "amount_rub").alias("mrr"),
         ratio(F.count_if(F.col("discount_pct") > 0), F.count("payment_id"), 1, 100).alias(

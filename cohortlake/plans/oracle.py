@@ -349,8 +349,8 @@ _HISTORY = """
                      CAST(floor(l_discount * 100 / 4) * 500 + 1000 AS BIGINT) AS price_rub,
                      CAST(CASE WHEN l_returnflag = 'R' THEN 0 ELSE 1 END AS INTEGER) AS is_published
               FROM lineitem WHERE l_shipdate IS NOT NULL
-              QUALIFY row_number() OVER (PARTITION BY l_partkey, CAST(l_shipdate AS DATE)
-                                         ORDER BY l_shipdate DESC, price_rub DESC, is_published DESC) = 1))
+              QUALIFY row_number() OVER (PARTITION BY l_partkey, l_shipdate
+                                         ORDER BY price_rub DESC, is_published DESC) = 1))
   WHERE prev IS DISTINCT FROM (price_rub, is_published)
   WINDOW w AS (PARTITION BY course_id ORDER BY observed_at)"""
 
@@ -461,11 +461,22 @@ FROM (SELECT {_month('registered_at')} AS month, count(*)::DOUBLE AS registratio
 JOIN (SELECT {_month('date')} AS month, sum(spend_rub)::DOUBLE AS spend FROM ad_costs GROUP BY ALL)
 USING (month)""")
     sql["unknown_domain_values"] = _with("""
-SELECT 'result' AS column_name, result AS value, count(*) AS n FROM payment_attempts
+SELECT 'payment_attempts' AS table_name, 'result' AS column_name, result AS value, count(*) AS n
+FROM payment_attempts
 WHERE coalesce(result, '') NOT IN ('success', 'failed', 'abandoned') GROUP BY result
 UNION ALL
-SELECT 'status', status, count(*) FROM enrollments
-WHERE coalesce(status, '') NOT IN ('active', 'completed', 'dropped', 'paused') GROUP BY status""")
+SELECT 'enrollments', 'status', status, count(*) FROM enrollments
+WHERE coalesce(status, '') NOT IN ('active', 'completed', 'dropped', 'paused') GROUP BY status
+UNION ALL
+SELECT 'payments', 'status', status, count(*) FROM payments
+WHERE coalesce(status, '') NOT IN ('success', 'refunded', 'failed') GROUP BY status
+UNION ALL
+SELECT 'users', 'channel', channel, count(*) FROM users
+WHERE coalesce(channel, '') NOT IN
+  ('organic', 'vk_ads', 'yandex_direct', 'telegram', 'referral', 'email') GROUP BY channel
+UNION ALL
+SELECT 'ad_costs', 'channel', channel, count(*) FROM ad_costs
+WHERE coalesce(channel, '') NOT IN ('vk_ads', 'yandex_direct', 'telegram') GROUP BY channel""")
 
     mart_names = {
         "mart_revenue": "SELECT * FROM mart_revenue",

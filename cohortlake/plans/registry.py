@@ -1,7 +1,7 @@
 """Named queries ``(spark, sf_dir) -> DataFrame`` over the source tables."""
 
 from collections.abc import Callable, Mapping
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -214,14 +214,17 @@ _on_raw(
     "dq_seasonal_correlation",
     lambda r: quality.seasonal_correlation(r["users"], r["ad_costs"]),
 )
-_on_raw(
-    "unknown_domain_values",
-    lambda r: corrections.unknown_values(
-        r["payment_attempts"], corrections.DOMAINS["payment_attempts"]
-    ).unionByName(
-        corrections.unknown_values(r["enrollments"], corrections.DOMAINS["enrollments"])
-    ),
-)
+
+
+def _unknown_domain_values(tables: Mapping[str, DataFrame]) -> DataFrame:
+    parts = [
+        corrections.unknown_values(tables[t], domains).withColumn("table_name", F.lit(t))
+        for t, domains in corrections.DOMAINS.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+_on_raw("unknown_domain_values", _unknown_domain_values)
 
 
 # Layers and files
@@ -448,7 +451,7 @@ def incremental_daily_orders(spark, sf_dir):
     source(spark, sf_dir)
     folder = run_folder(spark, "incremental")
     schema = bindings.read(spark, sf_dir, "orders").schema
-    stream = incremental.file_stream(spark, schema, sf_dir, "orders.parquet")
+    stream = incremental.table_stream(spark, schema, f"{sf_dir}/orders.parquet")
     facts, mart = f"{folder}/orders", f"{folder}/daily"
 
     def daily(orders):

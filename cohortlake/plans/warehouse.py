@@ -127,15 +127,18 @@ def build_marts(layer) -> dict[str, DataFrame]:
     }
 
 
-def build(raw: Mapping[str, DataFrame], as_of, root: str) -> dict[tuple[str, str], DataFrame]:
+def build(
+    raw: Mapping[str, DataFrame], as_of, root: str, replace: bool = False
+) -> dict[tuple[str, str], DataFrame]:
     """Write the three layers below ``root`` and return every table read back.
 
     ``root`` names a new warehouse: raw and staged tables fail where they
-    exist. Marts replace what was there.
+    exist, unless ``replace`` asks to build over them, also over what a failed build
+    left. Marts replace what was there.
     """
-    mirrored = RawLayer(raw, root).all()
+    mirrored = RawLayer(raw, root, replace).all()
     stored = {("raw", t): df for t, df in mirrored.items()}
-    layer = StagedLayer(mirrored, as_of, root)
+    layer = StagedLayer(mirrored, as_of, root, replace)
     stored |= {("staging", STAGED_PREFIX + t): df for t, df in layer.all().items()}
     for name, mart in build_marts(layer).items():
         stored["marts", name] = replace_table(mart, table_path(root, "marts", name))

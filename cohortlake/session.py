@@ -19,10 +19,8 @@ _SETTINGS = {
 
 
 # Shuffles start from partitions of about this much stored input; adaptive execution
-# joins the small ones afterwards. More partitions than the limit would cost more in
-# shuffle blocks than they save.
+# joins the small ones afterwards.
 _INPUT_PER_PARTITION = 64 * 1024 * 1024
-_MOST_PARTITIONS = 50_000
 
 
 def configure(spark: SparkSession, input_bytes: int = 0) -> SparkSession:
@@ -34,7 +32,7 @@ def configure(spark: SparkSession, input_bytes: int = 0) -> SparkSession:
     for key, value in _SETTINGS.items():
         spark.conf.set(key, value)
     least = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    wanted = min(input_bytes // _INPUT_PER_PARTITION, _MOST_PARTITIONS)
+    wanted = input_bytes // _INPUT_PER_PARTITION
     spark.conf.set(
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(max(least, wanted))
     )
@@ -52,6 +50,11 @@ def exists(spark: SparkSession, path: str) -> bool:
     return files.exists(hadoop_path)
 
 
+def is_folder(spark: SparkSession, path: str) -> bool:
+    files, hadoop_path = _file_system(spark, path)
+    return files.getFileStatus(hadoop_path).isDirectory()
+
+
 def stored_state(spark: SparkSession, path: str) -> tuple[int, int, int]:
     """Bytes, files and change time of a file or folder."""
     files, hadoop_path = _file_system(spark, path)

@@ -9,7 +9,8 @@ from cohortlake.session import exists
 
 CORRUPT = "_corrupt_record"
 # Fixed value: the text form of timestamps in the input files.
-TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
+TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
+READ_FORMAT = "yyyy-MM-dd[ ]['T']HH:mm:ss[.SSSSSS]"
 
 
 class MissingInputs(ValueError):
@@ -30,21 +31,42 @@ def require(spark: SparkSession, paths: list[str]) -> None:
 def read_csv(spark: SparkSession, path: str, table: str, keep_corrupt: bool = False) -> DataFrame:
     """One table with its declared schema; an empty field is NULL.
 
-    Malformed rows become NULL fields. With ``keep_corrupt`` their text is kept
-    in ``_corrupt_record``.
+    Columns are taken by the names in the header, whatever their order; further
+    ones are left out, a missing one is an error. Malformed rows become NULL fields.
+    With ``keep_corrupt`` their text is kept in ``_corrupt_record``.
     """
-    schema = SCHEMAS[table]
+    declared = SCHEMAS[table]
+    header = spark.read.option("header", True).option("encoding", "UTF-8").csv(path).columns
+    missing = [c for c in declared.names if c not in header]
+    if missing:
+        raise ValueError(f"{path} lacks the columns {', '.join(missing)}")
+    schema = T.StructType(
+        [declared[c] if c in declared.names else T.StructField(c, T.StringType()) for c in header]
+    )
+    kept = declared.names
     if keep_corrupt:
-        schema = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType(), True)])
-    return (
+        schema.add(CORRUPT, T.StringType(), True)
+        kept = [*kept, CORRUPT]
+    read = (
         spark.read.schema(schema)
         .option("header", True)
+        .option("enforceSchema", False)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
-        .option("timestampNTZFormat", TIMESTAMP_FORMAT)
+        .option("timestampNTZFormat", READ_FORMAT)
         .option("encoding", "UTF-8")
         .csv(path)
     )
+    return read.select(*kept)
+
+
+def malformed_rows(spark: SparkSession, path: str, table: str) -> int:
+    """Rows of a file with a field that does not fit its declared type."""
+    rows = read_csv(spark, path, table, keep_corrupt=True)
+    bad = F.coalesce(F.sum(F.col(CORRUPT).isNotNull().cast("int")), F.lit(0)).alias("bad")
+    # Every column takes part, so that none is left unread.
+    every = F.bit_xor(F.hash(*SCHEMAS[table].names)).alias("every")
+    return rows.agg(bad, every).first()["bad"]
 
 
 def read_csv_layer(spark: SparkSession, folder: str) -> dict[str, DataFrame]:

@@ -12,8 +12,6 @@ from cohortlake.operators import quality as Q
 RUN_SCHEMA = (
     "run_at timestamp_ntz, code string, table_name string, severity string, n bigint, run_id string"
 )
-# Fixed value: a check row of a text report, | `A1` | ... | **1,234** | ...
-CHECK_LINE = r"^\|\s*`(A\d+)`\s*\|.*?\|\s*(?:\*\*)?(\d[\d,]*)(?:\*\*)?\s*\|"
 
 
 def store_results(results: DataFrame, path: str) -> None:
@@ -133,12 +131,16 @@ def report_lines(results: DataFrame) -> DataFrame:
 
 def read_report(spark: SparkSession, path: str) -> DataFrame:
     """``code, n`` from a text report; checks listed without a number are absent."""
-    text = spark.read.text(path)
-    code = F.regexp_extract("value", CHECK_LINE, 1)
-    number = F.regexp_replace(F.regexp_extract("value", CHECK_LINE, 2), ",", "")
+    cells = F.transform(F.split("value", r"\|"), F.trim)
+    codes = F.filter(cells, lambda c: c.rlike("^`A[0-9]+`$"))
+    bold = F.filter(cells, lambda c: c.rlike(r"^\*\*[0-9,]+\*\*$"))
+    plain = F.filter(cells, lambda c: c.rlike("^[0-9][0-9,]*$"))
+    # A number in bold is the count; other numbers of the row are not.
+    number = F.regexp_replace(F.coalesce(F.get(bold, 0), F.get(plain, 0)), "[*,]", "")
     return (
-        text.select(code.alias("code"), number.alias("number"))
-        .filter(F.col("code") != "")
+        spark.read.text(path)
+        .select(F.regexp_replace(F.get(codes, 0), "`", "").alias("code"), number.alias("number"))
+        .filter("code IS NOT NULL AND number IS NOT NULL")
         .groupBy("code")
         .agg(F.max(F.col("number").try_cast("bigint")).alias("n"))
     )

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cohortlake.functions import period_start
+from cohortlake.session import is_folder
 
 
 def file_stream(
@@ -24,6 +25,14 @@ def file_stream(
     return reader.load(folder)
 
 
+def table_stream(spark: SparkSession, schema: T.StructType, path: str) -> DataFrame:
+    """New files of a Parquet table, stored as one file or as a folder of files."""
+    folder, _, name = path.rstrip("/").rpartition("/")
+    if is_folder(spark, path):
+        return file_stream(spark, schema, path)
+    return file_stream(spark, schema, folder, name)
+
+
 def load_new(
     stream: DataFrame,
     moment: str,
@@ -78,8 +87,12 @@ def refresh_months(
 
     ``mart`` must keep the ``month`` column. The months of a batch are calendar
     months, so naming them in the filter is safe and prunes the other partitions.
+    Rows without a time are a month of their own, the missing one.
     """
     of_batch = loaded.filter(F.col("batch_id") == batch_id).select("month").distinct()
     months = [r.month for r in of_batch.collect()]
     if months:
-        _overwrite_parts(mart(loaded.filter(F.col("month").isin(months))), ["month"], target)
+        touched = F.col("month").isin([m for m in months if m is not None])
+        if None in months:
+            touched = F.coalesce(touched, F.lit(False)) | F.col("month").isNull()
+        _overwrite_parts(mart(loaded.filter(touched)), ["month"], target)

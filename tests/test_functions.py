@@ -39,3 +39,10 @@ def test_period_start(spark):
     df = spark.sql("SELECT TIMESTAMP_NTZ'2024-05-16 23:59:59' AS t")
     got = df.select(*[period_start("t", g).cast("string") for g in ("day", "week", "month", "year")])
     assert tuple(got.first()) == ("2024-05-16", "2024-05-13", "2024-05-01", "2024-01-01")
+
+
+def test_half_up_on_large_and_close_values(spark):
+    values = [(1.5e17, 2, 1.5e17), (0.49999999999999994, 0, 0.0), (-2.5, 0, -3.0)]
+    for value, digits, expected in values:
+        df = spark.createDataFrame([(value,)], "x double")
+        assert df.select(half_up(F.col("x"), digits)).first()[0] == expected

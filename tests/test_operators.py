@@ -108,6 +108,7 @@ def test_history(spark):
     versions = history.build_history(df, "k", ["price"], "at").orderBy("k", "valid_from").collect()
     assert [(r.k, r.price, r.valid_from.strftime("%m-%d %H"), r.is_current) for r in versions] == [
         (1, 10, "01-01 00", False),
+        (1, 11, "02-01 08", False),
         (1, 12, "02-01 09", False),
         (1, None, "03-01 00", False),
         (1, 12, "04-01 00", True),
@@ -197,3 +198,26 @@ def test_null_email_hot_group(spark):
         F.lit("2024-01-01").cast("timestamp_ntz").alias("registered_at"),
     )
     assert stage_users(users, AS_OF).count() == 2001
+
+
+def test_versions_within_a_day_and_a_hot_key(spark):
+    day = [(1, f"2024-01-01 {h:02d}:00", p) for h, p in ((8, 100), (12, 200), (18, 100))]
+    hot = [(2, f"2024-0{1 + i % 4}-{1 + i % 27:02d} {i % 24:02d}:00", i % 3) for i in range(400)]
+    versions = history.build_history(snapshots(spark, day + hot), "k", ["price"], "at").collect()
+    assert [r.price for r in sorted(versions, key=lambda r: r.valid_from) if r.k == 1] == [100, 200, 100]
+    states = {}
+    for k, t, price in hot:
+        states[t] = max(price, states.get(t, -1))
+    expected, last = [], None
+    for t in sorted(states):
+        if states[t] != last:
+            expected.append((t, states[t]))
+            last = states[t]
+    found = sorted((r.valid_from, r.price, r.valid_to) for r in versions if r.k == 2)
+    assert [(t.strftime("%Y-%m-%d %H:%M"), p) for t, p, _ in found] == expected
+    assert all(a[2] == b[0] for a, b in zip(found, found[1:]))
+
+
+def test_keep_first_without_order_value(spark):
+    df = spark.createDataFrame([(1, None, "a"), (2, None, "b"), (2, 5, "c")], "k int, o int, v string")
+    assert sorted(map(tuple, keys.keep_first(df, ["k"], "o").collect())) == [(1, None, "a"), (2, 5, "c")]

@@ -106,7 +106,7 @@ def test_checks_cover_every_code():
 
 def test_shuffles_grow_with_the_input(spark):
     name = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-    for size, partitions in ((0, "4"), (64 << 30, "1024"), (100 << 40, "50000")):
+    for size, partitions in ((0, "4"), (64 << 30, "1024"), (100 << 40, "1638400")):
         configure(spark, size)
         assert spark.conf.get(name) == partitions
     configure(spark)
@@ -138,3 +138,31 @@ def test_queries_side_by_side_write_a_table_once(spark, raw):
     with ThreadPoolExecutor(4) as pool:
         frames = list(pool.map(layer.__getitem__, ["payments"] * 4))
     assert all(f is frames[0] for f in frames) and frames[0].count() == 8
+
+
+def test_columns_by_header_and_forms_of_time(spark, tmp_path):
+    (tmp_path / "ad.csv").write_text("clicks,date,channel,spend_rub,impressions\n5,2024-01-01,vk_ads,9,1000\n")
+    row = csvfiles.read_csv(spark, str(tmp_path / "ad.csv"), "ad_costs").first()
+    assert (row.clicks, row.impressions) == (5, 1000)
+    (tmp_path / "bad.csv").write_text("clicks,date,channel,spend_rub,impressions\nx,2024-01-01,vk_ads,9,1\n")
+    assert csvfiles.malformed_rows(spark, str(tmp_path / "bad.csv"), "ad_costs") == 1
+    (tmp_path / "short.csv").write_text("clicks,date\n1,2024-01-01\n")
+    with pytest.raises(ValueError, match="impressions"):
+        csvfiles.read_csv(spark, str(tmp_path / "short.csv"), "ad_costs")
+    names = "attempt_id,user_id,course_id,attempted_at,result,failure_reason,payment_method\n"
+    times = ["2024-01-01 01:02:03", "2024-01-01 01:02:03.5", "2024-01-01T01:02:03"]
+    (tmp_path / "t.csv").write_text(names + "".join(f"{i},1,1,{t},success,,card\n" for i, t in enumerate(times)))
+    found = csvfiles.read_csv(spark, str(tmp_path / "t.csv"), "payment_attempts").orderBy("attempt_id")
+    assert [r.attempted_at.microsecond for r in found.collect()] == [0, 500000, 0]
+    csvfiles.write_csv(found, str(tmp_path / "again"))
+    again = csvfiles.read_csv(spark, str(tmp_path / "again"), "payment_attempts")
+    assert sorted(again.collect()) == sorted(found.collect())
+
+
+def test_second_build_replaces_the_first(spark, raw):
+    root = run_folder(spark, "twice")
+    warehouse.build(raw, AS_OF, root)
+    with pytest.raises(AnalysisException):
+        warehouse.build(raw, AS_OF, root)
+    tables = warehouse.build(raw, AS_OF, root, replace=True)
+    assert tables["raw", "payments"].count() == raw["payments"].count()

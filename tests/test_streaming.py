@@ -106,3 +106,22 @@ def test_unconfirmed_stream(spark, tmp_path):
         spark.createDataFrame(payments, S.SCHEMAS["payments"]),
     )
     assert got == sorted(r.attempt_id for r in batch.collect()) == [2, 3, 6]
+
+
+def test_undated_rows_and_tables_in_folders(spark, raw):
+    base = run_folder(spark, "undated")
+    undated = raw["payments"].withColumn("paid_at", F.when(F.col("payment_id") > 2, F.col("paid_at")))
+    undated.write.parquet(f"{base}/payments.parquet")
+    schema = S.SCHEMAS["payments"]
+
+    def by_month(rows):
+        return rows.groupBy("month").agg(F.count("*").alias("n"))
+
+    def after(batch_id):
+        loaded = incremental.read_loaded(spark, schema, f"{base}/facts")
+        incremental.refresh_months(loaded, batch_id, by_month, f"{base}/mart")
+
+    stream = incremental.table_stream(spark, schema, f"{base}/payments.parquet")
+    incremental.load_new(stream, "paid_at", f"{base}/facts", f"{base}/checkpoint", after)
+    counts = {r.month: r.n for r in spark.read.parquet(f"{base}/mart").collect()}
+    assert sum(counts.values()) == raw["payments"].count() and counts[None] == 2
