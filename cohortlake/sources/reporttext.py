@@ -131,7 +131,7 @@ def report_lines(results: DataFrame) -> DataFrame:
 
 def read_report(spark: SparkSession, path: str) -> DataFrame:
     """``code, n`` from a text report; checks listed without a number are absent."""
-    cells = F.transform(F.split("value", r"\|"), F.trim)
+    cells = F.transform(F.split("value", r"\|"), lambda c: F.trim(c))
     codes = F.filter(cells, lambda c: c.rlike("^`A[0-9]+`$"))
     bold = F.filter(cells, lambda c: c.rlike(r"^\*\*[0-9,]+\*\*$"))
     plain = F.filter(cells, lambda c: c.rlike("^[0-9][0-9,]*$"))
