@@ -1,7 +1,9 @@
 """Token ids in binary shards, with a minimal perfect hash index by document."""
 
 import re
+import sys
 import zlib
+from array import array
 
 import numpy as np
 import pandas as pd
@@ -15,14 +17,31 @@ from cohortlake.session import run_folder
 # A space between two other characters always begins a new unit of the byte-level
 # pattern, so a text can be encoded unit by unit.
 _CUT = re.compile(r"(?<=\S)(?= \S)")
-# Units remembered by a task.
-_KNOWN = 400_000
+_MARKS, _LATIN = '.,;:!?%$#&*|()"-/', "\u0250"
+_ADJACENT = re.compile(r"\s\s")
+# Parts of a unit that single ends of lines part, without other white space.
+_LINES = re.compile(r" ?[^\s]+(?:\n[^\s]+)+")
+# Units remembered by a task, in two halves.
+_KNOWN = 600_000
 _SHARD = 32 << 20
 # Keys per bucket of the index, and positions per key of one level.
 _KEYS = 20_000
 _LOOSE = 2
 
 
+def _units(text: str) -> list[str]:
+    """Units of a text without the space each but the first begins with.
+
+    The first one is marked by a space, which none of the others begins with.
+    """
+    if _ADJACENT.search(text):
+        units = [u[1:] if k else u for k, u in enumerate(_CUT.split(text))]
+    else:
+        units = text.split(" ")
+    units[0] = " " + units[0]
+    return units
+
+
 class Encoder:
     """Ids of texts as the tokenizer gives them, each unit encoded once while remembered."""
 
@@ -32,20 +51,67 @@ class Encoder:
         self._tokenizer = Tokenizer.from_file(path)
         self._tokenizer.no_padding()
         self._tokenizer.no_truncation()
-        self._dtype = dtype
+        self._code = "H" if np.dtype(dtype).itemsize == 2 else "I"
+        # The model's letters for bytes: printable ones stand for themselves, the others
+        # follow each other from 256 on.
+        plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+        others = [b for b in range(256) if b not in plain]
+        self._letters = {b: chr(256 + k) for k, b in enumerate(others)}
+        self._marks: dict[str, bytes] = {}
+        self._line = self._encode("\n")
         self._known: dict[str, bytes] = {}
+        self._older: dict[str, bytes] = {}
+
+    def _bytes(self, ids) -> bytes:
+        out = array(self._code, ids)
+        if sys.byteorder == "big":
+            out.byteswap()
+        return out.tobytes()
+
+    def _encode(self, text: str) -> bytes:
+        return self._bytes(self._tokenizer.encode(text, add_special_tokens=False).ids)
+
+    def _ids(self, unit: str) -> bytes:
+        """The ids of a unit, remembered.
+
+        A word of Latin letters is one unit of the pattern, so the model gets its bytes
+        directly; the marks behind it are another, and a line's end between words a third.
+        """
+        known = self._known
+        code = known.get(unit) or self._older.get(unit)
+        if code is not None:
+            known[unit] = code
+            return code
+        word = unit.rstrip(_MARKS)
+        bare = word[1:] if word[:1] == " " else word
+        if bare.isalpha() and (bare.isascii() or max(bare) < _LATIN):
+            if word != unit:
+                marks = unit[len(word) :]
+                if marks not in self._marks:
+                    self._marks[marks] = self._encode(marks)
+                code = self._ids(word) + self._marks[marks]
+            else:
+                spelled = bare
+                if not bare.isascii():
+                    spelled = bare.encode().decode("latin-1").translate(self._letters)
+                if word is bare:
+                    spelled = self._letters[32] + spelled
+                code = self._bytes([t.id for t in self._tokenizer.model.tokenize(spelled)])
+        elif _LINES.fullmatch(unit):
+            first, *rest = unit.split("\n")
+            code = self._ids(first) + b"".join(self._line + self._ids(" " + part) for part in rest)
+        else:
+            code = self._encode(unit[1:] if unit[:1] == " " else " " + unit)
+        known[unit] = code
+        return code
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         if len(self._known) > _KNOWN:
-            self._known.clear()
-        known, cut = self._known, [_CUT.split(t) if t else [] for t in texts]
-        new = list({u for units in cut for u in units if u not in known})
-        for at in range(0, len(new), 5000):
-            part = new[at : at + 5000]
-            for unit, code in zip(
-                part, self._tokenizer.encode_batch_fast(part, add_special_tokens=False)
-            ):
-                known[unit] = np.array(code.ids, self._dtype).tobytes()
+            self._known, self._older = {}, self._known
+        known = self._known
+        cut = [_units(t) if t else [] for t in texts]
+        for unit in {u for units in cut for u in units if u not in known}:
+            self._ids(unit)
         return [b"".join(map(known.__getitem__, units)) for units in cut]
 
 
