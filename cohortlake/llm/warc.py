@@ -193,7 +193,8 @@ def rewrite(decided: DataFrame, source_folder: str, folder: str) -> DataFrame:
                     )
                 )
         close()
-        yield pd.DataFrame({"archive": done})
+        if done:
+            yield pd.DataFrame({"archive": done})
 
     sorted_ = decided.repartition("archive").sortWithinPartitions("archive", "at")
     return sorted_.mapInPandas(write, "archive string")
@@ -228,7 +229,8 @@ def read_archives(names: DataFrame, folder: str, payloads: bool = False) -> Data
                         if len(rows) == 2000:
                             yield _frame(rows, _RECORDS)
                             rows = []
-                yield _frame(rows, _RECORDS)
+                if rows:
+                    yield _frame(rows, _RECORDS)
 
     return names.repartition("archive").mapInPandas(read, _RECORDS)
 
