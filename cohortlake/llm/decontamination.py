@@ -115,10 +115,9 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
             rows = []
             for i, (doc_id, (values, places)) in enumerate(zip(frame["doc_id"], found)):
                 words = hashes[begins[i] : begins[i + 1]].tobytes() if values else None
-                row = int.from_bytes(os.urandom(8), "little", signed=True) if values else None
+                row = int.from_bytes(os.urandom(8), "little", signed=True)
                 rows.append((doc_id, row, values, places, words))
-            out = pd.DataFrame(rows, columns=columns, dtype=object)
-            yield out.astype({"row": "Int64"})
+            yield pd.DataFrame(rows, columns=columns, dtype=object).astype({"row": "int64"})
 
     source = docs.selectExpr("cast(cast(doc_id as long) as string) doc_id", "cast(text as string) text")
     searched = stored(
@@ -128,7 +127,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         "searched",
     )
     hits = (
-        searched.filter("row IS NOT NULL")
+        searched.filter("words IS NOT NULL")
         .select("row", F.explode(F.arrays_zip("hashes", "places")).alias("hit"))
         .select("row", F.col("hit.hashes").alias("hash"), F.col("hit.places").alias("at"))
     )
@@ -148,7 +147,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                 lengths.append(best if best >= min(LEAST_WORDS, len(b)) else 0)
             yield frame[["row", "item_id"]].assign(length=lengths)
 
-    words = searched.filter("row IS NOT NULL").select("row", "words")
+    words = searched.filter("words IS NOT NULL").select("row", "words")
     verified = (
         aligned.join(words, "row")
         .join(_item_words(items), "item_id")
