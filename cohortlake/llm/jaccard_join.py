@@ -207,8 +207,24 @@ def _sets(docs: DataFrame, n: int, limit: Threshold, keep) -> DataFrame:
     return _texts(docs).mapInPandas(run, _SETS)
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, limit: Threshold) -> DataFrame:
-    """Pairs (a, b) of set identities that are linked: sketches first, then the members."""
+def _verified(pairs: DataFrame, documents: DataFrame, limit: Threshold) -> DataFrame:
+    """Pairs (a, b) of set identities that are linked: sketches first, then the members.
+
+    Only the members of sets in a pair are shuffled; a filter of fixed size picks them.
+    """
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    needed = Sent(pairs.sparkSession, HashFilter.of(ids, "id", 2 * pairs.count()))
+
+    def chosen(frames):
+        for frame in frames:
+            yield frame[needed.value.holds(frame["id"].to_numpy(np.int64).view(np.uint64))]
+
+    sets = (
+        documents.filter("members IS NOT NULL")
+        .select("id", "sketch", "members")
+        .mapInPandas(chosen, "id long, sketch binary, members binary")
+        .dropDuplicates(["id"])
+    )
 
     def linked(frames):
         for frame in frames:
@@ -269,12 +285,15 @@ def _near_pairs(rows: DataFrame, limit: Threshold) -> DataFrame:
             yield pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
 
     salts = F.ceil(F.col("m") / _SALT).cast("int")
-    members = rows.select("*", F.pmod(F.xxhash64("id"), salts).cast("int").alias("salt"), F.lit(False).alias("centre"))
-    centres = rows.filter("turn OR best").select(
-        "*", F.explode(F.sequence(F.lit(0), salts - 1)).alias("salt"), F.lit(True).alias("centre")
+    own = F.pmod(F.xxhash64("id"), salts).cast("int")
+    member = F.array(F.struct(own.alias("salt"), F.lit(False).alias("centre")))
+    centre = F.transform(
+        F.sequence(F.lit(0), salts - 1), lambda salt: F.struct(salt.alias("salt"), F.lit(True).alias("centre"))
     )
+    places = F.when(F.col("turn") | F.col("best"), F.concat(member, centre)).otherwise(member)
     dealt = (
-        members.unionByName(centres)
+        rows.select("*", F.explode(places).alias("place"))
+        .select("*", "place.salt", "place.centre")
         .repartition("key", "salt")
         .sortWithinPartitions("key", "salt", F.desc("centre"))
         .select("key", "salt", "id", "component", "n", "centre", F.expr("best AND NOT turn").alias("best"), "short")
@@ -282,10 +301,11 @@ def _near_pairs(rows: DataFrame, limit: Threshold) -> DataFrame:
     return dealt.mapInPandas(compare, "a long, b long").distinct()
 
 
-def _linked_sets(shared: DataFrame, sets: DataFrame, limit: Threshold) -> DataFrame:
+def _linked_sets(shared: DataFrame, documents: DataFrame, limit: Threshold) -> DataFrame:
     """(id, component) of the sets that share keys.
 
-    A set leaves out its most frequent keys, see ``Threshold.spare``. Within a key's
+    A set leaves out its most frequent keys, see ``Threshold.spare``. Keys with the
+    same sets are one group, known by a 64-bit hash of all its sets. Within a
     group some members are centres, compared with all members of other components;
     every round has sixteen times the centres of the last, and the set with most
     links. A group whose members are all one component is done, so a group of very
@@ -296,21 +316,33 @@ def _linked_sets(shared: DataFrame, sets: DataFrame, limit: Threshold) -> DataFr
     rank = F.row_number().over(
         Window.partitionBy("id", "band").orderBy(F.desc("m"), F.desc("key"))
     )
+    sets = documents.filter("keys IS NOT NULL").select("id", "n", "keys", "bands", "short")
+    sets = stored(sets.dropDuplicates(["id"]), "distinct")
     rare = stored(
-        sets.select("id", "n", "short", F.explode(F.arrays_zip("keys", "bands")).alias("k"))
-        .select("id", "n", "short", F.col("k.keys").alias("key"), F.col("k.bands").alias("band"))
+        sets.select("id", F.explode(F.arrays_zip("keys", "bands")).alias("k"))
+        .select("id", F.col("k.keys").alias("key"), F.col("k.bands").alias("band"))
         .join(shared, "key")
         .withColumn("rank", rank)
         .filter(F.col("rank") >= F.get(spare, F.col("band")))
-        .select("id", "n", "short", "key"),
+        .select("id", "key"),
         "rare",
     )
-    groups = rare.groupBy("key").agg(F.count("*").alias("m"), F.min("id").alias("low"))
-    members = stored(rare.join(groups.filter("m > 1"), "key"), "members")
-    sets = sets.select("id", "members", "sketch")
+    groups = (
+        rare.groupBy("key")
+        .agg(
+            F.count("*").alias("m"),
+            F.min("id").alias("low"),
+            F.bit_xor(F.xxhash64(F.lit(5), "id")).alias("mark"),
+        )
+        .filter("m > 1")
+        .groupBy("m", "low", "mark")
+        .agg(F.min("key").alias("key"))
+        .drop("mark")
+    )
+    members = stored(rare.join(groups, "key"), "members")
     most = members.agg(F.max("m")).first()[0] or 0
     place = F.col("id").cast("double") / 2.0**64 + 0.5
-    columns = ["key", "id", "n", "short", "m", "low"]
+    columns = ["key", "id", "m", "low"]
 
     def centres(step: int) -> int:
         powers = [_GROWTH**k for k in range(step + 1) if _GROWTH**k <= _CENTRES]
@@ -336,10 +368,11 @@ def _linked_sets(shared: DataFrame, sets: DataFrame, limit: Threshold) -> DataFr
             *columns, "component", turn.alias("turn"), best.alias("best")
         )
         active = stored(active, "active")
-        near = stored(_near_pairs(active, limit), "near")
-        new = stored(_verified(near, sets, limit), "linked")
+        sketched = active.join(sets.select("id", "n", "short"), "id")
+        near = stored(_near_pairs(sketched, limit), "near")
+        new = None if near.isEmpty() else stored(_verified(near, documents, limit), "linked")
         state = active.select(*columns, "component", F.lit(0).alias("degree"))
-        if not new.isEmpty():
+        if new is not None and not new.isEmpty():
             links = new if links is None else links.unionByName(new)
             labels = stored(connected(links), "labels")
             degrees = (
@@ -383,10 +416,7 @@ def similar_components(docs: DataFrame, n: int = 5, low: int = 80, high: int = 1
     shared = stored(groups, "shared")
     keep = Sent(spark, HashFilter.of(shared, "key", shared.count()))
     documents = stored(_sets(docs, n, limit, keep), "sets")
-    sets = stored(
-        documents.filter("keys IS NOT NULL").dropDuplicates(["id"]).drop("doc_id"), "distinct"
-    )
-    parts = stored(_linked_sets(shared, sets, limit), "parts")
+    parts = stored(_linked_sets(shared, documents, limit), "parts")
     classes = documents.filter("n > 0").groupBy("id").agg(F.min("doc_id").alias("first"))
     classes = classes.join(parts, "id", "left").withColumn(
         "component", F.coalesce("component", "id")
