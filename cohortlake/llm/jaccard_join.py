@@ -374,7 +374,10 @@ def _linked_sets(shared: DataFrame, documents: DataFrame, limit: Threshold) -> D
         state = active.select(*columns, "component", F.lit(0).alias("degree"))
         if new is not None and not new.isEmpty():
             links = new if links is None else links.unionByName(new)
-            labels = stored(connected(links), "labels")
+            known = new
+            if labels is not None:
+                known = new.unionByName(labels.select(F.col("node").alias("a"), F.col("component").alias("b")))
+            labels = stored(connected(known), "labels")
             degrees = (
                 links.select(F.explode(F.array("a", "b")).alias("node"))
                 .groupBy("node").agg(F.count("*").cast("int").alias("degree"))
