@@ -1,18 +1,22 @@
 """Main text of web pages by templates deduced from the pages of a host."""
 
+import hashlib
 import html as html_entities
 import json
 import re
+import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortlake.llm.common import input_bytes, stored
+from cohortlake.llm.common import HashFilter, Sent, input_bytes, stored
 
-# Share of a host's pages that a class must occur on, and fewest pages for a template.
+# Share of a host's different pages that a class must occur on, and fewest pages for
+# a template and for any text in it.
 SUPPORT, FEWEST = 0.5, 3
 # Largest stored size of all templates that is sent to every executor.
 BROADCAST_BYTES = 4 << 20
@@ -39,6 +43,12 @@ _SIDE_MARK = re.compile(
     r"|complementary|contentinfo)(?:$|[\s_-])",
     re.I,
 )
+# Blocks whose end tag may be missing end where one of these begins; a paragraph, at any block.
+_ENDED_BY = {
+    "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "option": {"option"}, "p": _BLOCKS,
+    "tr": {"tr"}, "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"},
+}
+_LETTERS, _SIGN = re.compile(r"[^\W\d_]{2}"), re.compile(r"[^\W_]")
 _MAIN_MARK = re.compile(
     r"(?:^|[\s_-])(?:article|content|post|entry|story|main|body)(?:$|[\s_-])", re.I
 )
@@ -87,41 +97,92 @@ def tokens(page: str) -> Iterator[tuple[str, str, str]]:
 
 
 def spell(kind: str, name: str, value: str) -> str | None:
-    """A token as compared between pages; long texts are never part of a template."""
+    """A token as compared between pages; long texts by their hash, empty ones not at all."""
     if kind == "text":
         text = _SPACE.sub(" ", value).strip()
-        return f"#{text}" if 0 < len(text) <= 80 else None
+        if len(text) > 80:
+            text = hashlib.blake2b(text.encode(), digest_size=16).hexdigest()
+        return f"#{text}" if text else None
     return f"</{name}>" if kind == "close" else f"<{name} {value}".rstrip() + ">"
 
 
-def _host(url: str | None) -> str:
-    found = re.match(r"\s*(?:[a-zA-Z][\w+.-]*:)?//([^/?#\s]*)", url or "")
-    return found[1].lower() if found else ""
+def placed(page: str) -> Iterator[tuple[str, str, str, str | None]]:
+    """Tokens with their spelling, which ends in a code of the names of the enclosing blocks."""
+    names, codes, opened = [], [0], Counter()
+
+    def end():
+        opened[names.pop()] -= 1
+        return codes.pop()
+
+    for kind, name, value in tokens(page):
+        text = spell(kind, name, value)
+        if name in _BLOCKS and kind == "open":
+            while names and name in _ENDED_BY.get(names[-1], ()):
+                end()
+        if name in _BLOCKS and name not in _VOID and (kind == "open" or opened[name]):
+            if kind == "open":
+                names.append(name)
+                opened[name] += 1
+                codes.append(zlib.crc32(name.encode(), codes[-1]))
+                code = codes[-1]
+            else:
+                while names[-1] != name:
+                    end()
+                code = end()
+        else:
+            code = codes[-1]
+        yield kind, name, value, text and f"{text}\t{code:x}"
+
+
+def _host(url: str) -> Column:
+    found = F.regexp_extract(url, r"^\s*(?:[a-zA-Z][\w+.-]*:)?//([^/?#\s]*)", 1)
+    return F.lower(F.coalesce(found, F.lit("")))
 
 
 _STATS = "host string, token string, pages long, total long, most long, vector long, place double"
 
 
+def _different(pages: DataFrame) -> DataFrame:
+    """The different pages with their hash and hosts; only copies are shuffled."""
+    spark = pages.sparkSession
+    rows = pages.select(F.xxhash64("html").alias("key"), "html", _host("url").alias("host"))
+    copied = stored(rows.groupBy("key").count().filter("count > 1").select("key"), "copied")
+    keep = Sent(spark, HashFilter.of(copied, "key", copied.count()))
+
+    @F.pandas_udf("boolean")
+    def holds(key: pd.Series) -> pd.Series:
+        return pd.Series(keep.value.holds(key.to_numpy(np.int64).view(np.uint64)))
+
+    rows = rows.withColumn("copied", holds("key"))
+    copies = rows.filter("copied").groupBy("key").agg(
+        F.first("html").alias("html"), F.collect_set("host").alias("hosts")
+    )
+    return rows.filter("NOT copied").select("key", "html", F.array("host").alias("hosts")).union(copies)
+
+
 def _occurrences(pages: DataFrame) -> DataFrame:
     """Per host and token: pages, occurrences, most on a page, the occurrence vector's
-    fingerprint and the sum of its first places. Host ``*`` stands for all hosts."""
+    fingerprint and the sum of its first places. Host ``*`` stands for all hosts.
+
+    Copies of a page count once per host, and once for all hosts: what stands on
+    copies alone is not a template.
+    """
     random = 0x9E3779B97F4A7C15
 
     def count(frames):
         for frame in frames:
             rows: dict[tuple[str, str], list] = {}
-            for page_id, url, page in zip(frame["key"], frame["url"], frame["html"]):
+            for key, hosts, page in zip(frame["key"], frame["hosts"], frame["html"]):
                 seen: dict[str, list] = {}
                 n = 0
-                for n, token in enumerate(tokens(page or "")):
-                    text = spell(*token)
+                for n, (*_, text) in enumerate(placed(page or "")):
                     if text is not None:
                         entry = seen.setdefault(text, [0, n])
                         entry[0] += 1
-                for host in (_host(url), "*"):
+                for host in (*hosts, "*"):
                     rows.setdefault((host, ""), [0, 0, 0, 0, 0.0])[0] += 1
                     for text, (times, first) in seen.items():
-                        mark = (page_id * random + times * 0xD6E8FEB86659FD93) % (1 << 64)
+                        mark = (key * random + times * 0xD6E8FEB86659FD93) % (1 << 64)
                         mark = (mark ^ mark >> 32) * random % (1 << 64)
                         entry = rows.setdefault((host, text), [0, 0, 0, 0, 0.0])
                         entry[0] += 1
@@ -135,9 +196,8 @@ def _occurrences(pages: DataFrame) -> DataFrame:
             ]
             yield pd.DataFrame(out, columns=[c.split()[0] for c in _STATS.split(", ")])
 
-    rows = pages.select(F.xxhash64("page_id", "html").alias("key"), "url", "html")
     return (
-        rows.mapInPandas(count, _STATS)
+        _different(pages).mapInPandas(count, _STATS)
         .groupBy("host", "token")
         .agg(
             F.sum("pages").alias("pages"), F.sum("total").alias("total"),
@@ -148,22 +208,21 @@ def _occurrences(pages: DataFrame) -> DataFrame:
 
 
 def nest(frame: pd.DataFrame) -> list[str]:
-    """The template of a host: tokens of valid classes that occur once, in page order.
+    """The template of a host: tags of valid classes and texts, in page order.
 
     Tokens with the same occurrence vector form a class. Classes of a close tag
     without its open tag before it, or the other way round, do not nest and are dropped.
     """
-    frame = frame[frame["most"] == 1].assign(
-        mean=lambda f: f["place"] / f["pages"], class_=lambda f: f["vector"]
-    )
-    sizes = frame.groupby("class_")["token"].transform("size")
-    ordered = frame[sizes >= 2].sort_values(["mean", "token"])["token"].tolist()
+    text = frame["token"].str.startswith("#")
+    frame = frame.assign(mean=frame["place"] / frame["pages"])
+    sizes = frame.groupby("vector")["token"].transform("size")
+    ordered = frame[text | (sizes >= 2)].sort_values(["mean", "token"])["token"].tolist()
     keep, opened = set(), []
     for i, token in enumerate(ordered):
         if token.startswith("#"):
             keep.add(i)
         elif token.startswith("</"):
-            name = token[2:-1]
+            name = token[2:].split(">")[0]
             for k in range(len(opened) - 1, -1, -1):
                 if opened[k][0] == name:
                     keep |= {opened[k][1], i}
@@ -178,7 +237,8 @@ def deduce(pages: DataFrame) -> DataFrame:
     """One template per host with enough pages, as a JSON list of tokens; ``*`` for the rest.
 
     Tokens are counted with partial sums, also those of a host with very many pages;
-    only tokens on enough of its pages reach the group that nests them.
+    only tokens on enough of its pages reach the group that nests them, tags if they
+    occur once in their place, texts however often they do.
     """
     stats = stored(_occurrences(pages), "occurrences")
     counts = stats.filter("token = ''").select("host", F.col("pages").alias("all_pages"))
@@ -188,6 +248,7 @@ def deduce(pages: DataFrame) -> DataFrame:
         .filter(
             (F.col("pages") >= F.lit(SUPPORT) * F.col("all_pages"))
             & ((F.col("all_pages") >= FEWEST) | (F.col("host") == "*"))
+            & F.when(F.col("token").startswith("#"), F.col("pages") >= FEWEST).otherwise(F.col("most") == 1)
         )
     )
 
@@ -216,33 +277,38 @@ def _side(marks: str) -> bool:
 def extract(page: str | None, template: frozenset[str]) -> str:
     """Text of the slots inside the template's main elements, as blocks.
 
-    A slot is what stands between two tokens of the template. Slots inside menus,
-    headers, footers, asides, forms, adverts, notices, comments and the like are
-    left out, and so are such elements inside a slot. Where the page has none of
-    the main elements, all other slots count.
+    A slot is what stands between two tokens of the template. Blocks whose texts are
+    all in the template are left out; one with other text too stays whole, and so
+    does one of numbers, signs and single letters, which are alike by chance. Slots
+    inside menus, headers, footers, asides, forms, adverts, notices, comments and the
+    like are left out, and so are such elements inside a slot. Where the template has
+    none of the main elements, those of the page count, and if it has none, all slots.
     """
-    parts = list(tokens(page or ""))
-    spelled = [spell(*p) if p[0] != "text" else None for p in parts]
+    parts = list(placed(page or ""))
     roles = [_role(p[1], p[2]) if p[0] == "open" else "" for p in parts]
-    has_main = any(r == "main" and s in template for r, s in zip(roles, spelled))
+    has_main = any(r == "main" and p[3] in template for r, p in zip(roles, parts))
+    tags = template
     if not has_main:
-        template = frozenset(s for s in spelled if s)
+        tags = frozenset(p[3] for p in parts if p[0] != "text")
         has_main = "main" in roles
     slots: list[tuple[str, str]] = []
     skipped: list[str] = []
-    blocks, words = [], []
+    blocks, words, other = [], [], []
 
     def end_block():
         text = _SPACE.sub(" ", html_entities.unescape("".join(words))).strip()
-        if text:
+        if text and (other or not _LETTERS.search(text)):
             blocks.append(text)
         words.clear()
+        other.clear()
 
-    for (kind, name, value), text, role in zip(parts, spelled, roles):
+    for (kind, name, value, text), role in zip(parts, roles):
         if kind == "text":
             inside = not has_main or any(r == "main" for _, r in slots)
             if inside and not skipped and not any(r == "side" for _, r in slots):
                 words.append(value)
+                if text and text not in template and _SIGN.search(html_entities.unescape(value)):
+                    other.append(value)
             continue
         if name in _BLOCKS:
             end_block()
@@ -251,7 +317,7 @@ def extract(page: str | None, template: frozenset[str]) -> str:
         if name in _VOID:
             continue
         if kind == "open":
-            if text in template and role:
+            if text in tags and role:
                 slots.append((name, role))
             elif skipped:
                 if skipped[0] == name:
@@ -304,8 +370,7 @@ def main_text(pages: DataFrame) -> DataFrame:
             out["page_id"] = out["page_id"].astype("Int64")
             yield out
 
-    host = F.lower(F.coalesce(F.regexp_extract("url", r"^\s*(?:[a-zA-Z][\w+.-]*:)?//([^/?#\s]*)", 1), F.lit("")))
-    joined = source.withColumn("host", host).join(
+    joined = source.withColumn("host", _host("url")).join(
         F.broadcast(hosts) if small else hosts, "host", "left"
     )
     return joined.select("page_id", "url", "html", "template").mapInPandas(

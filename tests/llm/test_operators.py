@@ -220,6 +220,29 @@ def test_main_text(spark):
     assert html_template.main_text(pages(spark, [])).count() == 0
 
 
+def test_repeated_text_is_template(spark):
+    long = "All articles of this paper may be read free of charge thanks to the help of our readers."
+    menu = "".join(f"<li><a href='/{w}'>{w}</a></li>" for w in ("Home", "Sports", "Contact us"))
+
+    def plain(k):
+        more = "".join(f"<p>Part {k} {i}</p><p>Read more</p>" for i in range(k % 3 + 1))
+        return (f"<html><body class='page-{k}'><div><ul>{menu}</ul></div><div><p>Sports</p><p>{long}</p><div><p>Home"
+                f"<p>Story {k} of <b>Home</b></p>{more}</div></div><div><a>Terms</a> | <a>Imprint</a></div></body></html>")
+
+    def named(k):
+        return f"<article><p>Story {k}</p><p>{long}</p></article><p>Imprint {k}</p>"
+
+    data = [(k, f"http://plain.example/{k}", plain(k)) for k in range(6)]
+    data += [(10 + k, f"http://named.example/{k}", named(k)) for k in range(4)]
+    data += [(20 + k, f"http://copies.example/{k}", "<div><p>Written once, copied often</p></div>") for k in range(9)]
+    found = html_template.main_text(pages(spark, [(*r, "k", 0) for r in data]))
+    texts = {r.page_id: r.text for r in found.collect()}
+    for k in range(6):
+        assert texts[k].split("\n\n") == [f"Story {k} of Home", *(f"Part {k} {i}" for i in range(k % 3 + 1))]
+    assert all(texts[10 + k] == f"Story {k}" for k in range(4))
+    assert all(texts[20 + k] == "Written once, copied often" for k in range(9))
+
+
 def test_repetition(spark, docs, none):
     found = quality_rules.repetition(docs).collect()
     expected = Counter()
