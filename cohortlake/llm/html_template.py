@@ -35,12 +35,19 @@ _SIDE = set(
     "head nav header footer aside form script style noscript template textarea title iframe svg"
     " button select dialog menu".split()
 )
+# Elements that hold the text itself, whatever their classes say of the page.
+_WHOLE = {"html", "body", "main", "article"}
+# Whole class names, ids and roles of side elements: such a word, alone or with a usual
+# word for its place before it and for its form after it.
 _SIDE_MARK = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|banner|promo\w*|sponsor\w*|cookies?|consent|notices?|alert"
+    r"(?:(?:site|page|main|global|top|bottom|post|entry|article|content)[-_]?)?"
+    r"(?:ads?|advert\w*|banner|promo\w*|sponsor\w*|cookies?|consent|notices?|alert"
     r"|comments?|respond|replies|disqus|side-?bar|widgets?|menu|nav|navigation|navbar|footer|header"
     r"|masthead|breadcrumbs?|share|sharing|social|related|recommended|subscribe|newsletter"
     r"|popup|modal|overlay|search|login|signup|pagination|pager|skip|copyright|legal"
-    r"|complementary|contentinfo)(?:$|[\s_-])",
+    r"|complementary|contentinfo)"
+    r"(?:[-_]?(?:ads?|area|banner|bar|block|body|box|buttons?|consent|container|content|form|icons?|inner"
+    r"|items?|links?|list|main|menu|nav|notice|posts?|section|signup|text|title|top|wrap(?:per)?|[0-9]+))*",
     re.I,
 )
 # Blocks whose end tag may be missing end where one of these begins; a paragraph, at any block.
@@ -259,7 +266,7 @@ def deduce(pages: DataFrame) -> DataFrame:
 
 
 def _role(name: str, marks: str) -> str:
-    if name in _SIDE or _side(marks):
+    if name in _SIDE or name not in _WHOLE and _side(marks):
         return "side"
     if name in ("article", "main") or any(_MAIN_MARK.search(v) for v in _values(marks)):
         return "main"
@@ -271,7 +278,7 @@ def _values(marks: str) -> list[str]:
 
 
 def _side(marks: str) -> bool:
-    return any(_SIDE_MARK.search(v) for v in _values(marks))
+    return any(_SIDE_MARK.fullmatch(v) for value in _values(marks) for v in value.split())
 
 
 def extract(page: str | None, template: frozenset[str]) -> str:

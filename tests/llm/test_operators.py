@@ -243,6 +243,19 @@ def test_repeated_text_is_template(spark):
     assert all(texts[20 + k] == "Written once, copied often" for k in range(9))
 
 
+def test_classes_of_the_page_are_not_side():
+    for page in (
+        '<body class="no-sidebar"><p>Text</p></body>',
+        '<body class="has-sidebar search-enabled sidebar"><p>Text</p></body>',
+        '<html class="menu"><main class="search"><p>Text</p></main></html>',
+        '<article class="post has-comments comments"><p>Text</p></article>',
+        '<div class="layout no-sidebar"><p>Text</p></div>',
+    ):
+        assert html_template.extract(page, frozenset()) == "Text"
+    for name in ("sidebar", "wide comments", "site-footer", "cookie-banner", "main-nav", "newsletter_signup", "widget-area", "ad"):
+        assert html_template.extract(f'<p>Text</p><div class="{name}"><p>Side</p></div>', frozenset()) == "Text"
+
+
 def test_repetition(spark, docs, none):
     found = quality_rules.repetition(docs).collect()
     expected = Counter()
