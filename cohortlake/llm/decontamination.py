@@ -9,17 +9,29 @@ from pyspark.sql import functions as F
 
 from cohortlake.llm.common import HashFilter, Sent, as_long, mix, stored, word_hashes
 
-# Word positions that a seed looks at; the others may differ. The last one is for
-# items too short for the rest.
+# Seeds: the fewest and most words of the items they are for, and the word positions
+# looked at; the others may differ. Whatever words are changed within the share below,
+# one of an item's seeds finds it: a stretch of 26 words or more holds a shorter one of
+# 13 at least with the same share, and the tests go through all changes of 1 to 25 words.
 SEEDS = (
-    (0, 1, 2, 5, 8, 10),
-    (0, 2, 3, 6, 9, 10),
-    (0, 1, 4, 6, 7, 10),
-    (0, 3, 5, 7, 9, 10),
-    (0, 1, 2, 3, 4),
+    (1, 1, (0,)),
+    (2, 2, (0, 1)),
+    (3, 3, (0, 1, 2)),
+    (4, 4, (0, 1, 2, 3)),
+    (5, 5, (0, 1, 2)),
+    (5, 5, (0, 1, 3)),
+    (6, 9, (0, 1, 2, 3)),
+    (6, 9, (0, 1, 4, 5)),
+    (10, 12, (0, 1, 3, 4, 5)),
+    (10, 12, (0, 1, 2, 6, 7)),
+    (10, 12, (0, 2, 4, 5, 7)),
+    (13, None, (0, 1, 2, 5, 7, 8)),
+    (13, None, (0, 1, 2, 3, 5, 6)),
+    (13, None, (0, 1, 3, 7, 8, 9)),
+    (13, None, (0, 4, 5, 7, 8, 9)),
 )
-_LONG = 11
-FEWEST = 5
+# Items of fewer words count only where they are all words of a document.
+FEWEST = 3
 # An overlap counts from this many words, or the whole of a shorter item, with this
 # share of equal words.
 LEAST_WORDS, SHARE = 13, 0.8
@@ -27,7 +39,7 @@ LEAST_WORDS, SHARE = 13, 0.8
 
 def seed_hashes(hashes: np.ndarray, begins: np.ndarray, seed: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all places of a seed inside one text, and their first word's index."""
-    offsets = SEEDS[seed]
+    offsets = SEEDS[seed][2]
     n = len(hashes) - offsets[-1]
     if n <= 0:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
@@ -49,23 +61,23 @@ def longest_overlap(equal: np.ndarray, share: float) -> int:
 
 
 def _benchmark_seeds(benchmark: DataFrame) -> DataFrame:
-    """Per seed place of an item: hash, item_id, place; and the item's word hashes."""
+    """Per place of an item's seeds: hash, item_id, place and the seed's number."""
 
     def run(frames):
         for frame in frames:
             hashes, begins = word_hashes(frame["text"].tolist())
             sizes = np.diff(begins)
             ids = frame["item_id"].to_numpy()
-            for seed in range(len(SEEDS)):
+            for seed, (least, most, _) in enumerate(SEEDS):
                 found, at = seed_hashes(hashes, begins, seed)
                 owner = np.searchsorted(begins, at, side="right") - 1
-                use = (sizes[owner] >= _LONG) == (seed < len(SEEDS) - 1)
+                use = (sizes[owner] >= least) & (sizes[owner] <= (most or sizes[owner]))
                 owner, at = owner[use], at[use]
                 yield pd.DataFrame(
-                    {"hash": as_long(found[use]), "item_id": ids[owner], "place": at - begins[owner]}
+                    {"hash": as_long(found[use]), "item_id": ids[owner], "place": at - begins[owner], "seed": seed}
                 )
 
-    return benchmark.mapInPandas(run, "hash long, item_id long, place long")
+    return benchmark.mapInPandas(run, "hash long, item_id long, place long, seed int")
 
 
 def _item_words(benchmark: DataFrame) -> DataFrame:
@@ -87,8 +99,8 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     word, a stretch of at least 13 words (or of the whole item, if shorter) has 80 %
     equal words; candidates are places where a seed's words agree. All windows of
     whole texts are hashed; a filter of fixed size, made of all benchmark hashes,
-    leaves those worth joining. Items under five words, without text or without id
-    are not searched; rows of benchmark with the same id are all searched. A
+    leaves those worth joining. Items of one or two words count only where they are
+    all words of a document; items without text or without id are not searched; rows of benchmark with the same id are all searched. A
     missing text has no overlap, a missing doc_id stays missing; an empty table on
     either side gives no overlaps.
     """
@@ -98,17 +110,22 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     )
     seeds = stored(_benchmark_seeds(items).distinct(), "seeds")
     keep = Sent(spark, HashFilter.of(seeds, "hash", seeds.count()))
+    used = sorted(r.seed for r in seeds.select("seed").distinct().collect())
     columns = ["doc_id", "row", "hashes", "places", "words"]
 
     def search(frames):
         for frame in frames:
             hashes, begins = word_hashes(frame["text"].tolist())
             found = [([], []) for _ in range(len(frame))]
-            for seed in range(len(SEEDS)):
+            sizes = np.diff(begins)
+            for seed in used:
                 values, at = seed_hashes(hashes, begins, seed)
                 ok = keep.value.holds(values)
                 values, at = as_long(values[ok]), at[ok]
                 owner = np.searchsorted(begins, at, side="right") - 1
+                if SEEDS[seed][0] < FEWEST:
+                    whole = sizes[owner] == SEEDS[seed][0]
+                    values, at, owner = values[whole], at[whole], owner[whole]
                 for value, place, i in zip(values.tolist(), (at - begins[owner]).tolist(), owner):
                     found[i][0].append(value)
                     found[i][1].append(place)

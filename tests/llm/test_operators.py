@@ -1,6 +1,7 @@
 """Operators against brute force, on rows with missing values, copies and clashing names."""
 
 import hashlib
+import itertools
 import math
 import random
 import re
@@ -143,6 +144,30 @@ def test_overlaps(spark, none):
     assert decontamination.overlaps(spark.createDataFrame(data, SCHEMA), benchmark.limit(0)).filter("contaminated").count() == 0
 
 
+def test_seeds_hit_all_allowed_changes():
+    for n in range(1, 26):
+        offsets = [o for least, most, o in decontamination.SEEDS if least <= n <= (most or n)]
+        places = [{k + o for o in seed} for seed in offsets for k in range(n - seed[-1])]
+        for changed in itertools.combinations(range(n), n - math.ceil(n * 8 / 10)):
+            assert any(place.isdisjoint(changed) for place in places), (n, changed)
+
+
+def test_overlaps_of_short_items(spark):
+    items = {n: [f"i{n}x{k}" for k in range(n)] for n in range(1, 16)}
+    data, expected = [], {}
+    for n, words in items.items():
+        allowed = n - math.ceil(n * 8 / 10)
+        for more in (0, 1) if n <= 13 else (0,):
+            for changed in list(itertools.combinations(range(n), allowed + more))[:120]:
+                text = " ".join("other" if k in changed else w for k, w in enumerate(words))
+                whole = text if n < 3 else f"before it {text} and after"
+                expected[len(data)] = [] if more else [n]
+                data.append((len(data), whole))
+    benchmark = spark.createDataFrame([(n, " ".join(w)) for n, w in items.items()], "item_id long, text string")
+    found = decontamination.overlaps(spark.createDataFrame(data, "doc_id long, text string"), benchmark)
+    assert {r.doc_id: r.item_ids for r in found.collect()} == expected
+
+
 def luhn(digits):
     total = 0
     for i, c in enumerate(reversed(digits)):
