@@ -20,8 +20,15 @@ _CARD = r"(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?[0-9]){15,18}+(?![\x20-]?[0
 _PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 _OCTET = r"0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
 
-# Words that may be identifiers, and the characters before one in which its context lies.
-_WORD = r"(?<![^\x20\x09-\x0D])[^0-9@\x20\x09-\x0D]*+[0-9@][^\x20\x09-\x0D]*+"
+# What may be an identifier: groups of digits parted by single spaces, with brackets and
+# other signs between them, or else a word with a digit or @. Before it lies its context.
+_GROUP = r"[+(\[]*+[0-9][0-9()\[\]/.+-]*+(?=[,;:!?]*+(?:[\x20\x09-\x0D]|$))"
+_WORD = (
+    rf"(?<![^\x20\x09-\x0D])(?:{_GROUP}(?:\x20{_GROUP})*+"
+    r"|[^0-9@\x20\x09-\x0D]*+[0-9@][^\x20\x09-\x0D]*+)"
+)
+# Fewest characters of an identifier that the patterns do not know.
+_SHORTEST = 6
 _REACH = 80
 _CONTEXT = r"(?:^|[\x20\x09-\x0D])([^\x20\x09-\x0D]++[\x20\x09]++[^\x20\x09-\x0D]++)[\x20\x09]++$"
 
@@ -97,27 +104,40 @@ def base_spans(text: Column) -> Column:
 
 
 def _instances(found: DataFrame) -> DataFrame:
-    """Words that may be identifiers: row, place, the word, its context, and the kind
-    of the base span it begins or lies in."""
+    """What may be identifiers: row, place, value, its context, and the kind of a base span.
+
+    Base spans are whole instances; other words and groups of digits are instances
+    where they overlap none.
+    """
     words = F.when(
         F.col("text").rlike("[0-9@]"), matches(F.col("text"), _WORD)
     )
-    exploded = found.select("row", "base", "text", F.explode(words).alias("w"))
-    begin = F.col("w.begin")
-    value = F.regexp_replace(F.col("w.value"), r"[.,;:!?)\]]++$", "")
-    before = F.expr(f"substring(text, greatest(1, w.begin - {_REACH} + 1), least(w.begin, {_REACH}))")
-    inside = F.filter("base", lambda s: (s["begin"] <= begin) & (begin < s["end"]))
-    return exploded.select(
-        "row", begin.alias("begin"), (begin + F.length(value)).alias("end"),
-        F.lower(value).alias("value"),
+    begin = F.col("begin")
+    # A bracket at the end belongs to the value if one was opened in it.
+    signs = F.when(F.contains(F.col("w.value"), F.lit("(")), r"[.,;:!?\]]++$").otherwise(r"[.,;:!?)\]]++$")
+    value = F.regexp_replace(F.col("w.value"), signs, F.lit(""))
+    end = begin + F.length("value")
+    free = ~F.exists("base", lambda s: (s["begin"] < end) & (begin < s["end"]))
+    others = (
+        found.select("row", "base", "text", F.explode(words).alias("w"))
+        .select("row", "base", "text", F.col("w.begin").alias("begin"), value.alias("value"))
+        .filter((F.length("value") >= _SHORTEST) & free)
+        .select("row", "text", "begin", end.alias("end"), F.lit(None).cast("int").alias("kind"))
+    )
+    base = found.select("row", "text", F.explode("base").alias("s")).select(
+        "row", "text", "s.begin", "s.end", "s.kind"
+    )
+    before = F.expr(f"substring(text, greatest(1, begin - {_REACH} + 1), least(begin, {_REACH}))")
+    return base.unionByName(others).select(
+        "row", "begin", "end",
+        F.lower(F.expr("substring(text, begin + 1, end - begin)")).alias("value"),
         F.lower(F.regexp_replace(F.regexp_extract(before, _CONTEXT, 1), r"[\x20\x09]+", " ")).alias("context"),
-        F.get(inside, 0)["kind"].alias("kind"),
-        (F.get(inside, 0)["begin"] < begin).alias("within"),
-    ).filter("context <> '' AND NOT coalesce(within, false) AND length(value) >= 6").drop("within")
+        "kind",
+    ).filter("context <> ''")
 
 
 def _discovered(instances: DataFrame) -> DataFrame:
-    """Words that confident contexts give a kind: (row, kind, begin, end).
+    """Instances that confident contexts give a kind: (row, kind, begin, end).
 
     Contexts and values form a graph. A context's confidence in a kind is the mean
     score of its values, a value's score follows from its contexts; values the
@@ -180,7 +200,8 @@ def personal_data(docs: DataFrame) -> DataFrame:
     doc_id, n_email, n_ip, n_card, n_phone and base_sha256 describe what the fixed
     patterns find; spans holds these and what learned contexts add, as
     kind:begin:end by kind and place, in code points. Contexts are the two words
-    before an identifier. A missing or empty text has no spans; equal rows are
+    before an identifier; what else may be one is a word with a digit or @, or groups
+    of digits parted by spaces, of six characters or more. A missing or empty text has no spans; equal rows are
     handled alike; a missing doc_id stays missing; an empty table gives no rows.
     """
     found = docs.select(F.col("doc_id").cast("long"), whole_text().alias("text"))

@@ -203,6 +203,26 @@ def test_contexts_find_unseen_identifiers(spark):
     assert row.n_email == 0 and row.spans == "email:16:42"
 
 
+def test_spaced_phones_and_cards_are_seeds(spark):
+    def card(k):
+        digits = f"411111111111{k:03d}"
+        return next(digits + c for c in "0123456789" if luhn(digits + c))
+
+    def spaced(digits):
+        return " ".join(digits[i : i + 4] for i in range(0, len(digits), 4))
+
+    texts = [f"just call me: +1 ({700 + i}) 555-{3000 + i}. thanks" for i in range(30)]
+    texts += [f"paid by card {spaced(card(i))} on time" for i in range(30)]
+    unseen = {100: ("so call me: 030 123 4567, or", "phone:12:24"), 101: ("so call me: (743) 555-3824 now", "phone:12:26"),
+              102: ("gone by card 4111 1111 1111 112 on", "card:13:31"), 103: ("room 030 123 4567 is", "")}
+    data = [*enumerate(texts), *((i, t) for i, (t, _) in unseen.items())]
+    found = personal_data.personal_data(spark.createDataFrame(data, "doc_id long, text string"))
+    spans = {r.doc_id: r.spans for r in found.collect()}
+    assert all(spans[i].startswith("phone:14:") for i in range(30))
+    assert all(spans[i].startswith("card:13:32") for i in range(30, 60))
+    assert {i: spans[i] for i in unseen} == {i: s for i, (_, s) in unseen.items()}
+
+
 def pages(spark, data):
     return spark.createDataFrame(data, "page_id long, url string, html string, kind string, at long")
 
