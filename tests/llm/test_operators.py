@@ -334,6 +334,18 @@ def test_language_model(spark, docs, none):
     assert all(r.score < 0 for r in found) and language_model.score_texts(none).count() == 0
 
 
+def test_blocks_keep_their_names(docs, monkeypatch):
+    seen, scored = [], language_model._scored
+
+    def twice(dealt, *rest):
+        seen.extend(sorted(r.block for r in dealt.select("block").collect()) for _ in range(2))
+        return scored(dealt, *rest)
+
+    monkeypatch.setattr(language_model, "_scored", twice)
+    assert language_model.score_texts(docs).count() == len(rows())
+    assert seen[0] == seen[1] and seen[0]
+
+
 def test_seats_lie_between_one_and_all():
     rng = np.random.default_rng(4)
     customers = np.array([0.0, 1, 2, 50, 5000, 10**6])
