@@ -10,12 +10,15 @@ from cohortlake.llm import (
     html_template,
     jaccard_join,
     language_model,
+    line_dedup,
     mixing,
+    periodic_runs,
     personal_data,
     quality_rules,
     suffix_dedup,
     tokens,
     warc,
+    whitening,
 )
 from cohortlake.llm.common import read
 
@@ -90,3 +93,66 @@ def op9_token_index(spark, sf_dir):
 @_query
 def op10_suffix_sort(spark, sf_dir):
     return suffix_dedup.remove_repeats(read(spark, sf_dir, "documents"), length=400).drop("spans")
+
+
+@_query
+def op11_line_dedup(spark, sf_dir):
+    cleaned = line_dedup.drop_common_lines(read(spark, sf_dir, "documents"))
+    digest = F.sha2(F.encode("kept_text", "utf-8"), 256).alias("kept_sha256")
+    return cleaned.select("doc_id", "n_lines", "n_dropped", digest)
+
+
+# Lower-casing and stripping name their letters, as SQL's own take more of Unicode.
+ORACLE_SQL["op11_line_dedup"] = """
+WITH lines AS (
+    SELECT doc_id, coalesce(text, '') AS text,
+           unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+           unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS pos
+    FROM documents
+), keyed AS (
+    SELECT *, translate(trim(line, concat(' ', chr(9), chr(10), chr(11), chr(12), chr(13))),
+                        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+    FROM lines
+), common AS (
+    SELECT key, max(doc_id) AS last
+    FROM keyed WHERE length(key) >= 20
+    GROUP BY key HAVING count(DISTINCT doc_id) >= 3
+), marked AS (
+    SELECT k.*, c.key IS NOT NULL AND k.doc_id <> c.last AS dropped
+    FROM keyed k LEFT JOIN common c ON k.key = c.key
+)
+SELECT doc_id, count(*) AS n_lines, CAST(count_if(dropped) AS BIGINT) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT dropped), ''))
+           AS kept_sha256
+FROM marked GROUP BY doc_id
+"""
+
+
+@_query
+def op12_bit_sliced_whitening(spark, sf_dir):
+    white = whitening.whiten(read(spark, sf_dir, "embeddings"), components=8)
+    deviation = F.col("deviation").try_cast("long").alias("deviation")
+    return white.select(
+        "vec_id", "component", "n", deviation, "whitened", "explained", "identity_error"
+    )
+
+
+@_query
+def op13_periodic_runs(spark, sf_dir):
+    found = periodic_runs.collapse_runs(
+        read(spark, sf_dir, "documents"), least=24, times=3, change=periodic_runs.planted
+    )
+    lines = F.transform(
+        "runs", lambda r: F.concat(F.concat_ws(",", r.start, r.length, r.period), F.lit("\n"))
+    )
+    listed = F.array_join(lines, "")
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "strongest.start",
+        "strongest.length",
+        "strongest.period",
+        F.expr("1000 * strongest.length div strongest.period").alias("exponent_milli"),
+        F.sha2(F.encode(listed, "utf-8"), 256).alias("runs_sha256"),
+        F.sha2(F.encode("collapsed_text", "utf-8"), 256).alias("collapsed_sha256"),
+    )
