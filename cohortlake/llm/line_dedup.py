@@ -63,9 +63,9 @@ def drop_common_lines(docs: DataFrame, least_docs: int = 3, least_chars: int = 2
     others. A missing text is an empty one, which is one empty line. An empty table
     gives no rows. Columns of the input named like a result are replaced.
 
-    Only hashes and places of lines are shuffled to count and to look up keys; texts
-    move once, to meet the places of their own dropped lines, unless those are few
-    enough for Spark to send them to the texts.
+    Only hashes and places of lines are shuffled to count and to look up keys. Texts
+    move once, to meet the places of their own dropped lines: by a merge join at every
+    size, as these places grow with the documents.
     """
     lines = stored(lines_of(docs, least_chars), "lines")
     keys = stored(common_keys(lines, least_docs), "common")
@@ -81,7 +81,8 @@ def drop_common_lines(docs: DataFrame, least_docs: int = 3, least_chars: int = 2
         *own, F.col("doc_id").cast("long").alias("__id"), F.xxhash64(whole_text()).alias("__hash")
     )
     same = F.col("__id").eqNullSafe(F.col("__d_id")) & (F.col("__hash") == F.col("__d_hash"))
-    return _without_drops(texts.join(drops, same, "left")).select(*own, *RESULT)
+    met = texts.join(drops.hint("merge"), same, "left")
+    return _without_drops(met).select(*own, *RESULT)
 
 
 def _without_drops(met: DataFrame) -> DataFrame:
