@@ -14,9 +14,10 @@ from cohortlake.functions import as_ntz
 from cohortlake.operators import compare as C
 from cohortlake.operators import quality as Q
 from cohortlake.plans import warehouse
-from cohortlake.schemas import LAYERS, STAGED_PREFIX, TABLES
+from cohortlake.schemas import STAGED_PREFIX, TABLES
 from cohortlake.session import configure, stored_state
 from cohortlake.sources import csvfiles, layers, reporttext
+from cohortlake.sources.snapshots import Snapshots
 
 PREVIEW = ["payment_month", "paying_users", "revenue", "avg_check", "revenue_mom_pct"]
 
@@ -25,8 +26,9 @@ def build(spark: SparkSession, folder: str, root: str, as_of: str, replace: bool
     """Raw, staged and mart tables from CSV files; returns their sizes as text."""
     raw = csvfiles.read_csv_layer(spark, folder)
     configure(spark, stored_state(spark, folder)[0])
-    stored = warehouse.build(raw, as_of, root, replace)
-    counts = {(r.layer, r.table_name): r.row_count for r in layers.row_counts(stored).collect()}
+    warehouse.build(raw, as_of, root, replace)
+    sizes = warehouse.stored_counts(spark, Snapshots(spark, root).head())
+    counts = {(r.layer, r.table_name): r.row_count for r in sizes.collect()}
     lines = [f"{layer:<8} {table:<24} {n:>14,}" for (layer, table), n in sorted(counts.items())]
     for t in TABLES:
         kept = counts["staging", STAGED_PREFIX + t]
@@ -65,14 +67,10 @@ def compare(spark: SparkSession, root: str) -> str:
 
 def preview(spark: SparkSession, root: str) -> str:
     """Tables with their sizes, and the first months of the revenue mart."""
-    stored = {
-        (layer, t): df
-        for layer in LAYERS
-        for t, df in warehouse.read_layer(spark, root, layer).items()
-    }
-    sizes = sorted(layers.row_counts(stored).collect())
+    marts = warehouse.read_layer(spark, root, "marts")
+    sizes = sorted(warehouse.stored_counts(spark, Snapshots(spark, root).head()).collect())
     lines = [f"{r.layer:<8} {r.table_name:<24} {r.row_count:>14,}" for r in sizes]
-    head = layers.preview(stored["marts", "mart_revenue"], PREVIEW, "payment_month")
+    head = layers.preview(marts["mart_revenue"], PREVIEW, "payment_month")
     lines += ["", " | ".join(PREVIEW)]
     lines += [" | ".join(str(v) for v in row) for row in head.collect()]
     return "\n".join(lines)

@@ -55,7 +55,11 @@ def with_trend(periods: DataFrame, period: str, value: str, prev: str, change: s
 
 def mart_revenue(payments: DataFrame, courses: DataFrame, grain: str = "month") -> DataFrame:
     """Revenue per period with change and running total."""
-    periods = revenue_by_period(payments, courses, grain)
+    return revenue_trend(revenue_by_period(payments, courses, grain))
+
+
+def revenue_trend(periods: DataFrame) -> DataFrame:
+    """Change and running total over revenue periods."""
     trend = with_trend(
         periods, "payment_month", "revenue", "revenue_prev_month", "revenue_mom_pct"
     )
@@ -128,8 +132,8 @@ def mart_ad_performance(
     return results.orderBy("month", "channel")
 
 
-def mart_activity(enrollments: DataFrame) -> DataFrame:
-    """Retention by month since the first enrollment.
+def activity_pairs(enrollments: DataFrame) -> DataFrame:
+    """Users per month of their first enrollment and month of activity.
 
     Enrollments are reduced to one row per user and month first. A cohort is
     the smallest of these months, and users of a pair of months are plain rows.
@@ -141,9 +145,18 @@ def mart_activity(enrollments: DataFrame) -> DataFrame:
     )
     of_user = Window.partitionBy("user_id")
     cohorts = active.withColumn("cohort_month", F.min("activity_month").over(of_user))
-    pairs = cohorts.groupBy("cohort_month", "activity_month").agg(
+    return cohorts.groupBy("cohort_month", "activity_month").agg(
         F.count(F.lit(1)).alias("retained_users")
     )
+
+
+def mart_activity(enrollments: DataFrame) -> DataFrame:
+    """Retention by month since the first enrollment."""
+    return retention(activity_pairs(enrollments))
+
+
+def retention(pairs: DataFrame) -> DataFrame:
+    """Retention rates of the users of each pair of months."""
     number = month_number(F.col("cohort_month"), F.col("activity_month"))
     size = F.max(F.when(F.col("month_number") == 0, F.col("retained_users"))).over(
         Window.partitionBy("cohort_month")
@@ -164,14 +177,11 @@ def mart_activity(enrollments: DataFrame) -> DataFrame:
     )
 
 
-def completion_counts(enrollments: DataFrame, courses: DataFrame, keys: list[str]) -> DataFrame:
-    """Enrollment counts by status per course attributes.
-
-    Summed per course before the join, so a hot course is one row by then.
-    """
+def course_counts(enrollments: DataFrame) -> DataFrame:
+    """Enrollment counts by status, and the progress of active ones, per course."""
     status = F.col("status")
     progress = F.when(status == "active", F.col("progress_pct"))
-    per_course = enrollments.groupBy("course_id").agg(
+    return enrollments.groupBy("course_id").agg(
         F.count("enrollment_id").alias("total_enrollments"),
         F.count_if(status == "completed").alias("completed"),
         F.count_if(status == "active").alias("active"),
@@ -179,6 +189,17 @@ def completion_counts(enrollments: DataFrame, courses: DataFrame, keys: list[str
         F.sum(progress).alias("_progress"),
         F.count(progress).alias("_with_progress"),
     )
+
+
+def completion_counts(enrollments: DataFrame, courses: DataFrame, keys: list[str]) -> DataFrame:
+    """Enrollment counts by status per course attributes.
+
+    Summed per course before the join, so a hot course is one row by then.
+    """
+    return _by_attributes(course_counts(enrollments), courses, keys)
+
+
+def _by_attributes(per_course: DataFrame, courses: DataFrame, keys: list[str]) -> DataFrame:
     counts = ["total_enrollments", "completed", "active", "dropped"]
     return (
         per_course.join(courses.select("course_id", *keys), "course_id")
@@ -189,10 +210,15 @@ def completion_counts(enrollments: DataFrame, courses: DataFrame, keys: list[str
 
 def mart_completion(enrollments: DataFrame, courses: DataFrame) -> DataFrame:
     """Completion and dropout by subject, level and product type."""
+    return completion_rates(course_counts(enrollments), courses)
+
+
+def completion_rates(per_course: DataFrame, courses: DataFrame) -> DataFrame:
+    """Completion and dropout from the counts of each course."""
     keys = ["subject", "level", "course_type"]
     total = F.col("total_enrollments")
     return (
-        completion_counts(enrollments, courses, keys)
+        _by_attributes(per_course, courses, keys)
         .select(
             *keys,
             "total_enrollments",
@@ -207,14 +233,14 @@ def mart_completion(enrollments: DataFrame, courses: DataFrame) -> DataFrame:
     )
 
 
-def mart_conversion(
+def funnel_counts(
     users: DataFrame,
     enrollments: DataFrame,
     payments: DataFrame,
     attempts: DataFrame,
     grain: str = "month",
 ) -> DataFrame:
-    """Registration funnel per registration period.
+    """Users at each step of the funnel per registration period.
 
     Each fact is reduced to one row per user, so the four joins are between
     unique keys and one group-by counts every step.
@@ -238,7 +264,7 @@ def mart_conversion(
     def total(name):
         return F.sum(F.coalesce(F.col(name).cast("bigint"), F.lit(0)))
 
-    counts = steps.groupBy("cohort_month").agg(
+    return steps.groupBy("cohort_month").agg(
         F.count("user_id").alias("registered"),
         total("has_enrolled").alias("enrolled"),
         total("has_paid").alias("paid"),
@@ -247,6 +273,21 @@ def mart_conversion(
         total("gave_up").alias("payment_attempts_abandoned"),
     )
 
+
+def mart_conversion(
+    users: DataFrame,
+    enrollments: DataFrame,
+    payments: DataFrame,
+    attempts: DataFrame,
+    grain: str = "month",
+) -> DataFrame:
+    """Registration funnel per registration period."""
+    return conversion_rates(funnel_counts(users, enrollments, payments, attempts, grain))
+
+
+def conversion_rates(counts: DataFrame) -> DataFrame:
+    """Rates between the steps of the funnel."""
+
     def rate(part, whole, digits=1):
         return ratio(F.col(part), F.col(whole), digits, 100)
 

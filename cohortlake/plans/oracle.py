@@ -684,4 +684,12 @@ GROUP BY 1""", history=_HISTORY)
 SELECT {_month('o_orderdate')} AS month, CAST(o_orderdate AS DATE) AS day, count(*) AS orders,
        CAST(sum(CAST(floor(o_totalprice) AS BIGINT)) AS BIGINT) AS value_rub
 FROM orders GROUP BY 1, 2"""
+    sql["merged_course_history"] = sql["course_history"]
+    for name in _STAGED:
+        sql[f"incremental_{name}"] = sql[name]
+    for name in ("revenue", "ad_performance", "activity", "completion", "conversion"):
+        sql[f"incremental_{name}"] = sql[f"mart_{name}"]
+    sql["incremental_row_counts"] = _with("\nUNION ALL ".join(
+        f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {t}" for t in [*_RAW_NAMES, *_STAGED]
+    ))
     return sql

@@ -1,5 +1,6 @@
 """Named queries ``(spark, sf_dir) -> DataFrame`` over the source tables."""
 
+import datetime as dt
 from collections.abc import Callable, Mapping
 from functools import cached_property, reduce
 
@@ -9,33 +10,47 @@ from pyspark.sql import functions as F
 from cohortlake.functions import as_ntz, period_start
 from cohortlake.operators import compare, corrections, history, keys, quality, reconcile
 from cohortlake.plans import marts, reports
-from cohortlake.plans.warehouse import RawLayer, StagedLayer, build_marts
+from cohortlake.plans.maintenance import MaintainedWarehouse
+from cohortlake.plans.versions import MaintainedHistory
+from cohortlake.plans.warehouse import (
+    RawLayer, StagedLayer, built, stored_counts, stored_kept_and_excluded, table_name,
+)
 from cohortlake.schemas import STAGED_PREFIX, TABLES
 from cohortlake.session import configure, run_folder, stored_state
 from cohortlake.sources import bindings, csvfiles, layers, reporttext
 from cohortlake.sources.bindings import AS_OF
+from cohortlake.sources.snapshots import Manifest, Snapshots
 from cohortlake.streaming import incremental
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 SUMMARY_START, SUMMARY_END = "1998-01-01", "1999-01-01"
+# When the loads of the maintained warehouse are made.
+LOAD_TIMES = ["1996-07-01 00:00:00", "1998-03-01 00:00:00", AS_OF]
 
 
 class Source:
     """The tables of one folder, and the layers its queries share once written."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self._spark = spark
+        self._spark, self._root = spark, run_folder(spark, "warehouse")
         self.raw = bindings.RawTables(spark, sf_dir)
 
     @cached_property
     def raw_layer(self) -> RawLayer:
-        return RawLayer(self.raw, run_folder(self._spark, "raw"), replace=True)
+        return RawLayer(self.raw, self._root, replace=True)
 
     @cached_property
     def staged(self) -> StagedLayer:
-        return StagedLayer(self.raw, AS_OF, run_folder(self._spark, "staged"), replace=True)
+        return StagedLayer(self.raw, AS_OF, self._root, replace=True)
+
+    @cached_property
+    def published(self) -> tuple[Snapshots, Manifest]:
+        """Both layers and the marts as one published build."""
+        store = Snapshots(self._spark, self._root)
+        store.publish(built(store, store.head(), self.raw_layer, self.staged))
+        return store, store.head()
 
     @cached_property
     def raw_results(self) -> DataFrame:
@@ -45,6 +60,16 @@ class Source:
     def staged_results(self) -> DataFrame:
         return self._stored("staging", self.staged.all())
 
+    @cached_property
+    def maintained(self) -> MaintainedWarehouse:
+        """The warehouse after three loads of the raw tables, see ``_arrivals``."""
+        warehouse = MaintainedWarehouse(self._spark, run_folder(self._spark, "maintained"))
+        arrivals = {t: _arrivals(t, df) for t, df in self.raw_layer.all().items()}
+        for number, as_of in enumerate(LOAD_TIMES):
+            batch = {t: df.filter(F.col("_load") == number) for t, df in arrivals.items()}
+            warehouse.load(batch, as_of)
+        return warehouse
+
     def _stored(self, layer: str, tables: Mapping[str, DataFrame]) -> DataFrame:
         """Results of a quality run, kept as a table for the queries that read results."""
         path = run_folder(self._spark, f"quality-{layer}")
@@ -52,6 +77,32 @@ class Source:
         return reporttext.load_results(self._spark, path)
 
 
+def _arrivals(table: str, rows: DataFrame) -> DataFrame:
+    """Raw rows with the load they come with.
+
+    Facts come with the first load after them, some one load late. Users and courses
+    come by their number, so an e-mail's smallest account or the course of a payment
+    may come after the rows that depend on it.
+    """
+    last = len(LOAD_TIMES) - 1
+    moments = {
+        "enrollments": ("enrolled_at", F.col("enrollment_id") % 11 == 4),
+        "payments": ("paid_at", F.col("payment_id") % 13 == 5),
+        "payment_attempts": ("attempted_at", F.col("attempt_id") % 7 == 3),
+        "ad_costs": ("date", F.dayofmonth("date") == 30),
+    }
+    if table in moments:
+        moment, late = moments[table]
+        at = F.col(moment).cast("timestamp_ntz")
+        number = F.lit(last)
+        for k in reversed(range(last)):
+            number = F.when(at < as_ntz(LOAD_TIMES[k]), k).otherwise(number)
+        number = F.least(number + F.coalesce(late.cast("int"), F.lit(0)), F.lit(last))
+    else:
+        number = F.col("user_id" if table == "users" else "course_id") % len(LOAD_TIMES)
+    return rows.withColumn("_load", number)
+
+
 _sources: dict[tuple, Source] = {}
 
 
@@ -232,24 +283,22 @@ _on_raw("unknown_domain_values", _unknown_domain_values)
 
 @_query
 def layer_row_counts(spark, sf_dir):
-    layer = staged(spark, sf_dir)
-    tables = {("raw", t): df for t, df in layer.source.items()}
-    tables |= {("staging", STAGED_PREFIX + t): df for t, df in layer.all().items()}
-    tables |= {("marts", name): df for name, df in build_marts(layer).items()}
-    return layers.row_counts(tables)
+    """Rows of all tables of the build, from its manifest."""
+    _, manifest = source(spark, sf_dir).published
+    return stored_counts(spark, manifest)
 
 
 @_query
 def staging_kept_excluded(spark, sf_dir):
-    layer = staged(spark, sf_dir)
-    return layers.kept_and_excluded(layer.source, layer)
+    _, manifest = source(spark, sf_dir).published
+    return stored_kept_and_excluded(spark, manifest)
 
 
 @_query
 def preview_topk(spark, sf_dir):
-    layer = staged(spark, sf_dir)
+    store, manifest = source(spark, sf_dir).published
     columns = ["payment_month", "paying_users", "revenue", "avg_check", "revenue_mom_pct"]
-    mart = marts.mart_revenue(layer["payments"], layer["courses"])
+    mart = store.read(manifest, table_name("marts", "mart_revenue"))
     return layers.preview(mart, columns, "payment_month")
 
 
@@ -342,9 +391,24 @@ _on_staged(
 _on_staged("report_weekly_revenue", lambda s: reports.weekly_revenue(s["payments"], s["courses"]))
 _on_staged("report_new_payers", lambda s: reports.new_payers(s["payments"]))
 _on_staged("report_top_products", lambda s: reports.top_products(s["payments"], s["courses"]))
-_on_staged(
-    "report_last_six_months", lambda s: reports.last_months(s["payments"], s["courses"], AS_OF)
-)
+
+
+def _last_six_months(layer: StagedLayer) -> DataFrame:
+    """The report from the files of its months, and of the last month with revenue before."""
+    today = dt.date.fromisoformat(AS_OF[:10])
+    number = today.year * 12 + today.month - 1 - 6
+    first = dt.date(number // 12, number % 12 + 1, 1).isoformat()
+    months = layer.months("payments")
+    chosen = [m for m in months if first <= m < today.replace(day=1).isoformat()]
+    for month in reversed([m for m in months if m < first]):
+        chosen.append(month)
+        before = layer.of_months("payments", [month])
+        if not marts.revenue_by_period(before, layer["courses"]).isEmpty():
+            break
+    return reports.last_months(layer.of_months("payments", chosen), layer["courses"], AS_OF)
+
+
+_on_staged("report_last_six_months", _last_six_months)
 _on_staged(
     "report_revenue_structure", lambda s: reports.revenue_structure(s["payments"], s["courses"])
 )
@@ -379,12 +443,19 @@ _on_staged(
     "export_at_risk_students",
     lambda s: reports.at_risk_students(s["users"], s["enrollments"], s["courses"], AS_OF),
 )
-_on_staged(
-    "report_operations",
-    lambda s: reports.operations_counters(
-        s["users"], s["enrollments"], s["courses"], s["payments"], s["payment_attempts"], AS_OF
-    ),
-)
+
+
+def _operations(layer: StagedLayer) -> DataFrame:
+    """The counters; of payments and attempts only the files of their months are read."""
+    today = dt.date.fromisoformat(AS_OF[:10])
+    since = min(today.replace(day=1), today - dt.timedelta(days=6))
+    recent = [layer.within(t, since, today) for t in ("payments", "payment_attempts")]
+    return reports.operations_counters(
+        layer["users"], layer["enrollments"], layer["courses"], *recent, AS_OF
+    )
+
+
+_on_staged("report_operations", _operations)
 _on_staged("report_daily_payments", lambda s: reports.daily_payments(s["payments"]))
 
 
@@ -424,6 +495,19 @@ def course_history(spark, sf_dir):
     return _course_history(spark, sf_dir)
 
 
+@_query
+def merged_course_history(spark, sf_dir):
+    """The same history merged from four batches, the latest months first."""
+    source(spark, sf_dir)
+    merged = MaintainedHistory(
+        spark, run_folder(spark, "history"), "course_id", ["price_rub", "is_published"], "observed_at"
+    )
+    snapshots = bindings.course_snapshots(spark, sf_dir)
+    for rest in reversed(range(4)):
+        merged.merge(snapshots.filter(F.month("observed_at") % 4 == rest))
+    return merged.versions()
+
+
 @_query
 def payments_at_list_price(spark, sf_dir):
     """Payments with the course version valid when they were made."""
@@ -468,3 +552,25 @@ def incremental_daily_orders(spark, sf_dir):
     return spark.read.parquet(mart).select("month", "day", "orders", "value_rub")
 
 
+# The warehouse after three loads, each mart as the full build has it
+
+
+def _on_maintained(name: str, fn: Callable[[MaintainedWarehouse], DataFrame]) -> None:
+    QUERIES[name] = lambda spark, sf_dir: fn(source(spark, sf_dir).maintained)
+
+
+for _table in TABLES:
+    _on_maintained(
+        f"incremental_{STAGED_PREFIX}{_table}", lambda w, t=_table: w.read(STAGED_PREFIX + t)
+    )
+for _mart in ("revenue", "ad_performance", "activity", "completion", "conversion"):
+    _on_maintained(f"incremental_{_mart}", lambda w, m=f"mart_{_mart}": getattr(w, m)())
+
+
+@_query
+def incremental_row_counts(spark, sf_dir):
+    """Rows of the raw and staged tables, from the manifest of the last load alone."""
+    snapshots = source(spark, sf_dir).maintained.snapshots
+    counts = snapshots.row_counts(snapshots.head())
+    names = [*TABLES, *(STAGED_PREFIX + t for t in TABLES)]
+    return counts.filter(F.col("table_name").isin(names))

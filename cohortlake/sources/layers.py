@@ -1,4 +1,4 @@
-"""Layered Parquet tables below one root: ``<root>/<layer>/<table>``."""
+"""Parquet tables written and read back, counted and previewed."""
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -6,10 +6,6 @@ from pyspark.sql import functions as F
 from cohortlake.session import run_folder
 
 
-def table_path(root: str, layer: str, table: str) -> str:
-    return f"{root.rstrip('/')}/{layer}/{table}"
-
-
 def create_table(df: DataFrame, path: str) -> DataFrame:
     """Write a new table and read it back; fails where one exists."""
     df.write.mode("errorifexists").parquet(path)

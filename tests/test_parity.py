@@ -4,11 +4,14 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from cohortlake.plans.oracle import oracle_queries
+from cohortlake.plans.registry import QUERIES
 from cohortlake.sources.bindings import SOURCES
 from tests.conftest import SOURCE
 
 pytestmark = pytest.mark.skipif(SOURCE is None, reason="no source tables")
-NAMES = list(entry.queries())
+NAMES = list(QUERIES)
+SQL = oracle_queries()
 # How the two engines name their types.
 TYPES = {
     "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
@@ -63,9 +66,9 @@ def skewed(tmp_path_factory):
 
 
 def compare(name, spark, folder, database):
-    df = entry.queries()[name](spark, folder)
+    df = QUERIES[name](spark, folder)
     mine = [tuple(r) for r in df.collect()]
-    cursor = database.execute(entry.oracle_sql()[name])
+    cursor = database.execute(SQL[name])
     types = {c[0]: str(c[1]) for c in cursor.description}
     assert {n: TYPES[t] for n, t in df.dtypes} == types
     place = [list(types).index(c) for c in df.columns]
@@ -75,7 +78,8 @@ def compare(name, spark, folder, database):
 
 
 def test_every_query_has_sql():
-    assert set(entry.oracle_sql()) == set(NAMES)
+    assert set(SQL) == set(NAMES)
+    assert set(NAMES) <= set(entry.queries()) and set(NAMES) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", NAMES)

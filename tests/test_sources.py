@@ -1,13 +1,16 @@
+import datetime as dt
 import os
 from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 
 from cohortlake import schemas as S
-from cohortlake.plans import registry, warehouse
+from cohortlake.plans import marts, registry, warehouse
 from cohortlake.session import configure, run_folder, shared_root
 from cohortlake.sources import bindings, csvfiles, layers
+from cohortlake.sources.snapshots import Snapshots
 from tests.fixture import AS_OF, RAW_COUNTS
 
 
@@ -166,3 +169,49 @@ def test_second_build_replaces_the_first(spark, raw):
         warehouse.build(raw, AS_OF, root)
     tables = warehouse.build(raw, AS_OF, root, replace=True)
     assert tables["raw", "payments"].count() == raw["payments"].count()
+
+
+def test_a_build_that_dies_leaves_the_one_before(spark, raw, monkeypatch):
+    root = run_folder(spark, "dies")
+    warehouse.build(raw, AS_OF, root)
+    before = warehouse.read_layer(spark, root, "marts")["mart_revenue"].collect()
+    fewer = {**raw, "payments": raw["payments"].limit(1)}
+
+    def die(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(marts, "mart_conversion", die)
+        with pytest.raises(RuntimeError, match="lost"):
+            warehouse.build(fewer, AS_OF, root, replace=True)
+    assert warehouse.read_layer(spark, root, "marts")["mart_revenue"].collect() == before
+    assert warehouse.read_layer(spark, root, "raw")["payments"].count() == raw["payments"].count()
+    warehouse.build(fewer, AS_OF, root, replace=True)
+    assert warehouse.read_layer(spark, root, "raw")["payments"].count() == 1
+    old = Snapshots(spark, root)
+    first = old.read(old.at(1), "marts.mart_revenue")
+    assert first.collect() == before, "a reader of the old build goes on"
+
+
+def test_counts_of_a_build_come_from_its_manifest(spark, raw, staged):
+    root = run_folder(spark, "counted")
+    tables = warehouse.build(raw, AS_OF, root)
+    manifest = Snapshots(spark, root).head()
+    assert manifest.notes == {"as_of": AS_OF}
+    counts = warehouse.stored_counts(spark, manifest)
+    assert sorted(counts.collect()) == sorted(layers.row_counts(tables).collect())
+    kept = warehouse.stored_kept_and_excluded(spark, manifest)
+    assert sorted(kept.collect()) == sorted(layers.kept_and_excluded(raw, staged).collect())
+    assert counts.inputFiles() == kept.inputFiles() == []
+
+
+def test_facts_lie_by_month(spark, raw):
+    layer = warehouse.StagedLayer(raw, AS_OF, run_folder(spark, "months"))
+    months = layer.months("payments")
+    assert months == sorted({str(r.m) for r in layer["payments"].select(
+        F.trunc(F.col("paid_at").cast("date"), "month").alias("m")).collect()})
+    some = layer.within("payments", dt.date(2024, 2, 20), dt.date(2024, 3, 1))
+    expected = layer["payments"].filter("paid_at >= '2024-02-01' AND paid_at < '2024-04-01'")
+    assert sorted(some.collect()) == sorted(expected.collect())
+    assert all("=2024-02-01/" in f or "=2024-03-01/" in f for f in some.inputFiles())
+    assert layer.of_months("payments", []).count() == 0
