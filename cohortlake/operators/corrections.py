@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from cohortlake import schemas as S
 from cohortlake.functions import as_ntz, period_start
-from cohortlake.operators.keys import key_set
 
 
 def flag_users(users: DataFrame, as_of) -> DataFrame:
@@ -39,17 +38,14 @@ def flag_courses(courses: DataFrame) -> DataFrame:
 
 
 def flag_attempts(attempts: DataFrame, users: DataFrame) -> DataFrame:
-    """``is_guest``: the user is unknown.
+    """``is_guest``: the user is unknown. Attempts without a user are guests.
 
-    Guests and members are split by anti and semi joins, whose left sides can be
-    split under a hot user. Attempts without a user are guests.
+    Users are unique, so one left join marks the members; its left side can be split
+    under a hot user.
     """
-    members = users.select("user_id")
-    known = attempts.join(members, "user_id", "left_semi").select(*attempts.columns)
-    guests = attempts.join(members, "user_id", "left_anti").select(*attempts.columns)
-    return known.withColumn("is_guest", F.lit(0)).unionByName(
-        guests.withColumn("is_guest", F.lit(1))
-    )
+    members = users.select(F.col("user_id").alias("_member"))
+    marked = attempts.join(members, F.col("user_id") == F.col("_member"), "left")
+    return marked.select(*attempts.columns, F.col("_member").isNull().cast("int").alias("is_guest"))
 
 
 def flag_ad_costs(ad_costs: DataFrame) -> DataFrame:
@@ -60,7 +56,7 @@ def flag_ad_costs(ad_costs: DataFrame) -> DataFrame:
 
 def quarantine(raw: DataFrame, staged: DataFrame, row_id: str) -> DataFrame:
     """Raw rows staging left out."""
-    return raw.join(key_set(staged, [row_id], row_id), row_id, "left_anti").select(*raw.columns)
+    return raw.join(staged.select(row_id), row_id, "left_anti").select(*raw.columns)
 
 
 def split_refunds(payments: DataFrame) -> DataFrame:

@@ -125,6 +125,57 @@ _STAGED = {
 _NAMED = _TABLES | _STAGED
 
 
+def _broken(**rules: str) -> str:
+    """Names of the conditions that do not hold, in order."""
+    names = [f"CASE WHEN NOT coalesce({holds}, false) THEN '{n}' END" for n, holds in rules.items()]
+    return f"concat_ws(',', {', '.join(names)})"
+
+
+_USER_STAGED = "EXISTS (SELECT 1 FROM stg_users u WHERE u.user_id = t.user_id)"
+
+
+def _since_registered(moment: str) -> str:
+    return (
+        f"NOT {_USER_STAGED} OR {moment} >= "
+        "(SELECT max(registered_at) FROM stg_users u WHERE u.user_id = t.user_id)"
+    )
+
+
+# The broken staging rules of every raw row.
+_BROKEN = {
+    "users": _broken(
+        duplicate_email="user_id IN (SELECT min(user_id) FROM users GROUP BY email)",
+        registered_later=f"registered_at <= TIMESTAMP '{AS_OF}'",
+    ),
+    "courses": _broken(unpublished="is_published = 1"),
+    "enrollments": _broken(
+        user_not_staged=_USER_STAGED,
+        before_registration=_since_registered("enrolled_at"),
+        course_not_staged="EXISTS (SELECT 1 FROM stg_courses c WHERE c.course_id = t.course_id)",
+    ),
+    "payments": _broken(
+        amount_not_positive="amount_rub > 0",
+        user_not_staged=_USER_STAGED,
+        before_registration=_since_registered("paid_at"),
+        enrollment_not_staged="""EXISTS (SELECT 1 FROM stg_enrollments e
+            WHERE e.enrollment_id = t.enrollment_id)""",
+    ),
+    "payment_attempts": _broken(
+        user_not_staged=_USER_STAGED,
+        unknown_result="result IN ('success', 'failed', 'abandoned')",
+        success_without_payment="""coalesce(result, '') <> 'success' OR EXISTS (
+            SELECT 1 FROM stg_payments p
+            WHERE p.user_id = t.user_id AND p.course_id = t.course_id)""",
+    ),
+    "ad_costs": _broken(
+        spend_lost="NOT (spend_rub = 0 AND impressions > 0)",
+        dated_later=f"date <= DATE '{AS_OF[:10]}'",
+        channel_not_paid="channel IN ('vk_ads', 'yandex_direct', 'telegram')",
+    ),
+}
+_JUDGED = {f"judged_{t}": f"SELECT t.*, {b} AS broken_rules FROM {t} t" for t, b in _BROKEN.items()}
+
+
 def _with(select: str, **more: str) -> str:
     """The statement after the table definitions and further named queries."""
     parts = [f"{name} AS ({body})" for name, body in (_NAMED | more).items()]
@@ -692,4 +743,70 @@ FROM orders GROUP BY 1, 2"""
     sql["incremental_row_counts"] = _with("\nUNION ALL ".join(
         f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {t}" for t in [*_RAW_NAMES, *_STAGED]
     ))
+    for t in _RAW_NAMES:
+        sql[f"quarantine_{t}"] = _with(f"SELECT * FROM judged_{t} WHERE broken_rules <> ''", **_JUDGED)
+    sql["staging_reasons"] = _with("\nUNION ALL ".join(
+        f"SELECT '{t}' AS table_name, broken_rules, count(*) AS row_count FROM judged_{t} GROUP BY ALL"
+        for t in _RAW_NAMES
+    ), **_JUDGED)
+    sql["staging_rule_counts"] = _with("\nUNION ALL ".join(
+        f"""SELECT '{t}' AS table_name, rule, count(*) AS rows,
+       CAST(count(*) FILTER (broken_rules = rule) AS BIGINT) AS rows_alone
+FROM (SELECT broken_rules, unnest(string_split(broken_rules, ',')) AS rule
+      FROM judged_{t} WHERE broken_rules <> '') GROUP BY rule"""
+        for t in _RAW_NAMES
+    ), **_JUDGED)
+    sql["active_users_rollup"] = sql["report_active_users"]
+    sql["unconfirmed_attempts_stream"] = sql["unconfirmed_attempts"]
+    of_one_row = ", ".join(f"'A{k}'" for k in (2, 3, 4, 5, 7, 8, 10, 11, 17, 18, 19, 20))
+    sql["dq_stream_totals"] = _with(
+        f"SELECT * FROM before_run WHERE code IN ({of_one_row})", **_RAW_RUN
+    )
+    for name in ("export_active_students", "export_at_risk_students"):
+        sql[f"{name}_csv"] = sql[name]
+    sql["dq_stored_compare"] = sql["dq_compare"]
+    kept = {f"kept_{t}": f"SELECT * FROM {t}" for t in _RAW_NAMES}
+    kept["kept_payments"] += " WHERE status <> 'refunded'"
+    sql["dq_secondary_growth_without_refunds"] = _with(
+        "SELECT * FROM paired WHERE code = 'A16' AND after_n > before_n",
+        **kept, **{**_PAIRED, "after_run": _check_counts("kept_")},
+    )
+    sql["dq_extra_rules_on_active"] = _with(
+        _RULE_COUNTS,
+        users=f"SELECT * FROM ({_TABLES['users']}) u WHERE is_active = 1",
+        courses=f"SELECT * FROM ({_TABLES['courses']}) c WHERE is_published = 1",
+    )
+    rate = _pct("completed", "total_enrollments")
+    sql["report_course_completion"] = _with(f"""
+SELECT c.course_id, c.title, c.subject, c.level, c.total_enrollments, c.completed, c.dropped,
+       {rate} AS completion_rate_pct, {_pct('dropped', 'total_enrollments')} AS dropout_rate_pct,
+       subject_rate_pct, round({rate} - subject_rate_pct, 1) AS above_subject_pct
+FROM per_course c
+JOIN (SELECT subject, {_pct('sum(completed)', 'sum(total_enrollments)')} AS subject_rate_pct
+      FROM per_course GROUP BY subject) s ON s.subject IS NOT DISTINCT FROM c.subject""",
+        per_course=f"""
+  SELECT course_id, title, subject, level, count(*) AS total_enrollments,
+         {completed} AS completed, {dropped} AS dropped
+  FROM stg_enrollments JOIN stg_courses USING (course_id) GROUP BY ALL""",
+    )
+    sql["report_refund_rate"] = _with(f"""
+SELECT *, {_pct('refunds', 'payments')} AS refund_rate_pct,
+       {_pct('refunded_rub', 'paid_rub')} AS refunded_share_pct
+FROM (SELECT {_month('paid_at')} AS period,
+             count(*) FILTER (amount_rub > 0) AS payments, count(*) FILTER (amount_rub < 0) AS refunds,
+             {_int('coalesce(sum(amount_rub) FILTER (amount_rub > 0), 0)')} AS paid_rub,
+             {_int('coalesce(-sum(amount_rub) FILTER (amount_rub < 0), 0)')} AS refunded_rub
+      FROM payments WHERE amount_rub < 0 OR (amount_rub > 0 AND status = 'success') GROUP BY 1)""")
+    tried = {
+        f"{who}_{what}": f"count(*) FILTER ({who == 'guest'} = guest AND {which})"
+        for who in ("member", "guest")
+        for what, which in (("attempts", "true"), ("abandoned", "result = 'abandoned'"))
+    }
+    sql["report_payment_dropoff"] = _with(f"""
+SELECT *, {_pct('member_abandoned', 'member_attempts')} AS member_dropoff_pct,
+       {_pct('guest_abandoned', 'guest_attempts')} AS guest_dropoff_pct,
+       {_pct('member_abandoned + guest_abandoned', 'member_attempts + guest_attempts')} AS dropoff_pct
+FROM (SELECT {_month('attempted_at')} AS period, {', '.join(f'{x} AS {n}' for n, x in tried.items())}
+      FROM (SELECT *, NOT EXISTS (SELECT 1 FROM users u WHERE u.user_id = a.user_id) AS guest
+            FROM payment_attempts a) GROUP BY 1)""")
     return sql

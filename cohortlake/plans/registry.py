@@ -8,19 +8,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortlake.functions import as_ntz, period_start
-from cohortlake.operators import compare, corrections, history, keys, quality, reconcile
+from cohortlake.operators import (
+    compare, corrections, distinct, history, keys, quality, reasons, reconcile,
+)
 from cohortlake.plans import marts, reports
 from cohortlake.plans.maintenance import MaintainedWarehouse
 from cohortlake.plans.versions import MaintainedHistory
 from cohortlake.plans.warehouse import (
     RawLayer, StagedLayer, built, stored_counts, stored_kept_and_excluded, table_name,
 )
-from cohortlake.schemas import STAGED_PREFIX, TABLES
+from cohortlake.schemas import SCHEMAS, STAGED_PREFIX, TABLES
 from cohortlake.session import configure, run_folder, stored_state
 from cohortlake.sources import bindings, csvfiles, layers, reporttext
 from cohortlake.sources.bindings import AS_OF
 from cohortlake.sources.snapshots import Manifest, Snapshots
-from cohortlake.streaming import incremental
+from cohortlake.streaming import checks, incremental
+from cohortlake.streaming.reconcile import unconfirmed_to_end
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -52,6 +55,15 @@ class Source:
         store.publish(built(store, store.head(), self.raw_layer, self.staged))
         return store, store.head()
 
+    @cached_property
+    def last_activity(self) -> DataFrame:
+        return reports.last_activity(self.staged["users"], self.staged["enrollments"])
+
+    @cached_property
+    def judged(self) -> dict[str, DataFrame]:
+        """Raw rows with the staging rules they break."""
+        return reasons.judge_all(self.raw_layer, self.staged, AS_OF)
+
     @cached_property
     def raw_results(self) -> DataFrame:
         return self._stored("raw", self.raw_layer.all())
@@ -211,6 +223,23 @@ def dq_secondary_growth(spark, sf_dir):
     return compare.secondary_growth(*_results(spark, sf_dir))
 
 
+@_query
+def dq_stored_compare(spark, sf_dir):
+    """The comparison stored as a table and read back."""
+    path = run_folder(spark, "compare")
+    reporttext.store_compare(compare.compare_runs(*_results(spark, sf_dir)), path)
+    return reporttext.load_compare(spark, path)
+
+
+@_query
+def dq_secondary_growth_without_refunds(spark, sf_dir):
+    """What leaving refunded payments out makes worse: successes that lose their payment."""
+    tables = dict(raw_layer(spark, sf_dir).all())
+    tables["payments"] = tables["payments"].filter(F.col("status") != "refunded")
+    after = quality.run_checks(tables, AS_OF)
+    return compare.secondary_growth(source(spark, sf_dir).raw_results, after)
+
+
 @_query
 def dq_run_history(spark, sf_dir):
     before, after = _results(spark, sf_dir)
@@ -260,7 +289,30 @@ def dq_stored_results(spark, sf_dir):
     return _counts(source(spark, sf_dir).raw_results)
 
 
+@_query
+def dq_stream_totals(spark, sf_dir):
+    """The checks that need one row at a time, counted while each table streams in."""
+    tables, work = raw_layer(spark, sf_dir), run_folder(spark, "checked")
+    for table in TABLES:
+        for folder in tables.folders(table):
+            stream = incremental.file_stream(spark, SCHEMAS[table], folder)
+            checks.load_checked(
+                stream, table, AS_OF, f"{work}/{table}", f"{work}/counts", f"{work}/progress/{table}"
+            )
+    return checks.totals(checks.read_counts(spark, f"{work}/counts"))
+
+
 _on_raw_layer("dq_extra_rules", lambda r: _counts(quality.run_extra_rules(r)))
+
+
+def _rules_against_active(layer: RawLayer) -> DataFrame:
+    """The extra rules where only active users and published courses count as known."""
+    users = layer["users"].filter(F.col("is_active") == 1)
+    courses = layer["courses"].filter(F.col("is_published") == 1)
+    return _counts(quality.run_extra_rules({**layer, "users": users, "courses": courses}))
+
+
+_on_raw_layer("dq_extra_rules_on_active", _rules_against_active)
 _on_raw(
     "dq_seasonal_correlation",
     lambda r: quality.seasonal_correlation(r["users"], r["ad_costs"]),
@@ -384,6 +436,30 @@ _on_staged(
     "report_registrations_by_channel", lambda s: reports.registrations_by_channel(s["users"])
 )
 _on_staged("report_active_users", lambda s: reports.active_users(s["enrollments"]))
+
+
+@_query
+def active_users_rollup(spark, sf_dir):
+    """Active users from bitmaps: two loads merged by day, days rolled up to weeks and months."""
+    enrollments = staged(spark, sf_dir)["enrollments"]
+    loads = [
+        layers.materialize(
+            distinct.daily_members(enrollments.filter(part), "user_id", "enrolled_at"), "members"
+        )
+        for part in (F.col("enrollment_id") % 3 == 0, F.col("enrollment_id") % 3 != 0)
+    ]
+    days = layers.materialize(distinct.merged(*loads), "members")
+    grains = {"day": days, "week": distinct.rolled_up(days, "week")}
+    grains["month"] = distinct.rolled_up(days, "month")
+    parts = [
+        distinct.counted(members, "active_users").select(
+            F.lit(grain).alias("grain"), "period", "active_users"
+        )
+        for grain, members in grains.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 _on_staged("report_top_subjects", lambda s: reports.top_subjects(s["payments"], s["courses"]))
 _on_staged(
     "report_revenue_ytd", lambda s: reports.revenue_year_to_date(s["payments"], s["courses"])
@@ -435,27 +511,57 @@ _on_staged("report_dropout_histogram", lambda s: reports.dropout_histogram(s["en
 _on_staged(
     "report_low_completion", lambda s: reports.low_completion(s["enrollments"], s["courses"])
 )
-_on_staged(
-    "export_active_students",
-    lambda s: reports.active_students(s["users"], s["enrollments"], s["courses"], AS_OF),
-)
-_on_staged(
-    "export_at_risk_students",
-    lambda s: reports.at_risk_students(s["users"], s["enrollments"], s["courses"], AS_OF),
-)
 
 
-def _operations(layer: StagedLayer) -> DataFrame:
+@_query
+def export_active_students(spark, sf_dir):
+    layer, last = staged(spark, sf_dir), source(spark, sf_dir).last_activity
+    return reports.active_students(
+        layer["users"], layer["enrollments"], layer["courses"], AS_OF, last
+    )
+
+
+@_query
+def export_at_risk_students(spark, sf_dir):
+    layer, last = staged(spark, sf_dir), source(spark, sf_dir).last_activity
+    return reports.at_risk_students(
+        layer["users"], layer["enrollments"], layer["courses"], AS_OF, last=last
+    )
+
+
+def _through_csv(name: str) -> None:
+    def exported(spark, sf_dir):
+        """An export written as CSV and read back."""
+        rows, path = QUERIES[name](spark, sf_dir), run_folder(spark, name)
+        csvfiles.write_csv(rows, path)
+        return csvfiles.read_export(spark, path, rows.schema)
+
+    QUERIES[f"{name}_csv"] = exported
+
+
+for _export in ("export_active_students", "export_at_risk_students"):
+    _through_csv(_export)
+
+
+@_query
+def report_operations(spark, sf_dir):
     """The counters; of payments and attempts only the files of their months are read."""
+    layer, last = staged(spark, sf_dir), source(spark, sf_dir).last_activity
     today = dt.date.fromisoformat(AS_OF[:10])
     since = min(today.replace(day=1), today - dt.timedelta(days=6))
     recent = [layer.within(t, since, today) for t in ("payments", "payment_attempts")]
     return reports.operations_counters(
-        layer["users"], layer["enrollments"], layer["courses"], *recent, AS_OF
+        layer["users"], layer["enrollments"], layer["courses"], *recent, AS_OF, last
     )
 
 
-_on_staged("report_operations", _operations)
+_on_staged(
+    "report_course_completion", lambda s: reports.course_completion(s["enrollments"], s["courses"])
+)
+_on_raw("report_refund_rate", lambda r: reports.refund_rate(r["payments"]))
+_on_raw(
+    "report_payment_dropoff", lambda r: reports.payment_dropoff(r["payment_attempts"], r["users"])
+)
 _on_staged("report_daily_payments", lambda s: reports.daily_payments(s["payments"]))
 
 
@@ -471,6 +577,23 @@ _on_staged(
     "quarantined_enrollments",
     lambda s: corrections.quarantine(s.source["enrollments"], s["enrollments"], "enrollment_id"),
 )
+for _table in TABLES:
+    QUERIES[f"quarantine_{_table}"] = lambda spark, sf_dir, t=_table: reasons.quarantined(
+        source(spark, sf_dir).judged[t]
+    )
+
+
+@_query
+def staging_reasons(spark, sf_dir):
+    """Rows per table and set of broken rules; the empty set is what staging keeps."""
+    return reasons.reason_counts(source(spark, sf_dir).judged)
+
+
+@_query
+def staging_rule_counts(spark, sf_dir):
+    return reasons.rule_counts(source(spark, sf_dir).judged)
+
+
 _on_raw("transactions", lambda r: corrections.split_refunds(r["payments"]))
 _on_raw("net_revenue", lambda r: corrections.net_revenue(r["payments"]))
 _on_raw(
@@ -482,6 +605,14 @@ _on_raw_layer(
 )
 
 
+@_query
+def unconfirmed_attempts_stream(spark, sf_dir):
+    """The same attempts found by a join of two streams with watermarks, run to their end."""
+    tables = raw_layer(spark, sf_dir)
+    attempts, payments = (tables.folders(t)[0] for t in ("payment_attempts", "payments"))
+    return unconfirmed_to_end(spark, attempts, payments, run_folder(spark, "unconfirmed"))
+
+
 def _course_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     source(spark, sf_dir)
     snapshots = bindings.course_snapshots(spark, sf_dir)

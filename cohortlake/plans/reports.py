@@ -7,9 +7,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortlake.functions import as_ntz, half_up, period_start, ratio
+from cohortlake.operators.corrections import split_refunds
 from cohortlake.plans.marts import (
     ad_performance,
     completion_counts,
+    course_counts,
     mart_ad_performance,
     mart_revenue,
     successful,
@@ -239,25 +241,118 @@ def low_completion(enrollments: DataFrame, courses: DataFrame, z_score: float =
     )
 
 
+def course_completion(enrollments: DataFrame, courses: DataFrame) -> DataFrame:
+    """Completion and dropout of each course with enrollments, beside its subject's completion."""
+    total = F.col("total_enrollments")
+    per_course = course_counts(enrollments).join(
+        courses.select("course_id", "title", "subject", "level"), "course_id"
+    )
+    subjects = (
+        per_course.groupBy("subject")
+        .agg(F.sum("completed").alias("_completed"), F.sum("total_enrollments").alias("_total"))
+        .withColumnRenamed("subject", "_subject")
+    )
+    rate = ratio(F.col("completed"), total, 1, 100)
+    of_subject = ratio(F.col("_completed"), F.col("_total"), 1, 100)
+    met = per_course.join(subjects, F.col("subject").eqNullSafe(F.col("_subject")))
+    return met.select(
+        "course_id",
+        "title",
+        "subject",
+        "level",
+        "total_enrollments",
+        "completed",
+        "dropped",
+        rate.alias("completion_rate_pct"),
+        ratio(F.col("dropped"), total, 1, 100).alias("dropout_rate_pct"),
+        of_subject.alias("subject_rate_pct"),
+        half_up(rate - of_subject, 1).alias("above_subject_pct"),
+    )
+
+
+def refund_rate(payments: DataFrame, grain: str = "month") -> DataFrame:
+    """Payments and refunds per period, and refunds in percent of payments by number and sum.
+
+    Of raw payments: staging leaves refunds out.
+    """
+    amount, refund = F.col("amount_rub"), F.col("transaction_type") == "refund"
+    sums = split_refunds(payments).groupBy(period_start("paid_at", grain).alias("period")).agg(
+        F.count_if(~refund).alias("payments"),
+        F.count_if(refund).alias("refunds"),
+        F.coalesce(F.sum(F.when(~refund, amount)), F.lit(0)).alias("paid_rub"),
+        F.coalesce(F.sum(F.when(refund, amount)), F.lit(0)).alias("refunded_rub"),
+    )
+    return sums.withColumns(
+        {
+            "refund_rate_pct": ratio(F.col("refunds"), F.col("payments"), 1, 100),
+            "refunded_share_pct": ratio(F.col("refunded_rub"), F.col("paid_rub"), 1, 100),
+        }
+    )
+
+
+def payment_dropoff(attempts: DataFrame, users: DataFrame, grain: str = "month") -> DataFrame:
+    """Attempts and abandoned ones per period, of members and of guests apart, and of all.
+
+    Attempts are counted per user and period before they meet the users, so a hot
+    user, or the attempts without one, are a row per period.
+    """
+    per_user = attempts.groupBy(
+        "user_id", period_start("attempted_at", grain).alias("period")
+    ).agg(
+        F.count(F.lit(1)).alias("tries"),
+        F.count_if(F.col("result") == "abandoned").alias("gave_up"),
+    )
+    members = users.select(F.col("user_id").alias("_member"))
+    marked = per_user.join(members, F.col("user_id") == F.col("_member"), "left")
+    guest = F.col("_member").isNull()
+
+    def total(name, condition):
+        return F.coalesce(F.sum(F.when(condition, F.col(name))), F.lit(0))
+
+    sums = marked.groupBy("period").agg(
+        total("tries", ~guest).alias("member_attempts"),
+        total("gave_up", ~guest).alias("member_abandoned"),
+        total("tries", guest).alias("guest_attempts"),
+        total("gave_up", guest).alias("guest_abandoned"),
+    )
+
+    def rate(*kinds):
+        tries, gave_up = (
+            sum((F.col(f"{k}_{what}") for k in kinds), F.lit(0)) for what in ("attempts", "abandoned")
+        )
+        return ratio(gave_up, tries, 1, 100)
+
+    return sums.withColumns(
+        {
+            "member_dropoff_pct": rate("member"),
+            "guest_dropoff_pct": rate("guest"),
+            "dropoff_pct": rate("member", "guest"),
+        }
+    )
+
+
 # Curators
 
 
-def _last_activity(users: DataFrame, enrollments: DataFrame) -> DataFrame:
+def last_activity(users: DataFrame, enrollments: DataFrame) -> DataFrame:
     """E-mail and last enrollment of every user with one, written once.
 
     Reading it back makes the join with the enrollments shuffle both sides, so
-    adaptive execution can split the enrollments of a hot user.
+    adaptive execution can split the enrollments of a hot user. Reports on the same
+    layer can share it.
     """
     last = enrollments.groupBy("user_id").agg(F.max("enrolled_at").alias("last_activity"))
     return materialize(users.select("user_id", "email").join(last, "user_id"), "last-activity")
 
 
 def _active_with_idle(
-    users: DataFrame, enrollments: DataFrame, courses: DataFrame, as_of
+    users: DataFrame, enrollments: DataFrame, courses: DataFrame, as_of, last: DataFrame | None
 ) -> DataFrame:
     active = enrollments.filter(F.col("status") == "active")
+    if last is None:
+        last = last_activity(users, enrollments)
     return (
-        active.join(_last_activity(users, enrollments), "user_id")
+        active.join(last, "user_id")
         .join(courses.select("course_id", "title"), "course_id")
         .withColumn("days_idle", F.date_diff(_day(as_of), F.col("last_activity").cast("date")))
     )
@@ -270,10 +365,17 @@ _STUDENT = [
 
 
 def active_students(
-    users: DataFrame, enrollments: DataFrame, courses: DataFrame, as_of
+    users: DataFrame,
+    enrollments: DataFrame,
+    courses: DataFrame,
+    as_of,
+    last: DataFrame | None = None,
 ) -> DataFrame:
-    """Active enrollments with the student's last activity and idle days."""
-    return _active_with_idle(users, enrollments, courses, as_of).select(*_STUDENT)
+    """Active enrollments with the student's last activity and idle days.
+
+    ``last`` is the layer's ``last_activity``, if it is stored already.
+    """
+    return _active_with_idle(users, enrollments, courses, as_of, last).select(*_STUDENT)
 
 
 def _at_risk(active: DataFrame, as_of, idle_days: int, low_progress: int, old_days: int) -> DataFrame:
@@ -295,9 +397,10 @@ def at_risk_students(
     idle_days: int = 7,
     low_progress: int = 20,
     old_days: int = 30,
+    last: DataFrame | None = None,
 ) -> DataFrame:
     """Active enrollments idle for long, or old with little progress; longest idle first."""
-    active = active_students(users, enrollments, courses, as_of)
+    active = active_students(users, enrollments, courses, as_of, last)
     at_risk = _at_risk(active, as_of, idle_days, low_progress, old_days)
     return at_risk.orderBy(F.desc("days_idle"), "enrollment_id")
 
@@ -312,6 +415,7 @@ def operations_counters(
     payments: DataFrame,
     attempts: DataFrame,
     as_of,
+    last: DataFrame | None = None,
 ) -> DataFrame:
     """Counters of the day, week and month of ``as_of`` as ``metric, value`` rows.
 
@@ -347,7 +451,7 @@ def operations_counters(
             },
         )
 
-    active = active_students(users, enrollments, courses, as_of)
+    active = active_students(users, enrollments, courses, as_of, last)
     gave_up = F.count_if(F.col("result") == "abandoned")
     parts = [
         per_span(users, "registered_at", "registrations"),

@@ -59,6 +59,13 @@ class WrittenLayer(Mapping):
         """Rows of the tables written so far."""
         return {table: stored.rows() for table, stored in self.stored.items()}
 
+    def folders(self, table: str) -> list[str]:
+        """The folders of a table's files, for readers that watch files."""
+        self[table]
+        parts = self.stored[table].parts
+        found = [f"{self.root}/{f}" for p in sorted(parts) for f, _ in parts[p]]
+        return found or [f"{self.root}/{self._LAYER}/{self._PREFIX}{table}"]
+
     def name(self, table: str) -> str:
         """The table's name in a manifest."""
         return table_name(self._LAYER, self._PREFIX + table)

@@ -88,3 +88,9 @@ def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     df.write.mode(mode).option("header", True).option(
         "timestampNTZFormat", TIMESTAMP_FORMAT
     ).csv(path)
+
+
+def read_export(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """An exported file with the schema it was written from; an empty field is NULL."""
+    reader = spark.read.schema(schema).option("header", True).option("mode", "FAILFAST")
+    return reader.option("timestampNTZFormat", TIMESTAMP_FORMAT).csv(path)

@@ -12,6 +12,9 @@ from cohortlake.operators import quality as Q
 RUN_SCHEMA = (
     "run_at timestamp_ntz, code string, table_name string, severity string, n bigint, run_id string"
 )
+COMPARE_SCHEMA = (
+    "code string, before_n bigint, after_n bigint, delta bigint, change_pct double, status string"
+)
 
 
 def store_results(results: DataFrame, path: str) -> None:
@@ -23,6 +26,15 @@ def load_results(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(Q.RESULT_SCHEMA).json(path)
 
 
+def store_compare(changes: DataFrame, path: str) -> None:
+    """A comparison (see ``compare.compare_runs``) as a small file; running again replaces it."""
+    changes.coalesce(1).write.mode("overwrite").json(path)
+
+
+def load_compare(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(COMPARE_SCHEMA).json(path)
+
+
 def store_run(run: DataFrame, path: str) -> None:
     """Add a run (see ``compare.as_run``) to the stored history; a repeated run replaces itself."""
     (

@@ -1,8 +1,13 @@
 """Streaming form of the five-minute check on successful attempts."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cohortlake.functions import as_ntz
+from cohortlake.schemas import SCHEMAS
+from cohortlake.session import exists
+from cohortlake.streaming.incremental import file_stream
+
 
 def unconfirmed_stream(
     attempts: DataFrame, payments: DataFrame, within_seconds: int = 300, lateness: str = "10 minutes"
@@ -57,3 +62,57 @@ def unconfirmed_stream(
     )
     unmatched = joined.filter(F.col("seen_at").isNull()).select(*attempts.columns)
     return unmatched.withColumn("attempted_at", F.col("attempted_at").cast("timestamp_ntz"))
+
+
+# Fixed value: later than every row, so that the watermark passes all of them.
+_CLOSING = "9999-01-01 00:00:00"
+
+
+def unconfirmed_to_end(
+    spark: SparkSession,
+    attempts: str,
+    payments: str,
+    work: str,
+    within_seconds: int = 300,
+    lateness: str = "10 minutes",
+    **options,
+) -> DataFrame:
+    """The unconfirmed attempts of two folders of files, read as streams to their end.
+
+    A closing row after all others stands in each stream, so the watermark passes every
+    real row and each attempt is settled. Results and progress lie below ``work``: files
+    that come later are read by the next call, if the folder is the same, and then a
+    file may be late; all that one call finds new is one micro-batch unless ``options``
+    of the file source ask for smaller ones, in the order in which files were written.
+    Attempts without a time can not be passed and are not returned.
+    """
+    streams = {}
+    for table, folder, moment in (
+        ("payment_attempts", attempts, "attempted_at"),
+        ("payments", payments, "paid_at"),
+    ):
+        schema = SCHEMAS[table]
+        # With keys, as rows without one are left out before their time is seen.
+        closing = {"user_id": F.lit(0), "course_id": F.lit(0), "result": F.lit("success")}
+        closing[moment] = F.lit(_CLOSING)
+        row = [
+            closing.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in schema.fields
+        ]
+        path = f"{work}/closing_{table}"
+        if not exists(spark, path):
+            spark.range(1).select(*row).write.parquet(path)
+        files = [file_stream(spark, schema, f, **options) for f in (folder, path)]
+        streams[table] = files[0].unionByName(files[1])
+    found = unconfirmed_stream(
+        streams["payment_attempts"], streams["payments"], within_seconds, lateness
+    )
+    query = (
+        found.writeStream.format("parquet")
+        .option("path", f"{work}/unconfirmed")
+        .option("checkpointLocation", f"{work}/checkpoint")
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    rows = spark.read.schema(SCHEMAS["payment_attempts"]).parquet(f"{work}/unconfirmed")
+    return rows.filter(F.col("attempted_at") < as_ntz(_CLOSING))

@@ -2,6 +2,7 @@ import pytest
 
 from cohortlake.__main__ import main
 from cohortlake.sources.csvfiles import MissingInputs
+from cohortlake.sources import reporttext
 from tests.fixture import AS_OF
 
 
@@ -22,3 +23,17 @@ def test_whole_run(spark, csv_folder, tmp_path, capsys):
     assert "2024-01-01 | 2 | 5700 | 2850.0 | None" in out
     stored = spark.read.text(f"{root}/quality/compare_report").collect()
     assert any("| `A16` | 2 | 0 | -2 | -100% | secondary |" in r.value for r in stored)
+    rows = reporttext.load_compare(spark, f"{root}/quality/compare").collect()
+    assert ("A16", 2, 0, -2, -100.0, "secondary") in [tuple(r) for r in rows]
+    main(["export", "--warehouse", root, "--to", str(tmp_path / "lists"), "--as-of", AS_OF])
+    listed = spark.read.option("header", True).csv(str(tmp_path / "lists/active_students"))
+    assert listed.columns[:3] == ["user_id", "email", "enrollment_id"] and listed.count() > 0
+
+
+def test_load(spark, csv_folder, tmp_path, capsys):
+    root = str(tmp_path / "kept")
+    main(["load", "--input", csv_folder, "--warehouse", root, "--as-of", AS_OF])
+    out = capsys.readouterr().out
+    assert "load 1, as of" in out and any(
+        line.split() == ["stg_users", "6", "+6"] for line in out.splitlines()
+    )

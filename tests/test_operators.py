@@ -5,8 +5,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from cohortlake import schemas as S
-from cohortlake.operators import corrections, history, keys, reconcile
-from cohortlake.operators.staging import stage_users
+from cohortlake.functions import period_start
+from cohortlake.operators import corrections, distinct, history, keys, reasons, reconcile
+from cohortlake.operators.staging import stage_ad_costs, stage_users
 from cohortlake.session import run_folder
 from tests.fixture import AS_OF
 
@@ -221,3 +222,71 @@ def test_versions_within_a_day_and_a_hot_key(spark):
 def test_keep_first_without_order_value(spark):
     df = spark.createDataFrame([(1, None, "a"), (2, None, "b"), (2, 5, "c")], "k int, o int, v string")
     assert sorted(map(tuple, keys.keep_first(df, ["k"], "o").collect())) == [(1, None, "a"), (2, 5, "c")]
+
+
+def test_reasons_of_every_row(raw, staged):
+    judged = reasons.judge_all(raw, staged, AS_OF)
+    for table, df in judged.items():
+        assert df.count() == raw[table].count()
+        kept = sorted(map(repr, map(tuple, reasons.kept(df).collect())))
+        assert kept == sorted(map(repr, map(tuple, staged[table].collect())))
+
+    def broken(table, key):
+        rows = reasons.quarantined(judged[table]).collect()
+        return {r[key]: r.broken_rules for r in rows}
+
+    users = broken("users", "user_id")
+    assert users[5] == "duplicate_email" and users[10] == "duplicate_email"
+    assert users[7] == "registered_later" and users[8] == "duplicate_email"
+    enrollments = broken("enrollments", "enrollment_id")
+    assert enrollments[6] == "before_registration" and enrollments[8] == "course_not_staged"
+    assert enrollments[10] == "user_not_staged" and enrollments[11] == "user_not_staged"
+    counts = reasons.reason_counts(judged).collect()
+    for table, df in raw.items():
+        of_table = {r.broken_rules: r.row_count for r in counts if r.table_name == table}
+        assert sum(of_table.values()) == df.count()
+        assert of_table.get("", 0) == staged[table].count()
+    for r in reasons.rule_counts(judged).collect():
+        texts = broken(r.table_name, raw[r.table_name].columns[0]).values()
+        if r.table_name != "ad_costs":
+            assert r.rows == sum(r.rule in t.split(",") for t in texts)
+            assert r.rows_alone == sum(r.rule == t for t in texts)
+
+
+def test_missing_values_break_the_rule_they_are_needed_for(spark):
+    user = spark.createDataFrame(
+        [(1, "a", 1, "c", "organic", None, 1), (2, "b", 1, "c", "organic", dt.datetime(2024, 1, 1), 1)],
+        S.SCHEMAS["users"],
+    )
+    judged = reasons.judge_users(user, AS_OF)
+    assert {r.user_id: r.broken_rules for r in judged.collect()} == {1: ["registered_later"], 2: []}
+    staged_users = reasons.kept(judged)
+    courses = spark.createDataFrame(
+        [(1, "t", "s", "l", "k", 1, 1.0, None, 1)], S.SCHEMAS["courses"]
+    )
+    rows = [(1, 2, 1, None, "active", 1), (2, None, None, None, None, None)]
+    enrollments = spark.createDataFrame(rows, S.SCHEMAS["enrollments"])
+    found = reasons.judge_enrollments(enrollments, staged_users, courses).collect()
+    assert {r.enrollment_id: r.broken_rules for r in found} == {
+        1: ["before_registration"], 2: ["user_not_staged", "course_not_staged"],
+    }
+    ads = spark.createDataFrame([(None, "vk_ads", None, 1, 0)], S.SCHEMAS["ad_costs"])
+    assert reasons.judge_ad_costs(ads, AS_OF).first().broken_rules == ["spend_lost", "dated_later"]
+    assert stage_ad_costs(ads, AS_OF).count() == 0
+
+
+def test_members_as_bitmaps(spark):
+    rng = random.Random(6)
+    start = dt.datetime(2024, 1, 29)
+    ids = [-40_000, -1, 0, 1, 32_767, 32_768, 32_769, 10**9, None]
+    rows = [(rng.choice(ids), start + dt.timedelta(hours=rng.randrange(24 * 20))) for _ in range(150)]
+    facts = spark.createDataFrame(rows, "user_id long, at timestamp_ntz")
+    loads = [spark.createDataFrame(part, facts.schema) for part in (rows[:70], rows[70:])]
+    days = distinct.merged(*[distinct.daily_members(f, "user_id", "at") for f in loads])
+    for grain, df in {
+        "day": days, "week": distinct.rolled_up(days, "week"), "month": distinct.rolled_up(days, "month"),
+    }.items():
+        expected = facts.groupBy(period_start("at", grain).alias("period")).agg(
+            F.countDistinct("user_id").alias("n")
+        )
+        assert sorted(distinct.counted(df, "n").collect()) == sorted(expected.collect())

@@ -34,12 +34,19 @@ SKEWED = {
                  ELSE user_id END AS user_id""",
 }
 ON_SKEWED = [
-    n for n in NAMES if n.startswith(("stg_", "mart_", "flagged_", "export_", "dedupe_"))
+    n
+    for n in NAMES
+    if n.startswith(
+        ("stg_", "mart_", "flagged_", "export_", "dedupe_", "quarantine_", "incremental_")
+    )
 ] + [
     "dq_raw", "dq_staging", "dq_extra_rules", "existence_filter", "orphan_anti_join",
     "report_active_users", "report_operations", "unconfirmed_attempts", "course_history",
     "payments_at_list_price", "revenue_of_courses_on_sale", "net_revenue",
-    "quarantined_enrollments", "attempts_renumbered",
+    "quarantined_enrollments", "attempts_renumbered", "merged_course_history", "staging_reasons",
+    "active_users_rollup", "unconfirmed_attempts_stream", "dq_stream_totals",
+    "report_payment_dropoff", "report_refund_rate", "report_course_completion",
+    "report_last_six_months", "layer_row_counts", "staging_kept_excluded",
 ]
 
 

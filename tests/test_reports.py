@@ -143,3 +143,35 @@ def test_operations(staged):
     assert rows["payments_day"] == 1 and rows["payments_day_rub"] == 1000
     assert rows["dropoff_7d_pct"] == 50.0
     assert rows["registrations_month"] == 0
+
+
+def test_course_completion(staged):
+    rows = {r.course_id: r for r in reports.course_completion(staged["enrollments"], staged["courses"]).collect()}
+    counts = staged["enrollments"].groupBy("course_id").count().collect()
+    assert {c: r.total_enrollments for c, r in rows.items()} == {r.course_id: r["count"] for r in counts}
+    math = [r for r in rows.values() if r.subject == "Математика"]
+    total = sum(r.total_enrollments for r in math)
+    for r in math:
+        rate = round(100 * sum(m.completed for m in math) / total, 1)
+        assert r.subject_rate_pct == rate
+        assert r.above_subject_pct == round(r.completion_rate_pct - rate, 1)
+
+
+def test_refund_rate(spark, raw):
+    rows = reports.refund_rate(raw["payments"]).collect()
+    paid = [r for r in raw["payments"].collect()]
+    assert sum(r.refunds for r in rows) == sum(r.amount_rub < 0 for r in paid)
+    assert sum(r.refunded_rub for r in rows) == -sum(r.amount_rub for r in paid if r.amount_rub < 0)
+    for r in rows:
+        assert r.refund_rate_pct == (round(100 * r.refunds / r.payments, 1) if r.payments else None)
+
+
+def test_payment_dropoff_tells_guests_apart(raw):
+    rows = reports.payment_dropoff(raw["payment_attempts"], raw["users"]).collect()
+    users = {r.user_id for r in raw["users"].collect()}
+    attempts = raw["payment_attempts"].collect()
+    guests = [a for a in attempts if a.user_id not in users]
+    assert guests and sum(r.guest_attempts for r in rows) == len(guests)
+    assert sum(r.member_attempts for r in rows) == len(attempts) - len(guests)
+    gave_up = sum(a.result == "abandoned" for a in attempts)
+    assert sum(r.guest_abandoned + r.member_abandoned for r in rows) == gave_up

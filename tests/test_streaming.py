@@ -1,13 +1,16 @@
 import datetime as dt
+import random
 
 from pyspark.sql import functions as F
 
 from cohortlake import schemas as S
 from cohortlake.functions import period_start
+from cohortlake.operators.quality import run_checks
 from cohortlake.operators.reconcile import unconfirmed_attempts
 from cohortlake.session import run_folder
-from cohortlake.streaming import incremental
-from cohortlake.streaming.reconcile import unconfirmed_stream
+from cohortlake.streaming import checks, incremental
+from cohortlake.streaming.reconcile import unconfirmed_stream, unconfirmed_to_end
+from tests.fixture import AS_OF
 
 
 def test_incremental_load_and_refresh(spark, raw):
@@ -125,3 +128,70 @@ def test_undated_rows_and_tables_in_folders(spark, raw):
     incremental.load_new(stream, "paid_at", f"{base}/facts", f"{base}/checkpoint", after)
     counts = {r.month: r.n for r in spark.read.parquet(f"{base}/mart").collect()}
     assert sum(counts.values()) == raw["payments"].count() and counts[None] == 2
+
+
+def test_streams_run_to_their_end_and_go_on(spark, tmp_path):
+    rng = random.Random(4)
+    start = dt.datetime(2024, 1, 1)
+
+    def made(first, count, day):
+        attempts, payments = [], []
+        for i in range(first, first + count):
+            at = start + dt.timedelta(days=day, seconds=rng.randrange(7200))
+            pair = rng.randrange(3), rng.randrange(3)
+            attempts.append((i, *pair, at, rng.choice(["success", "success", "failed"]), None, "card"))
+            at = start + dt.timedelta(days=day, seconds=rng.randrange(7200))
+            payments.append((i, *pair, 1, at, 1, 1, 0, "success", "card"))
+        return {"payment_attempts": attempts, "payments": payments}
+
+    everything = {"payment_attempts": [], "payments": []}
+    for load in (made(0, 60, 0), made(60, 40, 2)):
+        for name, rows in load.items():
+            everything[name] += rows
+            frame = spark.createDataFrame(rows, S.SCHEMAS[name]).coalesce(2)
+            frame.write.mode("append").parquet(str(tmp_path / name))
+    found = unconfirmed_to_end(
+        spark, str(tmp_path / "payment_attempts"), str(tmp_path / "payments"), str(tmp_path / "work")
+    )
+    frames = [spark.createDataFrame(everything[n], S.SCHEMAS[n]) for n in everything]
+    expected = unconfirmed_attempts(*frames)
+    assert found.columns == expected.columns and expected.count() > 5
+    assert sorted(found.collect()) == sorted(expected.collect())
+
+
+def test_checks_of_a_stream(spark, raw, tmp_path):
+    counts = str(tmp_path / "counts")
+    assert {r.n for r in checks.totals(checks.read_counts(spark, counts)).collect()} == {0}
+    files = {}
+    for table, df in raw.items():
+        files[table] = str(tmp_path / table)
+        for part in range(3):
+            some = df.filter(F.pmod(F.hash(*df.columns), F.lit(3)) == part)
+            some.coalesce(1).write.mode("append").parquet(files[table])
+
+    def run():
+        for table, folder in files.items():
+            stream = incremental.file_stream(spark, S.SCHEMAS[table], folder, maxFilesPerTrigger=1)
+            checks.load_checked(
+                stream, table, AS_OF, str(tmp_path / f"to/{table}"), counts,
+                str(tmp_path / f"progress/{table}"),
+            )
+
+    run()
+    run()  # nothing new, nothing counted again
+    stored = checks.read_counts(spark, counts)
+    assert stored.filter("table_name = 'payments'").select("batch_id").distinct().count() == 3
+    found = {tuple(r) for r in checks.totals(stored).collect()}
+    every = run_checks(raw, AS_OF).select("code", "table_name", "severity", "n").collect()
+    assert len(found) == 12 and found <= {tuple(r) for r in every}
+    for table, df in raw.items():
+        assert spark.read.parquet(str(tmp_path / f"to/{table}")).count() == df.count()
+
+
+def test_crossings_name_the_batch(spark):
+    rows = [("payments", "A10", n, b) for b, n in enumerate([1, 0, 3, 5])]
+    rows += [("payments", "A11", 9, 0)]
+    counts = spark.createDataFrame(rows, "table_name string, code string, n long, batch_id long")
+    found = checks.crossings(counts, {"A10": 2, "A12": 0}).collect()
+    assert [tuple(r) for r in found] == [("A10", "payments", 2, 4)]
+    assert checks.crossings(counts, {"A10": 100, "A11": 8}).collect()[0].code == "A11"
