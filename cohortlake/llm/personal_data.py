@@ -37,14 +37,25 @@ ROUNDS = 3
 LEAST_SEEDS, CONFIDENT = 3, 0.9
 
 _SPAN = "array<struct<begin:int,end:int,value:string>>"
+# Matches of a text that are placed together.
+_TOGETHER = 512
+
+
+def _let(value: Column, body) -> Column:
+    """A column of a value that is computed once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), 0)
 
 
 def matches(text: Column, pattern: str) -> Column:
-    """Leftmost non-overlapping matches with their places in code points."""
+    """Leftmost non-overlapping matches with their places in code points.
+
+    Places add up the gaps and lengths before, some matches at a time, so that no
+    array grows by a match a step: a text of very many matches takes time in proportion.
+    """
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     gaps = F.slice(F.split(text, pattern, -1), 1, F.size(found))
     pairs = F.zip_with(gaps, found, lambda gap, value: F.struct(F.length(gap).alias("gap"), value.alias("value")))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(_SPAN).alias("spans"))
+    none = F.array().cast(_SPAN)
 
     def step(state, pair):
         begin = state["at"] + pair["gap"]
@@ -52,9 +63,31 @@ def matches(text: Column, pattern: str) -> Column:
         span = F.struct(begin.alias("begin"), end.alias("end"), pair["value"].alias("value"))
         return F.struct(end.alias("at"), F.concat(state["spans"], F.array(span)).alias("spans"))
 
-    return F.when(F.size(found) > 0, F.aggregate(pairs, start, step)["spans"]).otherwise(
-        F.array().cast(_SPAN)
-    )
+    def cut(pairs):
+        numbers = F.sequence(F.lit(0), F.floor((F.size(pairs) - 1) / _TOGETHER).cast("int"))
+        return F.transform(numbers, lambda k: F.slice(pairs, k * _TOGETHER + 1, F.lit(_TOGETHER)))
+
+    def starts(parts):
+        lengths = F.transform(
+            parts,
+            lambda part: F.aggregate(
+                part, F.lit(0), lambda n, pair: n + pair["gap"] + F.length(pair["value"])
+            ),
+        )
+        first = F.array(F.lit(0))
+        return F.aggregate(
+            lengths, first, lambda ends, n: F.concat(ends, F.array(F.element_at(ends, -1) + n))
+        )
+
+    def placed(parts, begins):
+        def place(part, k):
+            start = F.struct(F.get(begins, k).alias("at"), none.alias("spans"))
+            return F.aggregate(part, start, step)["spans"]
+
+        return F.flatten(F.transform(parts, place))
+
+    spans = _let(_let(pairs, cut), lambda parts: _let(starts(parts), lambda begins: placed(parts, begins)))
+    return F.when(F.size(found) > 0, spans).otherwise(none)
 
 
 def _digits(value: Column) -> Column:

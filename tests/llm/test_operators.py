@@ -5,6 +5,7 @@ import itertools
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -223,6 +224,18 @@ def test_spaced_phones_and_cards_are_seeds(spark):
     assert {i: spans[i] for i in unseen} == {i: s for i, (_, s) in unseen.items()}
 
 
+def test_places_of_very_many_matches(spark):
+    rng = random.Random(2)
+    texts = ["", "no", "7 " * 511, "7 " * 512, "é7 " * 513, " ".join(str(rng.randint(0, 10**6)) for _ in range(200_000))]
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    begun = time.monotonic()
+    found = frame.select("doc_id", personal_data.matches(F.col("text"), "[0-9]+").alias("m")).collect()
+    assert time.monotonic() - begun < 30
+    for row in found:
+        expected = [(m.start(), m.end(), m[0]) for m in re.finditer("[0-9]+", texts[row.doc_id])]
+        assert [tuple(m) for m in row.m] == expected
+
+
 def pages(spark, data):
     return spark.createDataFrame(data, "page_id long, url string, html string, kind string, at long")
 
