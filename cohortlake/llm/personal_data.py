@@ -30,11 +30,14 @@ _WORD = (
 # Fewest characters of an identifier that the patterns do not know.
 _SHORTEST = 6
 _REACH = 80
-_CONTEXT = r"(?:^|[\x20\x09-\x0D])([^\x20\x09-\x0D]++[\x20\x09]++[^\x20\x09-\x0D]++)[\x20\x09]++$"
+_TWO_WORDS = r"([^\x20\x09-\x0D]++[\x20\x09]++[^\x20\x09-\x0D]++)[\x20\x09]++$"
+_CONTEXT, _CONTEXT_CUT = r"(?:^|[\x20\x09-\x0D])" + _TWO_WORDS, r"[\x20\x09-\x0D]" + _TWO_WORDS
 
-ROUNDS = 3
-# Seeds that a context must have, and the share of a kind among its instances.
-LEAST_SEEDS, CONFIDENT = 3, 0.9
+# Rounds at most; each brings in contexts by the finds of the last.
+ROUNDS = 6
+# Known values of a kind that a context must have, and their share among its other
+# values from which it is heard; and the score from which a value is a find.
+LEAST_KNOWN, HEARD, CONFIDENT = 3, 0.5, 0.9
 
 _SPAN = "array<struct<begin:int,end:int,value:string>>"
 # Matches of a text that are placed together.
@@ -160,11 +163,14 @@ def _instances(found: DataFrame) -> DataFrame:
     base = found.select("row", "text", F.explode("base").alias("s")).select(
         "row", "text", "s.begin", "s.end", "s.kind"
     )
+    # Where the text before is cut, the cut may be inside a word, which then begins none.
     before = F.expr(f"substring(text, greatest(1, begin - {_REACH} + 1), least(begin, {_REACH}))")
+    whole = F.regexp_extract(before, _CONTEXT, 1)
+    context = F.when(begin <= _REACH, whole).otherwise(F.regexp_extract(before, _CONTEXT_CUT, 1))
     return base.unionByName(others).select(
         "row", "begin", "end",
         F.lower(F.expr("substring(text, begin + 1, end - begin)")).alias("value"),
-        F.lower(F.regexp_replace(F.regexp_extract(before, _CONTEXT, 1), r"[\x20\x09]+", " ")).alias("context"),
+        F.lower(F.regexp_replace(context, r"[\x20\x09]+", " ")).alias("context"),
         "kind",
     ).filter("context <> ''")
 
@@ -172,47 +178,51 @@ def _instances(found: DataFrame) -> DataFrame:
 def _discovered(instances: DataFrame) -> DataFrame:
     """Instances that confident contexts give a kind: (row, kind, begin, end).
 
-    Contexts and values form a graph. A context's confidence in a kind is the mean
-    score of its values, a value's score follows from its contexts; values the
-    patterns found have score 1 throughout. A context needs several seeds. Both
-    sides are grouped with partial sums over distinct edges.
+    Contexts and values form a graph. Known values are those the patterns found and the
+    finds of the rounds before. In each round a context with enough known values of a
+    kind gives that kind to its other values, with the share of such values among its
+    values but the one in question: what is not known counts against it, and no value
+    adds to the confidence it is scored by. A value's score follows from all its
+    contexts; a find counts in the next round, so it can bring in contexts that the
+    patterns alone do not reach. Both sides are grouped with partial sums over distinct
+    edges; rounds end early when they find nothing.
     """
     edges = stored(
         instances.groupBy("context", "value").agg(F.max("kind").alias("seed")), "edges"
     )
-    sizes = edges.groupBy("context").agg(
-        F.count("*").alias("size"), F.count("seed").alias("seeds")
-    )
-    useful = sizes.filter((F.col("seeds") >= LEAST_SEEDS) & (F.col("size") > F.col("seeds")))
-    edges = stored(edges.join(useful, "context"), "graph")
-    scores = (
-        edges.filter("seed IS NOT NULL").select("value", F.col("seed").alias("kind"))
-        .distinct().withColumn("score", F.lit(1.0))
-    )
-    known = scores.select("value").distinct()
+    sizes = edges.groupBy("context").agg(F.count("*").alias("size"))
+    edges = stored(edges.join(sizes.filter(F.col("size") > LEAST_KNOWN), "context"), "graph")
+    seeds = edges.filter("seed IS NOT NULL").groupBy("value").agg(F.max("seed").alias("kind"))
+    seeds = known = stored(seeds, "known")
+    finds = None
     for _ in range(ROUNDS):
-        confidence = (
-            edges.join(scores, "value")
+        useful = (
+            edges.join(known, "value")
             .groupBy("context", "kind")
-            .agg((F.sum("score") / F.first("size")).alias("confidence"))
+            .agg((F.count("*") / (F.first("size") - 1)).alias("confidence"), F.count("*").alias("n"))
+            .filter((F.col("n") >= LEAST_KNOWN) & (F.col("confidence") >= HEARD))
+            .select("context", "kind", "confidence")
         )
+        doubt = F.log(F.greatest(F.lit(1e-9), 1 - F.col("confidence")))
         fresh = (
-            edges.filter("seed IS NULL").select("context", "value")
+            edges.select("context", "value")
             .join(known, "value", "left_anti")
-            .join(confidence, "context")
+            .join(useful, "context")
             .groupBy("value", "kind")
-            .agg((1 - F.exp(F.sum(F.log(F.greatest(F.lit(1e-9), 1 - F.col("confidence")))))).alias("score"))
-        )
-        scores = stored(
-            scores.join(known, "value", "left_semi").unionByName(fresh), "scores"
+            .agg((1 - F.exp(F.sum(doubt))).alias("score"))
+            .groupBy("value")
+            .agg(F.max(F.struct("score", "kind")).alias("best"))
+            .filter(F.col("best.score") >= CONFIDENT)
+            .select("value", F.col("best.kind").alias("kind"))
         )
-    sure = (
-        scores.join(known, "value", "left_anti")
-        .groupBy("value").agg(F.max(F.struct("score", "kind")).alias("best"))
-        .filter(F.col("best.score") >= CONFIDENT)
-        .select("value", F.col("best.kind").alias("kind"))
-    )
-    return instances.filter("kind IS NULL").drop("kind").join(sure, "value").select(
+        fresh = stored(fresh, "finds")
+        if fresh.isEmpty():
+            break
+        finds = fresh if finds is None else finds.unionByName(fresh)
+        known = seeds.unionByName(finds)
+    if finds is None:
+        return instances.limit(0).select("row", "kind", "begin", "end")
+    return instances.filter("kind IS NULL").drop("kind").join(finds, "value").select(
         "row", "kind", "begin", "end"
     )
 
@@ -233,8 +243,9 @@ def personal_data(docs: DataFrame) -> DataFrame:
     doc_id, n_email, n_ip, n_card, n_phone and base_sha256 describe what the fixed
     patterns find; spans holds these and what learned contexts add, as
     kind:begin:end by kind and place, in code points. Contexts are the two words
-    before an identifier; what else may be one is a word with a digit or @, or groups
-    of digits parted by spaces, of six characters or more. A missing or empty text has no spans; equal rows are
+    before an identifier, if they take at most 80 characters with the spaces; what
+    else may be one is a word with a digit or @, or groups of digits parted by spaces,
+    of six characters or more. A missing or empty text has no spans; equal rows are
     handled alike; a missing doc_id stays missing; an empty table gives no rows.
     """
     found = docs.select(F.col("doc_id").cast("long"), whole_text().alias("text"))

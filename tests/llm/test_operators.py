@@ -224,6 +224,68 @@ def test_spaced_phones_and_cards_are_seeds(spark):
     assert {i: spans[i] for i in unseen} == {i: s for i, (_, s) in unseen.items()}
 
 
+def found_spans(spark, texts):
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return {r.doc_id: r.spans for r in personal_data.personal_data(frame).collect()}
+
+
+def test_values_do_not_vouch_for_themselves(spark):
+    texts = [f"write to me{i}@mail.example.com" for i in range(6)]
+    texts += [f"write to room{10044 + i}" for i in range(4)]
+    spans = found_spans(spark, texts)
+    assert all(spans[i] for i in range(6)) and not any(spans[i] for i in range(6, 10))
+
+
+def test_finds_bring_in_further_contexts(spark):
+    texts = [f"please call: +1 (555) 010-{1000 + i}" for i in range(40)]
+    first = [f"0{30 + i} 555 {4000 + i}" for i in range(4)]
+    texts += [f"please call: {v}" for v in first]
+    # No seed stands in this context, only finds and one more.
+    texts += [f"my number {v}" for v in first] + ["my number 077 555 9999"]
+    spans = found_spans(spark, texts)
+    assert all(spans[i] == "phone:13:25" for i in range(40, 44))
+    assert all(spans[i] == "phone:10:22" for i in range(44, 48))
+    assert spans[48] == "phone:10:22", "a find of the second round"
+
+
+def test_recall_of_planted_identifiers(spark):
+    rng = random.Random(11)
+    words = ["alpha", "beta", "gamma", "delta", "omega"]
+    before = {
+        "email": ["mail me at", "reply soon to", "copy sent to"],
+        "phone": ["ring us on", "her mobile is", "fax it to"],
+        "ip": ["host seen at", "logged in from", "traffic came via"],
+    }
+
+    def seed(kind):
+        if kind == "email":
+            return f"{rng.choice(words)}{rng.randint(0, 10**6)}@mail{rng.randint(1, 9)}.example.com"
+        if kind == "phone":
+            return f"+49 {rng.randint(100, 999)} {rng.randint(10**6, 10**7 - 1)}"
+        return ".".join(str(rng.randint(1, 250)) for _ in range(4))
+
+    def unseen(kind):
+        if kind == "email":
+            return f"{rng.choice(words)}{rng.randint(0, 10**6)}[at]mail.example.com"
+        if kind == "phone":
+            return f"0{rng.randint(100, 999)} {rng.randint(10**5, 10**6 - 1)}"
+        return "-".join(str(rng.randint(1, 250)) for _ in range(4))
+
+    texts, planted = [], {}
+    for kind, phrases in before.items():
+        for phrase in phrases:
+            texts += [f"{rng.choice(words)} {phrase} {seed(kind)} {rng.choice(words)}" for _ in range(60)]
+            for _ in range(4):
+                value, lead = unseen(kind), f"{rng.choice(words)} {phrase} "
+                planted[len(texts)] = f"{kind}:{len(lead)}:{len(lead) + len(value)}"
+                texts.append(f"{lead}{value} {rng.choice(words)}")
+    clean = range(len(texts), len(texts) + 200)
+    texts += [f"{rng.choice(words)} row {rng.choice(words)} {rng.randint(10**6, 10**7)} end" for _ in clean]
+    spans = found_spans(spark, texts)
+    caught = sum(spans[i] == span for i, span in planted.items())
+    assert caught >= 0.9 * len(planted) and not any(spans[i] for i in clean)
+
+
 def test_places_of_very_many_matches(spark):
     rng = random.Random(2)
     texts = ["", "no", "7 " * 511, "7 " * 512, "é7 " * 513, " ".join(str(rng.randint(0, 10**6)) for _ in range(200_000))]
