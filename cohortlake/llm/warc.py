@@ -32,8 +32,18 @@ def _number(value) -> str:
     return "" if value is None or pd.isna(value) else str(int(value))
 
 
-def record(kind: str, page_id, url, digest: str, size: int, payload: bytes, refers_to=None) -> bytes:
-    """One record, compressed on its own. A revisit keeps the HTTP header, without payload."""
+def record_id(archive: str, at: int) -> str:
+    """The id of the record that was first written at a place of an archive: no two share one."""
+    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{archive}/{at}')}>"
+
+
+def record(
+    kind: str, page_id, url, digest: str, size: int, payload: bytes, name: str, original=None
+) -> bytes:
+    """One record, compressed on its own. A revisit keeps the HTTP header, without payload.
+
+    ``name`` is its id; ``original`` the page_id, url and id of what a revisit repeats.
+    """
     http = (
         "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n"
         f"Content-Length: {size}\r\n\r\n"
@@ -42,7 +52,7 @@ def record(kind: str, page_id, url, digest: str, size: int, payload: bytes, refe
     lines = [
         "WARC/1.1",
         f"WARC-Type: {kind}",
-        f"WARC-Record-ID: <urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{_number(page_id)} {_clean(url)} {kind}')}>",
+        f"WARC-Record-ID: {name}",
         f"WARC-Date: {_DATE}",
         f"WARC-Target-URI: {_clean(url)}",
         f"WARC-Payload-Digest: sha256:{digest}",
@@ -51,7 +61,14 @@ def record(kind: str, page_id, url, digest: str, size: int, payload: bytes, refe
         f"Content-Length: {len(block)}",
     ]
     if kind == "revisit":
-        lines += [f"WARC-Profile: {_PROFILE}", f"X-Refers-To-Page-ID: {_number(refers_to)}"]
+        first_id, first_url, first_name = original
+        lines += [
+            f"WARC-Profile: {_PROFILE}",
+            f"WARC-Refers-To: {first_name}",
+            f"WARC-Refers-To-Target-URI: {_clean(first_url)}",
+            f"WARC-Refers-To-Date: {_DATE}",
+            f"X-Refers-To-Page-ID: {_number(first_id)}",
+        ]
     raw = "\r\n".join(lines).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
     packer = zlib.compressobj(_LEVEL, zlib.DEFLATED, 31)
     return packer.compress(raw) + packer.flush()
@@ -106,7 +123,8 @@ def write_archives(pages: DataFrame, folder: str) -> DataFrame:
                     for page_id, url, html in zip(frame["page_id"], frame["url"], frame["html"]):
                         payload = html.encode() if isinstance(html, str) else b""
                         digest = hashlib.sha256(payload).hexdigest()
-                        data = record("response", page_id, url, digest, len(payload), payload)
+                        own = record_id(name, at)
+                        data = record("response", page_id, url, digest, len(payload), payload, own)
                         out.write(data)
                         rows.append(
                             (name, at, _id(_number(page_id)), url, len(payload), digest)
@@ -138,7 +156,7 @@ def resolve(headers: DataFrame, least: int) -> DataFrame:
     partial sums first; payloads that occur once need no join, and a payload on
     very many pages is one row on the other side of a join Spark can split.
     """
-    place = F.struct(F.col("page_id").isNull(), "page_id", "archive", "at")
+    place = F.struct(F.col("page_id").isNull(), "page_id", "archive", "at", "url")
     first = (
         headers.filter(F.col("payload_bytes") >= least)
         .groupBy("payload_digest")
@@ -155,14 +173,19 @@ def resolve(headers: DataFrame, least: int) -> DataFrame:
         "archive", "at", "page_id", "payload_digest",
         F.when(revisit, F.lit("revisit")).otherwise(F.lit("response")).alias("kind"),
         F.when(revisit, F.col("first.page_id")).cast("string").alias("refers_to"),
+        F.when(revisit, F.col("first.url")).alias("first_url"),
+        F.when(revisit, F.col("first.archive")).alias("first_archive"),
+        F.when(revisit, F.col("first.at")).cast("string").alias("first_at"),
     )
 
 
-def rewrite(decided: DataFrame, source_folder: str, folder: str) -> DataFrame:
+
+def rewrite(decided: DataFrame, source_folder: str, folder: str, archives: int) -> DataFrame:
     """New archives with fresh headers, one for each old one; returns their names.
 
     The records' places arrive sorted within one archive; an archive is read and
-    written as a stream, so a task holds one record.
+    written as a stream, so a task holds one record. There are as many tasks as
+    archives: by the size of names and headers alone all would go to one.
     """
 
     def write(frames):
@@ -186,17 +209,21 @@ def rewrite(decided: DataFrame, source_folder: str, folder: str) -> DataFrame:
                 if at != row.at:
                     raise ValueError(f"{name}: a record at {at} has no header row")
                 digest = headers["WARC-Payload-Digest"].removeprefix("sha256:")
+                again, original = row.kind == "revisit", None
+                if again:
+                    first = record_id(row.first_archive, int(row.first_at))
+                    original = row.refers_to, row.first_url, first
                 target.write(
                     record(
                         row.kind, _id(headers["X-Page-ID"]), headers["WARC-Target-URI"], digest,
-                        len(payload), payload if row.kind == "response" else b"", row.refers_to,
+                        len(payload), b"" if again else payload, record_id(name, at), original,
                     )
                 )
         close()
         if done:
             yield pd.DataFrame({"archive": done})
 
-    sorted_ = decided.repartition("archive").sortWithinPartitions("archive", "at")
+    sorted_ = decided.repartition(max(1, archives), "archive").sortWithinPartitions("archive", "at")
     return sorted_.mapInPandas(write, "archive string")
 
 
@@ -232,7 +259,8 @@ def read_archives(names: DataFrame, folder: str, payloads: bool = False) -> Data
                 if rows:
                     yield _frame(rows, _RECORDS)
 
-    return names.repartition("archive").mapInPandas(read, _RECORDS)
+    # A task for each archive; by their own size all names would go to one.
+    return names.repartition(max(1, names.count())).mapInPandas(read, _RECORDS)
 
 
 def deduplicate(pages: DataFrame, least: int = 100) -> tuple[DataFrame, str]:
@@ -246,5 +274,6 @@ def deduplicate(pages: DataFrame, least: int = 100) -> tuple[DataFrame, str]:
     spark = pages.sparkSession
     first, second = run_folder(spark, "archives"), run_folder(spark, "deduplicated")
     headers = stored(write_archives(pages, first), "headers")
-    names = stored(rewrite(resolve(headers, least), first, second), "archives")
+    archives = headers.agg(F.countDistinct("archive")).first()[0]
+    names = stored(rewrite(resolve(headers, least), first, second, archives), "archives")
     return names, second

@@ -19,6 +19,7 @@ from cohortlake.llm import (
 )
 from cohortlake.llm.common import HashFilter, word_hashes
 from cohortlake.llm.components import connected
+from cohortlake.llm.files import reading
 from cohortlake.llm.queries import tokenizer_path
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -319,6 +320,24 @@ def test_archives(spark):
     assert warc.read_archives(*warc.deduplicate(frame.limit(0))).count() == 0
 
 
+def test_record_ids_and_standard_revisit_headers(spark):
+    body = "<p>" + "x" * 200 + "</p>"
+    data = [(1, "u1", body), (1, "u1", body), (1, "u1", body), (2, "u2", "short"), (2, "u2", "short")]
+    names, folder = warc.deduplicate(pages(spark, [(*r, "k", 0) for r in data]).repartition(3))
+    found = []
+    for row in names.collect():
+        with reading(folder, row.archive) as source:
+            found += [headers for _, headers, _ in warc.records(source)]
+    ids = {h["WARC-Record-ID"]: h for h in found}
+    assert len(ids) == len(found) == 5
+    revisits = [h for h in found if h["WARC-Type"] == "revisit"]
+    assert len(revisits) == 2
+    for h in revisits:
+        original = ids[h["WARC-Refers-To"]]
+        assert original["WARC-Type"] == "response" and h["WARC-Refers-To-Target-URI"] == "u1"
+        assert original["WARC-Payload-Digest"] == h["WARC-Payload-Digest"]
+
+
 def test_main_text(spark):
     def page(k, more=""):
         return (
