@@ -3,7 +3,9 @@
 BENCH_SF_DIR names the table folder, BENCH_CPUS the local cores, BENCH_QUERIES an
 optional comma-separated choice. Every query runs its whole plan into a sink that
 keeps nothing. ``staged_layer`` is the one-off build the marts and reports share,
-``raw_layer`` the one the quality runs share.
+``raw_layer`` the one the quality runs share. ``colocated_stg_payment_attempts`` and
+``incremental_revenue`` are charged with the whole layout and the three loads they share
+with other queries.
 """
 
 import json
@@ -26,6 +28,9 @@ HEADLINE = [
     "report_weekly_channels", "report_operations", "export_at_risk_students",
     "unconfirmed_attempts", "course_history", "payments_at_list_price", "net_revenue",
     "attempts_renumbered", "incremental_daily_orders",
+    "colocated_stg_payment_attempts", "merged_course_history", "staging_reasons",
+    "active_users_rollup", "unconfirmed_attempts_stream", "dq_stream_totals",
+    "report_last_six_months", "layer_row_counts", "incremental_revenue",
 ]
 
 

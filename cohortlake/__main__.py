@@ -25,11 +25,23 @@ from cohortlake.sources.snapshots import Snapshots
 PREVIEW = ["payment_month", "paying_users", "revenue", "avg_check", "revenue_mom_pct"]
 
 
-def build(spark: SparkSession, folder: str, root: str, as_of: str, replace: bool = False) -> str:
-    """Raw, staged and mart tables from CSV files; returns their sizes as text."""
+def build(
+    spark: SparkSession,
+    folder: str,
+    root: str,
+    as_of: str,
+    replace: bool = False,
+    register: bool = False,
+) -> str:
+    """Raw, staged and mart tables from CSV files; returns their sizes as text.
+
+    With ``register`` they are saved as tables of the catalog as well.
+    """
     raw = csvfiles.read_csv_layer(spark, folder)
     configure(spark, stored_state(spark, folder)[0])
-    warehouse.build(raw, as_of, root, replace)
+    tables = warehouse.build(raw, as_of, root, replace)
+    if register:
+        warehouse.register(spark, tables, replace)
     sizes = warehouse.stored_counts(spark, Snapshots(spark, root).head())
     counts = {(r.layer, r.table_name): r.row_count for r in sizes.collect()}
     lines = [f"{layer:<8} {table:<24} {n:>14,}" for (layer, table), n in sorted(counts.items())]
@@ -117,6 +129,7 @@ def main(arguments: list[str] | None = None) -> None:
             command.add_argument("--input", required=True)
         if name == "build":
             command.add_argument("--replace", action="store_true")
+            command.add_argument("--register", action="store_true")
         if name == "check":
             command.add_argument("--layer", choices=["raw", "staging"], required=True)
         if name == "export":
@@ -126,7 +139,7 @@ def main(arguments: list[str] | None = None) -> None:
     given = parser.parse_args(arguments)
     spark = configure(SparkSession.builder.appName(f"cohortlake-{given.command}").getOrCreate())
     if given.command == "build":
-        print(build(spark, given.input, given.warehouse, given.as_of, given.replace))
+        print(build(spark, given.input, given.warehouse, given.as_of, given.replace, given.register))
     elif given.command == "load":
         print(load(spark, given.input, given.warehouse, given.as_of))
     elif given.command == "export":

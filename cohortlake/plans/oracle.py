@@ -809,4 +809,10 @@ SELECT *, {_pct('member_abandoned', 'member_attempts')} AS member_dropoff_pct,
 FROM (SELECT {_month('attempted_at')} AS period, {', '.join(f'{x} AS {n}' for n, x in tried.items())}
       FROM (SELECT *, NOT EXISTS (SELECT 1 FROM users u WHERE u.user_id = a.user_id) AS guest
             FROM payment_attempts a) GROUP BY 1)""")
+    for t in ("enrollments", "payments", "payment_attempts"):
+        sql[f"colocated_stg_{t}"] = sql[f"stg_{t}"]
+    sql["dq_stream_alerts"] = _with(f"""
+SELECT code, table_name, CAST(0 AS BIGINT) AS batch_id, n FROM before_run
+WHERE code IN ({of_one_row}) AND severity = 'CRITICAL' AND n > 0""", **_RAW_RUN)
+    sql["rebuilt_mart_revenue"] = sql["mart_revenue"]
     return sql

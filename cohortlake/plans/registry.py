@@ -11,7 +11,8 @@ from cohortlake.functions import as_ntz, period_start
 from cohortlake.operators import (
     compare, corrections, distinct, history, keys, quality, reasons, reconcile,
 )
-from cohortlake.plans import marts, reports
+from cohortlake.plans import marts, reports, warehouse
+from cohortlake.plans.colocated import FACTS, ColocatedLayer
 from cohortlake.plans.maintenance import MaintainedWarehouse
 from cohortlake.plans.versions import MaintainedHistory
 from cohortlake.plans.warehouse import (
@@ -55,6 +56,23 @@ class Source:
         store.publish(built(store, store.head(), self.raw_layer, self.staged))
         return store, store.head()
 
+    @cached_property
+    def streamed_counts(self) -> DataFrame:
+        """Counts of the checks of single rows, from a stream of each raw table's files."""
+        work = run_folder(self._spark, "checked")
+        for table in TABLES:
+            for folder in self.raw_layer.folders(table):
+                stream = incremental.file_stream(self._spark, SCHEMAS[table], folder)
+                place = f"{work}/{table}", f"{work}/counts", f"{work}/progress/{table}"
+                checks.load_checked(stream, table, AS_OF, *place)
+        return checks.read_counts(self._spark, f"{work}/counts")
+
+    @cached_property
+    def colocated(self) -> ColocatedLayer:
+        buckets = int(self._spark.conf.get("spark.sql.shuffle.partitions"))
+        root = run_folder(self._spark, "colocated")
+        return ColocatedLayer(self.raw_layer, AS_OF, root, buckets)
+
     @cached_property
     def last_activity(self) -> DataFrame:
         return reports.last_activity(self.staged["users"], self.staged["enrollments"])
@@ -170,6 +188,11 @@ def _on_staged(name: str, fn: Callable[[StagedLayer], DataFrame]) -> None:
 for _table in TABLES:
     _on_staged(STAGED_PREFIX + _table, lambda layer, t=_table: layer.derive(t))
 
+for _table in FACTS:
+    QUERIES[f"colocated_{STAGED_PREFIX}{_table}"] = lambda spark, sf_dir, t=_table: source(
+        spark, sf_dir
+    ).colocated[t]
+
 _on_staged("mart_revenue", lambda s: marts.mart_revenue(s["payments"], s["courses"]))
 _on_staged(
     "mart_ad_performance",
@@ -292,14 +315,14 @@ def dq_stored_results(spark, sf_dir):
 @_query
 def dq_stream_totals(spark, sf_dir):
     """The checks that need one row at a time, counted while each table streams in."""
-    tables, work = raw_layer(spark, sf_dir), run_folder(spark, "checked")
-    for table in TABLES:
-        for folder in tables.folders(table):
-            stream = incremental.file_stream(spark, SCHEMAS[table], folder)
-            checks.load_checked(
-                stream, table, AS_OF, f"{work}/{table}", f"{work}/counts", f"{work}/progress/{table}"
-            )
-    return checks.totals(checks.read_counts(spark, f"{work}/counts"))
+    return checks.totals(source(spark, sf_dir).streamed_counts)
+
+
+@_query
+def dq_stream_alerts(spark, sf_dir):
+    """Critical checks of the stream, and the batch in which they first found something."""
+    critical = [c for c, d in quality.CHECKS.items() if d[1] == quality.CRITICAL]
+    return checks.crossings(source(spark, sf_dir).streamed_counts, dict.fromkeys(critical, 0))
 
 
 _on_raw_layer("dq_extra_rules", lambda r: _counts(quality.run_extra_rules(r)))
@@ -354,6 +377,18 @@ def preview_topk(spark, sf_dir):
     return layers.preview(mart, columns, "payment_month")
 
 
+@_query
+def rebuilt_mart_revenue(spark, sf_dir):
+    """The mart of a warehouse built twice: the second build takes the place of the first."""
+    tables, root = raw_layer(spark, sf_dir).all(), run_folder(spark, "rebuilt")
+    warehouse.build({**tables, "payments": tables["payments"].limit(0)}, AS_OF, root)
+    try:
+        warehouse.build(tables, AS_OF, root)
+    except warehouse.AlreadyBuilt:
+        warehouse.build(tables, AS_OF, root, replace=True)
+    return warehouse.read_layer(spark, root, "marts")["mart_revenue"]
+
+
 @_query
 def csv_round_trip(spark, sf_dir):
     """Courses exported as CSV and read back with the declared schema."""

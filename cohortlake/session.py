@@ -50,6 +50,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return files.exists(hadoop_path)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a file or folder with all in it, if it is there."""
+    files, hadoop_path = _file_system(spark, path)
+    files.delete(hadoop_path, True)
+
+
 def is_folder(spark: SparkSession, path: str) -> bool:
     files, hadoop_path = _file_system(spark, path)
     return files.getFileStatus(hadoop_path).isDirectory()

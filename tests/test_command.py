@@ -2,7 +2,7 @@ import pytest
 
 from cohortlake.__main__ import main
 from cohortlake.sources.csvfiles import MissingInputs
-from cohortlake.sources import reporttext
+from cohortlake.sources import layers, reporttext
 from tests.fixture import AS_OF
 
 
@@ -37,3 +37,13 @@ def test_load(spark, csv_folder, tmp_path, capsys):
     assert "load 1, as of" in out and any(
         line.split() == ["stg_users", "6", "+6"] for line in out.splitlines()
     )
+
+
+def test_register(spark, csv_folder, tmp_path):
+    root = str(tmp_path / "listed")
+    main(["build", "--input", csv_folder, "--warehouse", root, "--as-of", AS_OF, "--register"])
+    main(["build", "--input", csv_folder, "--warehouse", root, "--as-of", AS_OF, "--register", "--replace"])
+    assert "mart_revenue" in layers.list_tables(spark, "marts")
+    assert spark.table("staging.stg_users").count() == 6
+    for layer in ("raw", "staging", "marts"):
+        spark.sql(f"DROP DATABASE {layer} CASCADE")

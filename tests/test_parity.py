@@ -37,7 +37,7 @@ ON_SKEWED = [
     n
     for n in NAMES
     if n.startswith(
-        ("stg_", "mart_", "flagged_", "export_", "dedupe_", "quarantine_", "incremental_")
+        ("stg_", "mart_", "flagged_", "export_", "dedupe_", "quarantine_", "incremental_", "colocated_")
     )
 ] + [
     "dq_raw", "dq_staging", "dq_extra_rules", "existence_filter", "orphan_anti_join",

@@ -6,8 +6,10 @@ from pyspark.sql import functions as F
 from cohortlake import schemas as S
 from cohortlake.operators import history, quality, reconcile, staging
 from cohortlake.plans import marts
+from cohortlake.plans.colocated import ColocatedLayer
 from cohortlake.plans.registry import QUERIES
 from cohortlake.session import run_folder
+from cohortlake.sources.layers import create_table
 from tests.conftest import SOURCE
 
 
@@ -156,3 +158,47 @@ def test_filters_and_columns_reach_the_scan(spark, tmp_path, staged):
     text = plan(marts.revenue_by_period(stored, staged["courses"]))
     scan = next(line for line in text.splitlines() if "FileScan" in line and "paid_at" in line)
     assert "EqualTo(status,success)" in scan and "payment_method" not in scan
+
+
+def test_colocated_facts_are_not_shuffled(spark, conf):
+    conf(shuffle__partitions="8")
+    people, facts = facts_with_a_hot_user(spark, 60_000, 1_000)
+    # Payments of each kind of enrollment: their own user's, another user's, and none.
+    number = F.col("enrollment_id")
+    meant = F.when(number % 10 == 1, number + 3).when(number % 10 == 2, -number).otherwise(number)
+    nobody = F.when(number % 100 != 50, F.col("user_id"))
+    raw = {
+        "users": people,
+        "courses": people.select(
+            F.col("user_id").alias("course_id"), (F.col("user_id") % 3).cast("int").alias("is_published")
+        ),
+        "enrollments": facts.withColumn("user_id", nobody),
+        "payments": as_payments(facts).withColumns({"enrollment_id": meant, "user_id": nobody}),
+        "payment_attempts": as_attempts(facts).withColumns({
+            "course_id": F.col("course_id") + (F.col("attempt_id") % 2),
+            "result": F.when(F.col("attempt_id") % 3 == 1, "failed").otherwise("success"),
+        }),
+    }
+    root = run_folder(spark, "colocated")
+    raw = {t: create_table(df, f"{root}/raw/{t}") for t, df in raw.items()}
+    layer = ColocatedLayer(raw, "2030-01-01", f"{root}/layer", 8)
+    assert [r.user_id for r in layer.hot.collect()] == [7]
+    users = staging.stage_users(raw["users"], "2030-01-01")
+    expected = {
+        "enrollments": staging.stage_enrollments(
+            raw["enrollments"], users, staging.stage_courses(raw["courses"])
+        )
+    }
+    expected["payments"] = staging.stage_payments(raw["payments"], users, expected["enrollments"])
+    expected["payment_attempts"] = staging.stage_payment_attempts(
+        raw["payment_attempts"], users, expected["payments"]
+    )
+    for table, df in expected.items():
+        assert sorted(layer[table].collect()) == sorted(df.collect()) != []
+        assert layer.staged(table)[1].count() > 1000, "the hot user lies apart"
+    for together in (
+        layer._enrollments()[0], layer.own_enrollments(), layer._payment_attempts()[0],
+    ):
+        text = plan(together)
+        assert "Exchange hashpartitioning" not in text and "SortMergeJoin" in text
+        assert "Bucketed: true" in text
