@@ -1,6 +1,8 @@
 """Helpers of the operators: stored steps, word hashes, and a filter of fixed size."""
 
+import contextlib
 from collections.abc import Iterator
+from contextvars import ContextVar
 
 import numpy as np
 import pandas as pd
@@ -31,14 +33,30 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+_steps: ContextVar[list[str] | None] = ContextVar("steps", default=None)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """The frame, written below the shared folder and read again: cuts its lineage."""
     spark = df.sparkSession
     path = run_folder(spark, name)
+    if (steps := _steps.get()) is not None:
+        steps.append(path)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextlib.contextmanager
+def noting_steps() -> Iterator[list[str]]:
+    """The folders of all frames that this thread stores meanwhile."""
+    steps: list[str] = []
+    token = _steps.set(steps)
+    try:
+        yield steps
+    finally:
+        _steps.reset(token)
+
+
 def input_bytes(df: DataFrame) -> int:
     """Stored bytes of the files below a frame, 0 if it has none."""
     return sum(stored_state(df.sparkSession, path)[0] for path in df.inputFiles())

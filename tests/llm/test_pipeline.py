@@ -8,6 +8,7 @@ import pytest
 import corpus_pipeline
 from cohortlake.llm import quality_rules
 from cohortlake.llm.common import read, stored
+from cohortlake.session import exists
 from tests.conftest import SOURCE
 
 pytestmark = pytest.mark.skipif(SOURCE is None, reason="no tables")
@@ -51,3 +52,23 @@ def test_stages(spark):
     assert Counter(r.doc_id for r in last) == copies
     ends = sorted((r.start, r.start + r.n_tokens) for r in last)
     assert ends[0][0] == 0 and all(a[1] == b[0] for a, b in zip(ends, ends[1:]))
+
+
+def test_steps_of_a_stage_go_when_the_next_begins(spark):
+    docs = read(spark, SOURCE, "documents").limit(120)
+    docs = stored(docs, "few")
+    application = spark.sparkContext.applicationId
+    _, single = corpus_pipeline.STAGES[1]
+    _, clean = corpus_pipeline.STAGES[2]
+    lazy = single(spark, docs, SOURCE)
+    steps = list(corpus_pipeline._steps[application])
+    assert steps and all(exists(spark, s) for s in steps)
+    # Documents that still read the steps keep those that they read.
+    expected = lazy.count()
+    clean(spark, lazy, SOURCE)
+    assert lazy.count() == expected and any(exists(spark, s) for s in steps)
+    written = stored(single(spark, docs, SOURCE), "single")
+    steps = list(corpus_pipeline._steps[application])
+    clean(spark, written, SOURCE)
+    assert steps and not any(exists(spark, s) for s in steps)
+    assert written.count() == expected
