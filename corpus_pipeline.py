@@ -6,14 +6,16 @@ told apart by their doc_id and text together; equal rows are one document from t
 second stage on, so missing and repeated ids are no special case.
 """
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortlake.llm import decontamination, jaccard_join, mixing, quality_rules, tokens
-from cohortlake.llm.common import prepare, read, stored
+from cohortlake.llm.common import noting_steps, prepare, read, stored
 from cohortlake.llm.queries import SOURCE_WEIGHTS, tokenizer_path
+from cohortlake.session import remove
 
 _KEY = "__row_key"
 # SQL cannot express the rolling hashes, the tilted rates or the tokenizer; tests
@@ -84,12 +86,38 @@ def token_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+# Folders of the steps that the last stage of an application has stored.
+_steps: dict[str, list[str]] = {}
+
+
+def _tidy(stage: Stage) -> Stage:
+    """The stage; before it begins, the steps that the stage before has stored are removed.
+
+    A stage's result is written before the next one begins, so they are of no more use;
+    where the documents still read them, as in a plan not yet written, they stay.
+    """
+
+    @functools.wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        application = spark.sparkContext.applicationId
+        read_now = docs.inputFiles()
+        for folder in _steps.pop(application, []):
+            if not any(folder in path for path in read_now):
+                remove(spark, folder)
+        with noting_steps() as steps:
+            kept = stage(spark, docs, sf_dir)
+        _steps[application] = steps
+        return kept
+
+    return run_stage
+
+
 STAGES: list[tuple[str, Stage]] = [
-    ("quality_rules", quality),
-    ("jaccard_join", near_duplicates),
-    ("decontamination", decontaminate),
-    ("mixing", mix),
-    ("token_output", token_shards),
+    ("quality_rules", _tidy(quality)),
+    ("jaccard_join", _tidy(near_duplicates)),
+    ("decontamination", _tidy(decontaminate)),
+    ("mixing", _tidy(mix)),
+    ("token_output", _tidy(token_shards)),
 ]
 
 
