@@ -62,6 +62,23 @@ def op4_warc_revisits(spark, sf_dir):
     return warc.read_archives(names, folder).drop("payload")
 
 
+ORACLE_SQL["op4_warc_revisits"] = """
+WITH payloads AS (
+    SELECT page_id, coalesce(url, '') AS url, strlen(coalesce(html, '')) AS payload_bytes,
+           sha256(coalesce(html, '')) AS payload_digest
+    FROM pages
+), originals AS (
+    SELECT payload_digest, min(page_id) AS original
+    FROM payloads WHERE payload_bytes >= 100 GROUP BY payload_digest
+)
+SELECT p.page_id, p.url, CAST(p.payload_bytes AS BIGINT) AS payload_bytes, p.payload_digest,
+       CASE WHEN o.original <> p.page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN o.original <> p.page_id THEN o.original END AS refers_to
+FROM payloads p LEFT JOIN originals o
+  ON o.payload_digest = p.payload_digest AND p.payload_bytes >= 100
+"""
+
+
 @_query
 def op5_html_templates(spark, sf_dir):
     return html_template.main_text(read(spark, sf_dir, "pages"))
@@ -72,6 +89,68 @@ def op6_repetition_rules(spark, sf_dir):
     return quality_rules.repetition(read(spark, sf_dir, "documents"))
 
 
+def _covered(n: int) -> str:
+    """Words of each document, marked where they lie inside a run of n words that repeats."""
+    gram = " || ' ' || ".join(["word", *(f"lead(word, {k}) OVER w" for k in range(1, n))])
+    return f"""
+  SELECT doc_id, pos, word, max(again) OVER (
+           PARTITION BY doc_id ORDER BY pos ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW) AS inside
+  FROM (SELECT doc_id, pos, word,
+               CASE WHEN gram IS NOT NULL AND count(*) OVER (PARTITION BY doc_id, gram) > 1
+                    THEN 1 ELSE 0 END AS again
+        FROM (SELECT doc_id, pos, word, {gram} AS gram FROM words
+              WINDOW w AS (PARTITION BY doc_id ORDER BY pos)))"""
+
+
+_LENGTHS = quality_rules.GRAM_LIMITS
+ORACLE_SQL["op6_repetition_rules"] = f"""
+WITH texts AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+words AS (
+    SELECT doc_id, unnest(found) AS word, unnest(range(len(found))) AS pos
+    FROM (SELECT doc_id, regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+') AS found FROM texts)
+),
+lines AS (
+    SELECT doc_id, line, row_number() OVER (PARTITION BY doc_id, line ORDER BY pos) AS nth
+    FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
+                 unnest(range(len(string_split(text, chr(10))))) AS pos FROM texts)
+    WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]')
+),
+{", ".join(f"g{n} AS ({_covered(n)})" for n in (3, *_LENGTHS))},
+sums AS (
+    SELECT t.doc_id,
+           length(regexp_replace(t.text, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+           coalesce(w.n_words, 0) AS n_words, coalesce(w.word_chars, 0) AS word_chars,
+           coalesce(l.n_lines, 0) AS n_lines, coalesce(l.line_chars, 0) AS line_chars,
+           coalesce(l.n_dup_lines, 0) AS n_dup_lines,
+           coalesce(l.dup_line_chars, 0) AS dup_line_chars, coalesce(r.n, 0) AS n_repeat_words,
+           {", ".join(f"coalesce(c{n}.n, 0) AS chars_{n}" for n in _LENGTHS)}
+    FROM texts t
+    LEFT JOIN (SELECT doc_id, count(*) AS n_words, sum(length(word)) AS word_chars
+               FROM words GROUP BY doc_id) w ON w.doc_id = t.doc_id
+    LEFT JOIN (SELECT doc_id, count(*) AS n_lines, sum(length(line)) AS line_chars,
+                      count(*) FILTER (WHERE nth > 1) AS n_dup_lines,
+                      sum(length(line)) FILTER (WHERE nth > 1) AS dup_line_chars
+               FROM lines GROUP BY doc_id) l ON l.doc_id = t.doc_id
+    LEFT JOIN (SELECT doc_id, sum(inside) AS n FROM g3 GROUP BY doc_id) r ON r.doc_id = t.doc_id
+    {" ".join(
+        f"LEFT JOIN (SELECT doc_id, sum(length(word)) AS n FROM g{n} WHERE inside = 1 GROUP BY doc_id) c{n}"
+        f" ON c{n}.doc_id = t.doc_id" for n in _LENGTHS
+    )}
+)
+SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars,
+       CAST(n_symbols AS BIGINT) AS n_symbols, CAST(n_dup_lines AS BIGINT) AS n_dup_lines,
+       CAST(n_repeat_words AS BIGINT) AS n_repeat_words,
+       n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+       NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words)
+         AND n_dup_lines <= {quality_rules.LINE_LIMIT}::DOUBLE * n_lines
+         AND dup_line_chars <= {quality_rules.LINE_CHARS_LIMIT}::DOUBLE * line_chars
+         AND {" AND ".join(f"chars_{n} <= {x}::DOUBLE * word_chars" for n, x in _LENGTHS.items())} AS kept,
+       CAST(dup_line_chars AS BIGINT) AS dup_line_chars,
+       {", ".join(f"CAST(chars_{n} AS BIGINT) AS chars_{n}" for n in _LENGTHS)}
+FROM sums
+"""
+
+
 @_query
 def op7_pitman_yor_model(spark, sf_dir):
     return language_model.score_texts(read(spark, sf_dir, "documents"))
