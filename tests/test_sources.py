@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from cohortlake import schemas as S
 from cohortlake.plans import marts, registry, warehouse
-from cohortlake.session import configure, run_folder, shared_root
+from cohortlake.session import configure, like, partitions, run_folder, shared_root
 from cohortlake.sources import bindings, csvfiles, layers
 from cohortlake.sources.snapshots import Snapshots
 from tests.fixture import AS_OF, RAW_COUNTS
@@ -115,6 +115,20 @@ def test_shuffles_grow_with_the_input(spark):
     configure(spark)
 
 
+def test_rows_are_judged_by_their_size_not_their_files(spark, tmp_path):
+    path = str(tmp_path / "users")
+    spark.range(1000).write.parquet(path)
+    first = spark.read.parquet(path)._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    configure(spark, 64 << 30, 8)
+    try:
+        assert partitions(spark) == 8192
+        rows = spark.read.parquet(path)._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+        assert rows >= 7 * first
+        assert partitions(like(spark)) == 8192
+    finally:
+        configure(spark)
+
+
 def test_changed_files_are_a_new_source(spark, tmp_path):
     for table, columns in bindings.SOURCES.items():
         empty = spark.createDataFrame([], columns)
