@@ -1,6 +1,6 @@
 """History of changing attributes and joins at the time of an event."""
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortlake.functions import as_ntz
@@ -10,28 +10,38 @@ OPEN_END = "9999-12-31 00:00:00"
 
 
 def _neighbour(
-    rows: DataFrame, key: str, at: str, value: Column, ahead: bool, name: str
+    rows: DataFrame, key: str, at: str, value: str, ahead: bool, name: str
 ) -> DataFrame:
     """The rows with ``value`` of the row before (or after) them in their key's time.
 
     Rows meet within their key and month; months meet as one row each, by the
     value at their end (or start). So a key with very many rows is never one group.
+    What a month gets from the one beside it joins its rows as a row of its own,
+    so the rows are shuffled once and meet no join.
     """
     order = F.asc if not ahead else F.desc
-    inside = Window.partitionBy(key, "_month").orderBy(order(at))
-    near = rows.withColumns(
-        {"_near": F.lag(value).over(inside), "_edge": F.row_number().over(inside) == 1}
-    )
     pick = F.min_by if ahead else F.max_by
-    ends = rows.groupBy(key, "_month").agg(pick(value, F.col(at)).alias("_end"))
+    ends = rows.groupBy(key, "_month").agg(pick(value, at).alias("_end"))
     months = Window.partitionBy(key).orderBy(order("_month"))
-    far = ends.select(
-        F.col(key).alias("_far_key"), F.col("_month").alias("_far_month"),
-        F.lag("_end").over(months).alias("_far"),
-    )
-    same = F.col(key).eqNullSafe(F.col("_far_key")) & (F.col("_month") == F.col("_far_month"))
-    found = F.when(F.col("_edge"), F.col("_far")).otherwise(F.col("_near"))
-    return near.join(far, same).select(*rows.columns, found.alias(name))
+    far = ends.select(key, "_month", F.lag("_end").over(months).alias(value))
+    far = far.filter(F.col(value).isNotNull()).withColumn("_own", F.lit(False))
+    inside = Window.partitionBy(key, "_month").orderBy("_own", order(at))
+    met = rows.withColumn("_own", F.lit(True)).unionByName(far, allowMissingColumns=True)
+    near = met.withColumn(name, F.lag(value).over(inside))
+    return near.filter("_own").select(*rows.columns, name)
+
+
+def instants(
+    snapshots: DataFrame, key: str, attributes: list[str], observed_at: str
+) -> DataFrame:
+    """One row per key and time; of several states at one instant the largest stays."""
+    state = F.struct(*attributes)
+    return (
+        snapshots.filter(F.col(observed_at).isNotNull())
+        .groupBy(key, observed_at)
+        .agg(F.max(state).alias("_state"))
+        .select(key, "_state.*", observed_at)
+    )
 
 
 def build_history(
@@ -43,16 +53,20 @@ def build_history(
     are settled by their attributes, the larger ones stay. Snapshots without a time
     cannot be placed and are left out.
     """
+    seen = instants(snapshots, key, attributes, observed_at)
+    return versions_of(seen, key, attributes, observed_at)
+
+
+def versions_of(
+    seen: DataFrame, key: str, attributes: list[str], observed_at: str
+) -> DataFrame:
+    """The versions of ``build_history`` from rows that are one per key and time already."""
     state = F.struct(*attributes)
-    dated = snapshots.filter(F.col(observed_at).isNotNull())
-    instants = (
-        dated.groupBy(key, observed_at)
-        .agg(F.max(state).alias("_state"))
-        .withColumn("_month", F.trunc(F.col(observed_at).cast("date"), "month"))
-    )
-    before = _neighbour(instants, key, observed_at, F.col("_state"), False, "_before")
+    month = F.trunc(F.col(observed_at).cast("date"), "month")
+    dated = seen.select(key, observed_at, state.alias("_state"), month.alias("_month"))
+    before = _neighbour(dated, key, observed_at, "_state", False, "_before")
     changed = before.filter(~F.col("_before").eqNullSafe(F.col("_state"))).drop("_before")
-    ended = _neighbour(changed, key, observed_at, F.col(observed_at), True, "_upcoming")
+    ended = _neighbour(changed, key, observed_at, observed_at, True, "_upcoming")
     return ended.select(
         key,
         "_state.*",

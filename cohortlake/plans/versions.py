@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlake.operators.history import build_history
+from cohortlake.operators.history import instants, versions_of
 from cohortlake.sources.layers import materialize
 from cohortlake.sources.snapshots import Manifest, Snapshots, add_parts, replace_parts
 
@@ -42,21 +42,15 @@ class MaintainedHistory:
         return F.pmod(F.xxhash64(self.key), F.lit(self.buckets)).cast("string")
 
     def _instants(self, snapshots: DataFrame) -> DataFrame:
-        """One row per key and time; of several states at one instant the largest stays."""
-        state = F.struct(*self.attributes)
-        return (
-            snapshots.filter(F.col(self.observed_at).isNotNull())
-            .groupBy(self.key, self.observed_at)
-            .agg(F.max(state).alias("_state"))
-            .select(self.key, "_state.*", self.observed_at)
-        )
+        return instants(snapshots, self.key, self.attributes, self.observed_at)
 
     def merge(self, batch: DataFrame) -> Manifest:
         """Merges a batch of dated snapshots; a batch merged twice changes nothing."""
         old = self.snapshots.head()
-        fresh = materialize(self._instants(batch), "instants")
+        stored = self.snapshots.write(self._instants(batch), _INSTANTS, self._bucket())
+        fresh = self.snapshots.read(Manifest(tables={_INSTANTS: stored}), _INSTANTS)
         keys = materialize(fresh.select(self.key).distinct(), "keys")
-        touched = {r.bucket for r in keys.select(self._bucket().alias("bucket")).distinct().collect()}
+        touched = set(stored.parts)
         if not touched and old.version:
             return old
         new, seen, kept = old.next(), fresh, None
@@ -68,11 +62,11 @@ class MaintainedHistory:
             kept = self.snapshots.read(old, _VERSIONS, sorted(touched)).join(same, mine, "left_anti")
         # Stored, so that windows over a hot key's months are planned from its own size.
         seen = materialize(seen, "seen")
-        merged = build_history(seen, self.key, self.attributes, self.observed_at)
+        merged = versions_of(seen, self.key, self.attributes, self.observed_at)
         if kept is not None:
             merged = kept.unionByName(merged)
         written = self.snapshots.write(merged, _VERSIONS, self._bucket())
         replace_parts(new, _VERSIONS, written, touched)
-        add_parts(new, _INSTANTS, self.snapshots.write(fresh, _INSTANTS, self._bucket()))
+        add_parts(new, _INSTANTS, stored)
         self.snapshots.publish(new)
         return new

@@ -290,3 +290,26 @@ def test_members_as_bitmaps(spark):
             F.countDistinct("user_id").alias("n")
         )
         assert sorted(distinct.counted(df, "n").collect()) == sorted(expected.collect())
+
+
+def test_tables_are_judged_alone(raw, staged):
+    asked = []
+
+    class Asked(dict):
+        def __getitem__(self, table):
+            asked.append(table)
+            return super().__getitem__(table)
+
+    judged = reasons.judge_all(raw, Asked(staged), AS_OF)
+    assert reasons.quarantined(judged["ad_costs"]).count() > 0 and asked == []
+    judged["enrollments"]
+    assert asked == ["users", "courses"]
+    assert list(judged) == list(raw) and "orders" not in judged
+
+
+def test_months_of_a_history_are_not_joined(spark):
+    days = [(k, f"2024-0{1 + i}-1{k} 00:00", i % 2) for k in (1, 2) for i in range(4)]
+    versions = history.build_history(snapshots(spark, days), "k", ["price"], "at")
+    assert versions.count() == 8
+    plan = versions._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Union" in plan
