@@ -4,6 +4,7 @@ import re
 import sys
 import zlib
 from array import array
+from codecs import charmap_decode
 
 import numpy as np
 import pandas as pd
@@ -42,6 +43,17 @@ def _units(text: str) -> list[str]:
     return units
 
 
+class _Known(dict):
+    """Ids of strings; one that is not there yet is asked for when it is looked up."""
+
+    def __init__(self, ids):
+        self._ids = ids
+
+    def __missing__(self, unit: str) -> bytes:
+        code = self[unit] = self._ids(unit)
+        return code
+
+
 class Encoder:
     """Ids of texts as the tokenizer gives them, each unit encoded once while remembered."""
 
@@ -51,15 +63,18 @@ class Encoder:
         self._tokenizer = Tokenizer.from_file(path)
         self._tokenizer.no_padding()
         self._tokenizer.no_truncation()
+        self._split = self._tokenizer.model.tokenize
         self._code = "H" if np.dtype(dtype).itemsize == 2 else "I"
         # The model's letters for bytes: printable ones stand for themselves, the others
         # follow each other from 256 on.
         plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
         others = [b for b in range(256) if b not in plain]
-        self._letters = {b: chr(256 + k) for k, b in enumerate(others)}
-        self._marks: dict[str, bytes] = {}
+        letters = {b: chr(256 + k) for k, b in enumerate(others)}
+        self._letters = "".join(letters.get(b, chr(b)) for b in range(256))
+        self._space = self._letters[32]
+        self._marks = _Known(self._encode)
         self._line = self._encode("\n")
-        self._known: dict[str, bytes] = {}
+        self._known = _Known(self._ids)
         self._older: dict[str, bytes] = {}
 
     def _bytes(self, ids) -> bytes:
@@ -72,47 +87,35 @@ class Encoder:
         return self._bytes(self._tokenizer.encode(text, add_special_tokens=False).ids)
 
     def _ids(self, unit: str) -> bytes:
-        """The ids of a unit, remembered.
+        """The ids of a unit.
 
         A word of Latin letters is one unit of the pattern, so the model gets its bytes
         directly; the marks behind it are another, and a line's end between words a third.
         """
-        known = self._known
-        code = known.get(unit) or self._older.get(unit)
-        if code is not None:
-            known[unit] = code
-            return code
+        if unit in self._older:
+            return self._older[unit]
         word = unit.rstrip(_MARKS)
         bare = word[1:] if word[:1] == " " else word
         if bare.isalpha() and (bare.isascii() or max(bare) < _LATIN):
-            if word != unit:
-                marks = unit[len(word) :]
-                if marks not in self._marks:
-                    self._marks[marks] = self._encode(marks)
-                code = self._ids(word) + self._marks[marks]
-            else:
-                spelled = bare
-                if not bare.isascii():
-                    spelled = bare.encode().decode("latin-1").translate(self._letters)
-                if word is bare:
-                    spelled = self._letters[32] + spelled
-                code = self._bytes([t.id for t in self._tokenizer.model.tokenize(spelled)])
-        elif _LINES.fullmatch(unit):
+            if len(word) < len(unit):
+                return self._known[word] + self._marks[unit[len(word) :]]
+            spelled = bare
+            if not bare.isascii():
+                spelled = charmap_decode(bare.encode(), "strict", self._letters)[0]
+            if word is bare:
+                spelled = self._space + spelled
+            return self._bytes([t.id for t in self._split(spelled)])
+        if _LINES.fullmatch(unit):
             first, *rest = unit.split("\n")
-            code = self._ids(first) + b"".join(self._line + self._ids(" " + part) for part in rest)
-        else:
-            code = self._encode(unit[1:] if unit[:1] == " " else " " + unit)
-        known[unit] = code
-        return code
+            known = self._known
+            return known[first] + b"".join([self._line + known[" " + part] for part in rest])
+        return self._encode(unit[1:] if unit[:1] == " " else " " + unit)
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         if len(self._known) > _KNOWN:
-            self._known, self._older = {}, self._known
-        known = self._known
-        cut = [_units(t) if t else [] for t in texts]
-        for unit in {u for units in cut for u in units if u not in known}:
-            self._ids(unit)
-        return [b"".join(map(known.__getitem__, units)) for units in cut]
+            self._known, self._older = _Known(self._ids), self._known
+        ids = self._known.__getitem__
+        return [b"".join(map(ids, _units(t))) if t else b"" for t in texts]
 
 
 _ENTRY = "doc_id long, copy long, shard string, at long, n_tokens long"

@@ -501,6 +501,22 @@ def test_token_output(spark, docs, none):
     assert tokens.token_output(none, tokenizer_path()).count() == 0
 
 
+def test_units_are_encoded_once(monkeypatch):
+    asked, ids = Counter(), tokens.Encoder._ids
+
+    def counted(self, unit):
+        asked[unit] += 1
+        return ids(self, unit)
+
+    monkeypatch.setattr(tokens.Encoder, "_ids", counted)
+    encoder = tokens.Encoder(tokenizer_path(), "<u2")
+    texts = ["One word, two word; word", "a word\nword. two, word", "", " word two"]
+    found = encoder(texts) + encoder(texts[::-1])
+    expected = [encoder._tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [np.frombuffer(c, "<u2").tolist() for c in found] == expected + expected[::-1]
+    assert set(asked.values()) == {1}
+
+
 def test_minimal_perfect_hash():
     keys = np.random.default_rng(3).integers(0, 2**63, 20_000).astype(np.uint64)
     levels = tokens.build_hash(np.unique(keys))
