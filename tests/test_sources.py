@@ -115,6 +115,25 @@ def test_shuffles_grow_with_the_input(spark):
     configure(spark)
 
 
+def test_joined_partitions_are_bounded_by_rows(spark):
+    """Shuffled rows of some 2 MB that unpack to much more are read by several tasks."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.parallelismFirst", "false")
+    tasks = []
+    try:
+        for unpacked in (1, 64):
+            configure(spark, 8 << 20, unpacked)
+            few = like(spark)
+            few.conf.set("spark.sql.adaptive.coalescePartitions.parallelismFirst", "false")
+            for session in (spark, few):
+                numbers = session.range(600_000).repartition(F.xxhash64("id"))
+                tasks.append(numbers.groupBy(F.spark_partition_id()).count().count())
+        assert tasks[0] == tasks[1] == 1
+        assert min(tasks[2:]) > 1
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.parallelismFirst")
+        configure(spark)
+
+
 def test_rows_are_judged_by_their_size_not_their_files(spark, tmp_path):
     path = str(tmp_path / "users")
     spark.range(1000).write.parquet(path)
