@@ -3,6 +3,7 @@ import os
 from concurrent.futures import ThreadPoolExecutor
 
 import pytest
+from pyspark import SparkConf, SparkContext
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
@@ -134,6 +135,53 @@ def test_joined_partitions_are_bounded_by_rows(spark):
         configure(spark)
 
 
+def test_files_are_read_in_pieces_bounded_by_rows(spark, tmp_path):
+    """A file of several row groups that unpacks to much more is read by several tasks."""
+    path = str(tmp_path / "numbers")
+    noise = spark.range(300_000, numPartitions=1).select(F.xxhash64("id").alias("noise"))
+    noise.write.option("parquet.block.size", 1 << 18).parquet(path)
+    tasks = []
+    try:
+        for unpacked in (1, 128):
+            configure(spark, 8 << 20, unpacked)
+            for session in (spark, like(spark)):
+                read = session.read.parquet(path)
+                tasks.append(read.select(F.spark_partition_id()).distinct().count())
+        assert tasks[0] == tasks[1] == 1
+        assert min(tasks[2:]) > 1
+    finally:
+        configure(spark)
+
+
+def test_sizes_of_the_application_come_back(spark, monkeypatch):
+    """Queries whose input needs no smaller pieces run with the sizes asked for at the start."""
+    name = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    given = SparkConf(False).set(name, "16m")
+    try:
+        with monkeypatch.context() as patch:
+            patch.setattr(SparkContext, "getConf", lambda self: given)
+            configure(spark, 8 << 20, 8)
+            assert spark.conf.get(name) == str(8 << 20)
+            configure(spark)
+            assert spark.conf.get(name) == "16m"
+    finally:
+        configure(spark)
+
+
+def test_staging_reads_raw_tables_that_are_written(spark, tmp_path):
+    raw = warehouse.RawLayer(
+        {"users": spark.range(3).toDF("user_id"), "courses": spark.range(4).toDF("course_id")},
+        str(tmp_path / "warehouse"),
+    )
+    assert not raw.nearest["users"].inputFiles()
+    assert not raw.stored
+    raw["users"]
+    files = raw.nearest["users"].inputFiles()
+    assert files and all(str(tmp_path) in f for f in files)
+    assert raw.nearest["users"].count() == 3
+    assert not raw.nearest["courses"].inputFiles()
+
+
 def test_rows_are_judged_by_their_size_not_their_files(spark, tmp_path):
     path = str(tmp_path / "users")
     spark.range(1000).write.parquet(path)
