@@ -182,6 +182,41 @@ def test_staging_reads_raw_tables_that_are_written(spark, tmp_path):
     assert not raw.nearest["courses"].inputFiles()
 
 
+def _order_tables(spark, folder):
+    """Orders with two lines, one, none and without a key; an order line without an order."""
+    orders = [(1, 7), (2, 8), (3, None), (None, 9), (1, 7)]
+    lines = [(1, 30), (1, 20), (2, None), (2, 10), (4, 5), (None, 6)]
+    for table, rows, names in (
+        ("orders", orders, ("o_orderkey", "o_custkey")),
+        ("lineitem", lines, ("l_orderkey", "l_partkey")),
+        ("events", [(5,)], ("event_id",)),
+    ):
+        fields = bindings.SOURCES[table].split(", ")
+        values = [
+            F.col(name) if name in names else F.lit(None).cast(kind).alias(name)
+            for name, kind in (f.split() for f in fields)
+        ]
+        frame = spark.createDataFrame(rows, ", ".join(f"{n} bigint" for n in names))
+        frame.select(*values).write.parquet(f"{folder}/{table}.parquet")
+
+
+def test_orders_are_shared_by_the_tables_made_of_them(spark, tmp_path):
+    _order_tables(spark, tmp_path)
+    alone, shared = (bindings.RawTables(spark, str(tmp_path)) for _ in range(2))
+    shared.share_orders()
+    for table in ("enrollments", "payment_attempts"):
+        assert any("lineitem" in f for f in alone[table].inputFiles())
+        files = shared[table].inputFiles()
+        assert any("order-courses" in f for f in files)
+        assert not any("lineitem" in f or "orders.parquet" in f for f in files)
+        assert alone[table].schema == shared[table].schema
+        assert sorted(map(str, alone[table].collect())) == sorted(map(str, shared[table].collect()))
+    assert shared["enrollments"].count() == 5
+    before = alone["enrollments"]
+    alone.share_orders()
+    assert alone["enrollments"] is before
+
+
 def test_rows_are_judged_by_their_size_not_their_files(spark, tmp_path):
     path = str(tmp_path / "users")
     spark.range(1000).write.parquet(path)
