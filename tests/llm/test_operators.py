@@ -517,6 +517,59 @@ def test_units_are_encoded_once(monkeypatch):
     assert set(asked.values()) == {1}
 
 
+def test_units_are_cut_like_the_library(monkeypatch):
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(tokenizer_path())
+    signs = [
+        " ", " ", " ", "\n", "\n", "\t", "\r\n", "\x0b", "\x1c", "\x85", "\xa0", "\u1680", "\u2003", "\u2028",
+        "\u3000", "\x00", "a", "Bc", "the", "é", "ß", "Ā", "ɏ", "ȿ", "ɀ", "×", "÷", "ª", "µ", "²", "3", "14", ".", ",",
+        "-", "'", "'s", "'ll", "(", '"', "$", "_", "<", "e\u0301", "Ж", "中", "か", "“", "—", "😀", "\ufeff", "\u200b",
+        "<|endoftext|>", "|>", "averyveryverylongword", "x" * 40,
+    ]
+    chosen = np.random.default_rng(9).integers(0, len(signs), (3_000, 14)).tolist()
+    texts = ["".join(signs[k] for k in row) for row in chosen]
+    texts += [a + chr(c) + b for c in range(0x80, 0x260) for a, b in ((".", ","), (" ", "\n"), ("x", "x"))]
+    texts += ["", "a", "a\x00", " ", "\n", " a ", "\n\na\n\n"]
+    expected = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    for group in (64, 1 << 20):
+        monkeypatch.setattr(tokens, "_GROUP", group)
+        for dtype in ("<u2", "<u4"):
+            found = tokens.Encoder(tokenizer_path(), dtype)(texts)
+            assert [np.frombuffer(c, dtype).tolist() for c in found] == expected
+
+
+def test_long_texts_are_cut(monkeypatch):
+    monkeypatch.setattr(tokens, "_GROUP", 50)
+    sizes, group = [], tokens.Encoder._group
+    monkeypatch.setattr(
+        tokens.Encoder, "_group", lambda self, texts: sizes.append(sum(map(len, texts))) or group(self, texts)
+    )
+    text = "one two, three\nfour  é " * 40
+    encoder = tokens.Encoder(tokenizer_path(), "<u2")
+    expected = encoder._tokenizer.encode(text, add_special_tokens=False).ids
+    assert np.frombuffer(encoder([text])[0], "<u2").tolist() == expected
+    assert max(sizes) < 100
+
+
+def test_equal_units_are_looked_up_once(monkeypatch):
+    asked = Counter()
+
+    class Counted(tokens._Known):
+        def __getitem__(self, unit):
+            asked[unit] += 1
+            return super().__getitem__(unit)
+
+    encoder = tokens.Encoder(tokenizer_path(), "<u2")
+    encoder._known = Counted(encoder._ids)
+    encoder(["one two one, two. one " * 50, "two\none " * 50])
+    assert set(asked.values()) == {1}
+
+
+def test_units_are_kept_between_tasks():
+    assert tokens.kept_encoder(tokenizer_path(), "<u2") is tokens.kept_encoder(tokenizer_path(), "<u2")
+
+
 def test_minimal_perfect_hash():
     keys = np.random.default_rng(3).integers(0, 2**63, 20_000).astype(np.uint64)
     levels = tokens.build_hash(np.unique(keys))
